@@ -83,11 +83,12 @@ def thresholds(
         ("total_orders", list(rfm_q), ["frequency_p33", "frequency_p67"]),
     ]
     parts = []
+    cuts = {} if approx else ranking.cut_points(customers, [c for c, _, _ in specs])
     for col, probs, names in specs:
         if approx:
             parts.append(ranking.approx_quantiles(customers, col, probs, names, relative_error))
         else:
-            parts.append(ranking.exact_quantiles(customers, col, probs, names))
+            parts.append(ranking.exact_quantiles(customers, col, probs, names, cuts=cuts[col]))
     first, rest = parts[0], parts[1:]
     # each part is one row: attach the others as scalar subqueries (no join)
     extra = {}
@@ -97,10 +98,19 @@ def thresholds(
     return first.withColumns(extra).select(*THRESHOLD_COLUMNS)
 
 
-def customer_profile(customers: DataFrame, thr: DataFrame, as_of: dt.date) -> DataFrame:
-    """Customer base + tier, RFM scores/segment, churn fields and tag."""
-    t = thr.select(F.struct(*THRESHOLD_COLUMNS).alias("t")).scalar()
-    g = t.getField
+def customer_profile(customers: DataFrame, thr: DataFrame | dict, as_of: dt.date) -> DataFrame:
+    """Customer base + tier, RFM scores/segment, churn fields and tag.
+
+    ``thr`` is the one-row thresholds frame (applied as a scalar subquery) or
+    its collected values (applied as literals)."""
+    if isinstance(thr, DataFrame):
+        t = thr.select(F.struct(*THRESHOLD_COLUMNS).alias("t")).scalar()
+        g = t.getField
+    else:
+        values = dict(thr)
+
+        def g(name: str) -> Column:
+            return F.lit(values[name])
     r = L.recency_score("recency_days", g("recency_p33"), g("recency_p67"))
     f = L.magnitude_score("total_orders", g("frequency_p33"), g("frequency_p67"))
     m = L.magnitude_score("total_clv", g("monetary_p33"), g("monetary_p67"))

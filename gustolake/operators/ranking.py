@@ -5,12 +5,13 @@ value of the column in a single task. Here the work is spread instead:
 
 1. count rows per distinct value (a shuffle with map-side partial counts,
    so a value shared by a huge share of the rows is one row afterwards);
-2. cut the distinct values into ``buckets`` ranges with a bounded
-   ``percentile_approx`` sketch; its ``buckets - 1`` cut points are fetched
-   once (a bounded collect, like ``approxQuantile``) and become literals in a
-   binary-search CASE tree, so every consumer sees the same assignment;
+2. cut the values into ranges of about ``rows_per_bucket`` with a bounded
+   ``percentile_approx`` sketch; the cut points (at most ``MAX_BUCKETS - 1``)
+   are fetched once (a bounded collect, like ``approxQuantile``) and become
+   literals in a binary-search CASE tree, so every consumer sees the same
+   assignment; a column that fits one bucket needs no cuts at all;
 3. a running count inside each bucket (a window partitioned by bucket);
-4. per-bucket totals -> offsets over at most ``buckets`` rows, broadcast
+4. per-bucket totals -> offsets over at most ``MAX_BUCKETS`` rows, broadcast
    back (its size is bounded by the parameter, not by the data).
 
 ``below`` is then the exact number of rows strictly smaller than the value,
@@ -25,25 +26,52 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 64
-SKETCH_ACCURACY = 10_000
+ROWS_PER_BUCKET = 1_000_000
+MAX_BUCKETS = 1024
+SKETCH_ACCURACY = 10 * MAX_BUCKETS
+
+
+def cut_points(
+    df: DataFrame, cols: Sequence[str], rows_per_bucket: int = ROWS_PER_BUCKET, max_buckets: int = MAX_BUCKETS
+) -> dict[str, list]:
+    """Sorted cut points per column so that each bucket holds about
+    ``rows_per_bucket`` values (none when the column fits in one bucket).
+
+    One job for all columns: a row count and one bounded quantile sketch per
+    column and partition, merged. The sketch has ``max_buckets - 1`` levels;
+    the needed number of cuts is picked from them evenly."""
+    probs = [i / max_buckets for i in range(1, max_buckets)]
+    aggs = []
+    for i, c in enumerate(cols):
+        aggs += [F.count(c).alias(f"_n{i}"), F.percentile_approx(c, probs, SKETCH_ACCURACY).alias(f"_q{i}")]
+    row = df.agg(*aggs).first()
+    out = {}
+    for i, c in enumerate(cols):
+        n, levels = row[f"_n{i}"], row[f"_q{i}"] or []
+        nb = min(max_buckets, -(-n // rows_per_bucket)) if n else 0
+        if nb <= 1 or not levels:
+            out[c] = []
+            continue
+        picked = [levels[min(len(levels) - 1, (j * max_buckets) // nb - 1)] for j in range(1, nb)]
+        out[c] = sorted({v for v in picked if v is not None})
+    return out
 
 
 def cumulative_counts(
-    df: DataFrame, col: str, buckets: int = DEFAULT_BUCKETS
+    df: DataFrame, col: str, rows_per_bucket: int = ROWS_PER_BUCKET, cuts: Sequence | None = None
 ) -> DataFrame:
     """One row per distinct non-null value of ``col``:
-    ``_v`` value, ``_c`` rows with it, ``_below`` rows strictly smaller, ``_n`` all non-null rows."""
+    ``_v`` value, ``_c`` rows with it, ``_below`` rows strictly smaller, ``_n`` all non-null rows.
+
+    ``cuts`` (sorted) may be given, e.g. from ``cut_points`` for several
+    columns at once; otherwise they are computed here (one job)."""
     vc = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    cuts: list = []
-    if buckets > 1:
-        probs = [i / buckets for i in range(1, buckets)]
-        row = vc.agg(F.percentile_approx("_v", probs, SKETCH_ACCURACY).alias("q")).first()
-        cuts = sorted({c for c in (row["q"] or []) if c is not None})
-    b = vc.withColumn("_b", bucket_of(F.col("_v"), cuts))
+    if cuts is None:
+        cuts = cut_points(vc, ["_v"], rows_per_bucket)["_v"]
+    b = vc.withColumn("_b", bucket_of(F.col("_v"), list(cuts)))
     running = Window.partitionBy("_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = b.withColumn("_run", F.sum("_c").over(running))
-    # bucket totals = last running count; at most `buckets` rows from here on
+    # bucket totals = last running count; at most MAX_BUCKETS rows from here on
     totals = local.groupBy("_b").agg(F.max("_run").alias("_bc"))
     before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
@@ -74,11 +102,12 @@ def rank_position(p: float) -> Column:
 
 
 def exact_quantiles(
-    df: DataFrame, col: str, probs: Sequence[float], names: Sequence[str], buckets: int = DEFAULT_BUCKETS
+    df: DataFrame, col: str, probs: Sequence[float], names: Sequence[str],
+    rows_per_bucket: int = ROWS_PER_BUCKET, cuts: Sequence | None = None,
 ) -> DataFrame:
     """One row: for each p the value at rank max(1, ceil(p*n)) of the sorted
     non-null values (null when there are none). Values keep the column's type."""
-    cc = cumulative_counts(df, col, buckets)
+    cc = cumulative_counts(df, col, rows_per_bucket, cuts)
     aggs = []
     for p, name in zip(probs, names, strict=True):
         k = rank_position(p)
@@ -97,24 +126,24 @@ def approx_quantiles(
 
 
 def global_rank(
-    df: DataFrame, col: str, name: str, descending: bool = True, buckets: int = DEFAULT_BUCKETS
+    df: DataFrame, col: str, name: str, descending: bool = True, rows_per_bucket: int = ROWS_PER_BUCKET
 ) -> DataFrame:
     """``df`` plus ``rank()`` over the whole frame ordered by ``col``.
 
     Ties share a rank and the next rank skips. Descending puts nulls last,
-    ascending puts them first (Spark's defaults for ``rank()``).
+    ascending puts them first (Spark's defaults for ``rank()``). The ranks are
+    computed per distinct value and joined back on the value (null-safe).
     """
-    cc = cumulative_counts(df, col, buckets)
-    if descending:
-        rank = F.col("_n") - F.col("_below") - F.col("_c") + 1
-    else:
-        rank = F.col("_below") + 1
-    ranks = cc.select(F.col("_v"), rank.alias("_rank"))
-    n_nonnull = F.coalesce(cc.agg(F.max("_n")).scalar(), F.lit(0))
-    n_null = df.where(F.col(col).isNull()).agg(F.count(F.lit(1))).scalar()
-    joined = df.join(ranks, df[col] == ranks["_v"], "left")
+    cc = cumulative_counts(df, col, rows_per_bucket)
+    null_v = F.lit(None).cast(df.schema[col].dataType).alias("_v")
     if descending:
-        filled = F.coalesce(F.col("_rank"), n_nonnull + 1)
+        ranks = cc.select(F.col("_v"), (F.col("_n") - F.col("_below") - F.col("_c") + 1).alias("_rank"))
+        # nulls rank after every non-null row; one extra row from a one-row aggregate
+        null_row = cc.agg(null_v, (F.coalesce(F.max("_n"), F.lit(0)) + 1).alias("_rank"))
     else:
-        filled = F.when(F.col(col).isNull(), F.lit(1)).otherwise(F.col("_rank") + n_null)
-    return joined.withColumn(name, filled.cast("int")).drop("_v", "_rank")
+        n_null = df.where(F.col(col).isNull()).agg(F.count(F.lit(1))).scalar()
+        ranks = cc.select(F.col("_v"), (F.col("_below") + 1 + n_null).alias("_rank"))
+        null_row = cc.agg(null_v, F.lit(1).cast("long").alias("_rank"))
+    ranks = ranks.unionByName(null_row)
+    joined = df.join(ranks, df[col].eqNullSafe(ranks["_v"]), "left")
+    return joined.withColumn(name, F.col("_rank").cast("int")).drop("_v", "_rank")

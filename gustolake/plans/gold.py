@@ -1,16 +1,22 @@
 """Gold: the eight published metric tables.
 
-``build`` is fully lazy (used by the verification queries). ``run`` is the
-production job: it writes the order base and the per-customer aggregate once
-to the shared checkpoint folder and derives every table from those, so the
-order table is computed once instead of once per output (the published job
-recomputed it for each write, count and quantile call).
+The order base feeds every table and the per-customer aggregate feeds four of
+them plus the quantile thresholds, so both are *stage points*: with a
+``stage`` function they are materialised once and everything downstream
+reads the materialised copy (the published job recomputed the order table
+for each of its writes, counts and quantile calls). ``run`` stages to the
+shared checkpoint folder with a write + read, which also cuts the lineage: a
+lost executor re-reads files instead of recomputing upstream shuffles.
+
+Tables are built on first access, so a caller needing one table does not pay
+for the others (e.g. location performance never computes thresholds).
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,38 +26,103 @@ from gustolake.sources import contracts as C
 from gustolake.sources import io
 
 GOLD_DATABASE = "gold"
+Stage = Callable[[DataFrame, str], DataFrame]
 
 
-def _tables(
-    orders: DataFrame, customers: DataFrame, silver: dict[str, DataFrame], as_of: dt.date, approx: bool
-) -> dict[str, DataFrame]:
-    profile = metrics.customer_profile(customers, metrics.thresholds(customers, approx=approx), as_of)
-    tables = {
-        "fact_daily_clv": metrics.clv(profile),
-        "fact_rfm_segments": metrics.rfm(profile),
-        "fact_churn_indicators": metrics.churn(profile),
-        "fact_sales_trends": metrics.sales_trends(orders, silver["order_items"], silver["date_dim"]),
-        "fact_loyalty_comparison": metrics.loyalty(orders, as_of),
-        "fact_location_performance": metrics.location(orders, as_of),
-        "fact_discount_effectiveness": metrics.discount(orders, as_of),
-        "dim_customer": metrics.dim_customer(profile),
-    }
-    return {name: io.to_contract_types(df, C.GOLD_CONTRACTS[name]) for name, df in tables.items()}
+def no_stage(df: DataFrame, name: str) -> DataFrame:
+    return df
 
 
-def build(
-    silver: dict[str, DataFrame], as_of: dt.date, approx: bool = False, discount_mode: str = "twice"
-) -> dict[str, DataFrame]:
-    """Lazy gold tables in their published schema."""
-    orders = base.build(silver, discount_mode)
-    return _tables(orders, metrics.customer_base(orders, as_of), silver, as_of, approx)
+def checkpoint_stage(df: DataFrame, name: str) -> DataFrame:
+    """Reliable checkpoint into the session's checkpoint folder."""
+    scratch_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def path_stage(spark: SparkSession, root: str) -> Stage:
+    """Write to ``root/<name>`` (Parquet) and read back."""
+
+    def stage(df: DataFrame, name: str) -> DataFrame:
+        path = f"{root.rstrip('/')}/{name}"
+        io.write_layer(df, path)
+        return io.read_layer(spark, path)
+
+    return stage
+
+
+class GoldTables(Mapping[str, DataFrame]):
+    """name -> gold table in its published schema, built on first access."""
+
+    NAMES = tuple(C.GOLD_CONTRACTS)
 
+    def __init__(self, silver: dict[str, DataFrame], as_of: dt.date, approx: bool = False,
+                 discount_mode: str = "twice", stage: Stage = no_stage):
+        self.silver, self.as_of, self.approx = silver, as_of, approx
+        self.discount_mode, self.stage = discount_mode, stage
+        self._memo: dict[str, DataFrame] = {}
 
-def materialize(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
-    """Write to shared storage and read back: cuts the lineage, so a lost
-    executor re-reads the file instead of recomputing the upstream shuffles."""
-    io.write_layer(df, path)
-    return io.read_layer(spark, path)
+    def _once(self, key: str, make: Callable[[], DataFrame]) -> DataFrame:
+        if key not in self._memo:
+            self._memo[key] = make()
+        return self._memo[key]
+
+    @property
+    def orders(self) -> DataFrame:
+        return self._once("_orders", lambda: self.stage(base.build(self.silver, self.discount_mode), "order_base"))
+
+    @property
+    def customers(self) -> DataFrame:
+        return self._once(
+            "_customers", lambda: self.stage(metrics.customer_base(self.orders, self.as_of), "customer_base")
+        )
+
+    @property
+    def profile(self) -> DataFrame:
+        def make() -> DataFrame:
+            thr = metrics.thresholds(self.customers, approx=self.approx)
+            if self.stage is not no_stage:
+                # eight scalars: fetch once and apply as literals, like the
+                # published job's approxQuantile, instead of re-running the
+                # quantile plan inside every table that uses them
+                thr = thr.first().asDict()
+            return self.stage(metrics.customer_profile(self.customers, thr, self.as_of), "customer_profile")
+
+        return self._once("_profile", make)
+
+    def _make(self, name: str) -> DataFrame:
+        a = self.as_of
+        makers: dict[str, Callable[[], DataFrame]] = {
+            "fact_daily_clv": lambda: metrics.clv(self.profile),
+            "fact_rfm_segments": lambda: metrics.rfm(self.profile),
+            "fact_churn_indicators": lambda: metrics.churn(self.profile),
+            "fact_sales_trends": lambda: metrics.sales_trends(
+                self.orders, self.silver["order_items"], self.silver["date_dim"]
+            ),
+            "fact_loyalty_comparison": lambda: metrics.loyalty(self.orders, a),
+            "fact_location_performance": lambda: metrics.location(self.orders, a),
+            "fact_discount_effectiveness": lambda: metrics.discount(self.orders, a),
+            "dim_customer": lambda: metrics.dim_customer(self.profile),
+        }
+        return io.to_contract_types(makers[name](), C.GOLD_CONTRACTS[name])
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in C.GOLD_CONTRACTS:
+            raise KeyError(name)
+        return self._once(name, lambda: self._make(name))
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.NAMES)
+
+    def __len__(self) -> int:
+        return len(self.NAMES)
+
+
+def build(
+    silver: dict[str, DataFrame], as_of: dt.date, approx: bool = False, discount_mode: str = "twice",
+    stage: Stage = no_stage,
+) -> GoldTables:
+    """Gold tables in their published schema (lazy unless ``stage`` materialises)."""
+    return GoldTables(silver, as_of, approx, discount_mode, stage)
 
 
 def run(
@@ -65,12 +136,10 @@ def run(
     stage_root: str | None = None,
 ) -> dict[str, DataFrame]:
     """Compute and publish all gold tables; returns name -> published table."""
-    stage = (stage_root or scratch_dir(spark, f"gold-stage-{uuid.uuid4().hex[:8]}")).rstrip("/")
-    orders = materialize(spark, base.build(silver, discount_mode), f"{stage}/order_base")
-    customers = materialize(spark, metrics.customer_base(orders, as_of), f"{stage}/customer_base")
-    tables = _tables(orders, customers, silver, as_of, approx)
+    stage_root = stage_root or scratch_dir(spark, f"gold-stage-{uuid.uuid4().hex[:8]}")
+    tables = build(silver, as_of, approx, discount_mode, stage=path_stage(spark, stage_root))
     root = gold_root.rstrip("/")
     return {
-        name: io.publish(spark, df, C.GOLD_CONTRACTS[name], f"{root}/{name}", name, database)
-        for name, df in tables.items()
+        name: io.publish(spark, tables[name], C.GOLD_CONTRACTS[name], f"{root}/{name}", name, database)
+        for name in tables
     }
