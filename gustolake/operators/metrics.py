@@ -82,20 +82,11 @@ def thresholds(
         ("recency_days", list(rfm_q), ["recency_p33", "recency_p67"]),
         ("total_orders", list(rfm_q), ["frequency_p33", "frequency_p67"]),
     ]
-    parts = []
-    cuts = {} if approx else ranking.cut_points(customers, [c for c, _, _ in specs])
-    for col, probs, names in specs:
-        if approx:
-            parts.append(ranking.approx_quantiles(customers, col, probs, names, relative_error))
-        else:
-            parts.append(ranking.exact_quantiles(customers, col, probs, names, cuts=cuts[col]))
-    first, rest = parts[0], parts[1:]
-    # each part is one row: attach the others as scalar subqueries (no join)
-    extra = {}
-    for part in rest:
-        for c in part.columns:
-            extra[c] = part.select(c).scalar()
-    return first.withColumns(extra).select(*THRESHOLD_COLUMNS)
+    if approx:
+        thr = ranking.approx_quantiles_multi(customers, specs, relative_error)
+    else:
+        thr = ranking.exact_quantiles_multi(customers, specs)
+    return thr.select(*THRESHOLD_COLUMNS)
 
 
 def customer_profile(customers: DataFrame, thr: DataFrame | dict, as_of: dt.date) -> DataFrame:

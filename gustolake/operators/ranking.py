@@ -25,6 +25,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 1024
@@ -57,30 +58,59 @@ def cut_points(
     return out
 
 
+def _common_type(df: DataFrame, cols: Sequence[str]) -> T.DataType:
+    """A type holding every value of ``cols`` exactly (for stacking measures)."""
+    types = [df.schema[c].dataType for c in cols]
+    if len(set(types)) == 1:
+        return types[0]
+    if all(isinstance(t, (T.DecimalType, T.IntegralType)) for t in types):
+        scale = max((t.scale for t in types if isinstance(t, T.DecimalType)), default=0)
+        return T.DecimalType(38, scale)
+    if all(isinstance(t, T.NumericType) for t in types):
+        return T.DoubleType()
+    raise TypeError(f"cannot rank {cols} together: {types}")
+
+
 def cumulative_counts(
-    df: DataFrame, col: str, rows_per_bucket: int = ROWS_PER_BUCKET, cuts: Sequence | None = None
+    df: DataFrame, cols: str | Sequence[str], rows_per_bucket: int = ROWS_PER_BUCKET, cuts: dict | None = None
 ) -> DataFrame:
-    """One row per distinct non-null value of ``col``:
-    ``_v`` value, ``_c`` rows with it, ``_below`` rows strictly smaller, ``_n`` all non-null rows.
-
-    ``cuts`` (sorted) may be given, e.g. from ``cut_points`` for several
-    columns at once; otherwise they are computed here (one job)."""
-    vc = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    """One row per (measure, distinct non-null value): ``_m`` measure index
+    (position in ``cols``), ``_v`` value, ``_c`` rows with it, ``_below`` rows
+    of that measure strictly smaller, ``_n`` non-null rows of that measure.
+
+    Several measures are stacked and processed in one pass (values cast to a
+    common exact type). ``cuts`` (column -> sorted cut points) may be given,
+    e.g. from ``cut_points``; otherwise they are computed here (one job)."""
+    cols = [cols] if isinstance(cols, str) else list(cols)
+    if len(cols) == 1:
+        long = df.select(F.lit(0).alias("_m"), F.col(cols[0]).alias("_v"))
+    else:
+        common = _common_type(df, cols)
+        long = df.select(
+            F.inline(F.array(*[
+                F.struct(F.lit(i).alias("_m"), F.col(c).cast(common).alias("_v")) for i, c in enumerate(cols)
+            ]))
+        )
+    vc = long.where(F.col("_v").isNotNull()).groupBy("_m", "_v").agg(F.count(F.lit(1)).alias("_c"))
     if cuts is None:
-        cuts = cut_points(vc, ["_v"], rows_per_bucket)["_v"]
-    b = vc.withColumn("_b", bucket_of(F.col("_v"), list(cuts)))
-    running = Window.partitionBy("_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        cuts = cut_points(df, cols, rows_per_bucket)
+    bucket = None
+    for i, c in enumerate(cols):
+        tree = bucket_of(F.col("_v"), list(cuts.get(c, [])))
+        bucket = F.when(F.col("_m") == i, tree) if bucket is None else bucket.when(F.col("_m") == i, tree)
+    b = vc.withColumn("_b", bucket)
+    running = Window.partitionBy("_m", "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = b.withColumn("_run", F.sum("_c").over(running))
-    # bucket totals = last running count; at most MAX_BUCKETS rows from here on
-    totals = local.groupBy("_b").agg(F.max("_run").alias("_bc"))
-    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    # bucket totals = last running count; at most len(cols) * MAX_BUCKETS rows from here on
+    totals = local.groupBy("_m", "_b").agg(F.max("_run").alias("_bc"))
+    before = Window.partitionBy("_m").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        "_b",
+        "_m", "_b",
         F.coalesce(F.sum("_bc").over(before), F.lit(0)).alias("_off"),
-        F.sum("_bc").over(Window.partitionBy()).alias("_n"),
+        F.sum("_bc").over(Window.partitionBy("_m")).alias("_n"),
     )
-    out = local.join(F.broadcast(offsets), "_b")
-    return out.select("_v", "_c", (F.col("_off") + F.col("_run") - F.col("_c")).alias("_below"), "_n")
+    out = local.join(F.broadcast(offsets), ["_m", "_b"])
+    return out.select("_m", "_v", "_c", (F.col("_off") + F.col("_run") - F.col("_c")).alias("_below"), "_n")
 
 
 def bucket_of(v: Column, cuts: Sequence) -> Column:
@@ -101,28 +131,51 @@ def rank_position(p: float) -> Column:
     return F.greatest(F.lit(1), F.ceil(F.lit(float(p)) * F.col("_n")))
 
 
+def exact_quantiles_multi(
+    df: DataFrame,
+    specs: Sequence[tuple[str, Sequence[float], Sequence[str]]],
+    rows_per_bucket: int = ROWS_PER_BUCKET,
+    cuts: dict | None = None,
+) -> DataFrame:
+    """One row holding, for every (column, probabilities, names) spec, the
+    value at rank max(1, ceil(p*n)) of that column's sorted non-null values
+    (null when there are none), in the column's own type. All columns share
+    one pass."""
+    cols = [c for c, _, _ in specs]
+    cc = cumulative_counts(df, cols, rows_per_bucket, cuts)
+    aggs = []
+    for i, (c, probs, names) in enumerate(specs):
+        for p, name in zip(probs, names, strict=True):
+            k = rank_position(p)
+            hit = (F.col("_m") == i) & (F.col("_below") < k) & (k <= F.col("_below") + F.col("_c"))
+            aggs.append(F.max(F.when(hit, F.col("_v"))).cast(df.schema[c].dataType).alias(name))
+    return cc.agg(*aggs)
+
+
 def exact_quantiles(
     df: DataFrame, col: str, probs: Sequence[float], names: Sequence[str],
     rows_per_bucket: int = ROWS_PER_BUCKET, cuts: Sequence | None = None,
 ) -> DataFrame:
-    """One row: for each p the value at rank max(1, ceil(p*n)) of the sorted
-    non-null values (null when there are none). Values keep the column's type."""
-    cc = cumulative_counts(df, col, rows_per_bucket, cuts)
-    aggs = []
-    for p, name in zip(probs, names, strict=True):
-        k = rank_position(p)
-        hit = (F.col("_below") < k) & (k <= F.col("_below") + F.col("_c"))
-        aggs.append(F.max(F.when(hit, F.col("_v"))).alias(name))
-    return cc.agg(*aggs)
+    """``exact_quantiles_multi`` for one column."""
+    return exact_quantiles_multi(
+        df, [(col, probs, names)], rows_per_bucket, None if cuts is None else {col: list(cuts)}
+    )
+
+
+def approx_quantiles_multi(
+    df: DataFrame, specs: Sequence[tuple[str, Sequence[float], Sequence[str]]], relative_error: float = 0.01
+) -> DataFrame:
+    """One row of approximate quantiles for every spec, in one aggregate (a
+    bounded sketch per column and partition, merged)."""
+    acc = max(1, int(round(1.0 / relative_error)))
+    q = df.agg(*[F.percentile_approx(c, list(p), acc).alias(f"_q{i}") for i, (c, p, _) in enumerate(specs)])
+    return q.select(*[F.col(f"_q{i}")[j].alias(n) for i, (_, _, names) in enumerate(specs) for j, n in enumerate(names)])
 
 
 def approx_quantiles(
     df: DataFrame, col: str, probs: Sequence[float], names: Sequence[str], relative_error: float = 0.01
 ) -> DataFrame:
-    """One row of approximate quantiles (a bounded sketch per partition, merged)."""
-    acc = max(1, int(round(1.0 / relative_error)))
-    q = df.agg(F.percentile_approx(col, list(probs), acc).alias("_q"))
-    return q.select(*[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+    return approx_quantiles_multi(df, [(col, probs, names)], relative_error)
 
 
 def global_rank(

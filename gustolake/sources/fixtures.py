@@ -32,8 +32,22 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _read_lines(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
+    """The line table, spread over at least the default parallelism.
+
+    A production source read is split across executors (a JDBC read with
+    partitionColumn/numPartitions, or many files); a test file written as a
+    single row group scans as one task, so it is hash-spread by order key here.
+    Large inputs already have enough splits and are left as they are."""
+    li = _read(spark, sf_dir, "lineitem").select(*cols)
+    want = spark.sparkContext.defaultParallelism
+    if li.rdd.getNumPartitions() < want:
+        li = li.repartition(want, "l_orderkey")
+    return li
+
+
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
+    li = _read_lines(spark, sf_dir, "l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
     o = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     c = _read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     p = _read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_retailprice")
@@ -73,9 +87,7 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_item_options(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _read(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_tax", "l_discount"
-    )
+    li = _read_lines(spark, sf_dir, "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_tax", "l_discount")
     p = _read(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
     j = li.join(p, li.l_partkey == p.p_partkey)
     price = F.col("p_retailprice").cast("decimal(10,2)")
