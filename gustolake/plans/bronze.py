@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gustolake.plans import jobs
 from gustolake.sources import io
 
 INGEST_PARTITIONS = ("_ingestion_year", "_ingestion_month", "_ingestion_day")
@@ -54,10 +55,11 @@ def latest_ingest_date(spark: SparkSession, path: str) -> dt.date:
 
 
 def run(spark: SparkSession, sources: dict[str, DataFrame], bronze_root: str, ingest_date: dt.date) -> dict[str, str]:
-    """Ingest every source table; returns table -> bronze path. Fails on the first error."""
-    paths = {}
-    for name, df in sources.items():
-        path = f"{bronze_root.rstrip('/')}/{name}"
-        write(ingest(df, ingest_date), path)
-        paths[name] = path
+    """Ingest every source table (concurrently); returns table -> bronze path.
+    Fails on the first error."""
+    paths = {name: f"{bronze_root.rstrip('/')}/{name}" for name in sources}
+    jobs.run_all({
+        name: (lambda name=name, df=df: write(ingest(df, ingest_date), paths[name]))
+        for name, df in sources.items()
+    })
     return paths

@@ -15,17 +15,20 @@ for the others (e.g. location performance never computes thresholds).
 from __future__ import annotations
 
 import datetime as dt
+import threading
 import uuid
 from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
 from gustolake.operators import base, metrics
+from gustolake.plans import jobs
 from gustolake.session import scratch_dir
 from gustolake.sources import contracts as C
 from gustolake.sources import io
 
 GOLD_DATABASE = "gold"
+PROFILE_TABLES = ("fact_daily_clv", "fact_rfm_segments", "fact_churn_indicators", "dim_customer")
 Stage = Callable[[DataFrame, str], DataFrame]
 
 
@@ -60,11 +63,13 @@ class GoldTables(Mapping[str, DataFrame]):
         self.silver, self.as_of, self.approx = silver, as_of, approx
         self.discount_mode, self.stage = discount_mode, stage
         self._memo: dict[str, DataFrame] = {}
+        self._lock = threading.RLock()  # tables may be requested from several threads
 
     def _once(self, key: str, make: Callable[[], DataFrame]) -> DataFrame:
-        if key not in self._memo:
-            self._memo[key] = make()
-        return self._memo[key]
+        with self._lock:
+            if key not in self._memo:
+                self._memo[key] = make()
+            return self._memo[key]
 
     @property
     def orders(self) -> DataFrame:
@@ -139,7 +144,16 @@ def run(
     stage_root = stage_root or scratch_dir(spark, f"gold-stage-{uuid.uuid4().hex[:8]}")
     tables = build(silver, as_of, approx, discount_mode, stage=path_stage(spark, stage_root))
     root = gold_root.rstrip("/")
-    return {
-        name: io.publish(spark, tables[name], C.GOLD_CONTRACTS[name], f"{root}/{name}", name, database)
-        for name in tables
-    }
+    if database:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    tables.orders  # every table reads the staged order base: stage it first
+    # tables needing only the order base first, so they run while the customer
+    # profile (aggregate -> thresholds -> labels) is being staged
+    order = sorted(tables, key=lambda n: n in PROFILE_TABLES)
+    published = jobs.run_all({
+        name: (lambda name=name: io.publish(
+            spark, tables[name], C.GOLD_CONTRACTS[name], f"{root}/{name}", name, database
+        ))
+        for name in order
+    })
+    return {name: published[name] for name in tables}

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gustolake.functions.clean import blank_to_null, negative_flag, strip_urls
 from gustolake.operators.clean import dedup, normalize_columns, require_keys, to_contract, void_to_string
+from gustolake.plans import jobs
 from gustolake.sources import contracts as C
 from gustolake.sources import io
 
@@ -74,12 +75,14 @@ def write(silver: dict[str, DataFrame], silver_root: str) -> dict[str, str]:
     writes a few large files; the other two unpartitioned."""
     root = silver_root.rstrip("/")
     paths = {name: f"{root}/{name}" for name in silver}
-    io.write_layer(
-        silver["order_items"], paths["order_items"],
-        partition_by=("order_year", "order_month"), cluster_by=("order_id",),
-    )
-    io.write_layer(silver["order_item_options"], paths["order_item_options"])
-    io.write_layer(silver["date_dim"], paths["date_dim"])
+    jobs.run_all({
+        "order_items": lambda: io.write_layer(
+            silver["order_items"], paths["order_items"],
+            partition_by=("order_year", "order_month"), cluster_by=("order_id",),
+        ),
+        "order_item_options": lambda: io.write_layer(silver["order_item_options"], paths["order_item_options"]),
+        "date_dim": lambda: io.write_layer(silver["date_dim"], paths["date_dim"]),
+    })
     return paths
 
 
