@@ -354,10 +354,6 @@ def with_ctes(body: str) -> str:
     return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + body
 
 
-def _dbl(cols: str) -> str:
-    return cols
-
-
 ITEM_COLS = ("restaurant_id, creation_time_utc, order_id, user_id, printed_card_number, is_loyalty, currency, "
              "lineitem_id, item_category, item_name, CAST(item_price AS DOUBLE) AS item_price, item_quantity, app_name")
 SILVER_ITEM_COLS = ITEM_COLS + (", order_date, order_year, order_month, order_hour, "

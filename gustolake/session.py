@@ -19,17 +19,34 @@ SESSION_DEFAULTS: dict[str, str] = {
 }
 
 
+# Sizing for a large cluster (hundreds of TB of line items): AQE starts from
+# many shuffle partitions and coalesces them to ~256 MB each, scans split into
+# 256 MB pieces, and skewed join partitions (> 5x median and > 1 GB) are split.
+CLUSTER_DEFAULTS: dict[str, str] = {
+    "spark.sql.shuffle.partitions": "8192",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "32768",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+}
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "gustolake",
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
+    cluster: bool = False,
 ) -> SparkSession:
-    """Create (or reuse) a session with the package defaults applied."""
+    """Create (or reuse) a session with the package defaults applied
+    (``cluster=True`` adds the large-cluster sizing)."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(SESSION_DEFAULTS)
+    if cluster:
+        conf.update(CLUSTER_DEFAULTS)
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

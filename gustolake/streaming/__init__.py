@@ -1,0 +1,7 @@
+"""Intentionally empty.
+
+The workload is a daily batch pipeline over full snapshots of the source
+tables; there are no streams, watermarks, windows over event time or state in
+it. Incremental history is kept by the day-partitioned bronze layer
+(``plans.bronze``), and each run reads exactly one ingest day.
+"""
