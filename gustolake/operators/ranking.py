@@ -100,6 +100,15 @@ def cumulative_counts(
         bucket = F.when(F.col("_m") == i, tree) if bucket is None else bucket.when(F.col("_m") == i, tree)
     b = vc.withColumn("_b", bucket)
     running = Window.partitionBy("_m", "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    if not any(cuts.get(c) for c in cols):
+        # every measure fits one bucket (at most rows_per_bucket values): no
+        # offsets to add; the total comes from the same window partition
+        whole = Window.partitionBy("_m", "_b")
+        return b.select(
+            "_m", "_v", "_c",
+            (F.sum("_c").over(running) - F.col("_c")).alias("_below"),
+            F.sum("_c").over(whole).alias("_n"),
+        )
     local = b.withColumn("_run", F.sum("_c").over(running))
     # bucket totals = last running count; at most len(cols) * MAX_BUCKETS rows from here on
     totals = local.groupBy("_m", "_b").agg(F.max("_run").alias("_bc"))
