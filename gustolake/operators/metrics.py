@@ -89,7 +89,13 @@ def thresholds(
     return thr.select(*THRESHOLD_COLUMNS)
 
 
-def customer_profile(customers: DataFrame, thr: DataFrame | dict, as_of: dt.date) -> DataFrame:
+def customer_profile(
+    customers: DataFrame,
+    thr: DataFrame | dict,
+    as_of: dt.date,
+    warn_days: int = L.CHURN_WARN_DAYS,
+    risk_days: int = L.CHURN_RISK_DAYS,
+) -> DataFrame:
     """Customer base + tier, RFM scores/segment, churn fields and tag.
 
     ``thr`` is the one-row thresholds frame (applied as a scalar subquery) or
@@ -123,7 +129,7 @@ def customer_profile(customers: DataFrame, thr: DataFrame | dict, as_of: dt.date
             "spend_pct_change": F.when(
                 prior.isNotNull() & (prior != 0), (F.col("spend_last_30d") - prior) / prior * 100
             ),
-            "churn_risk_tag": L.churn_tag("recency_days"),
+            "churn_risk_tag": L.churn_tag("recency_days", warn_days, risk_days),
         }
     )
     df = df.withColumn("rfm_score", F.col("r_score") + F.col("f_score") + F.col("m_score"))
