@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -77,18 +78,28 @@ def publish(
     path: str,
     name: str,
     database: str | None = None,
+    version: str | None = None,
 ) -> DataFrame:
-    """Write ``df`` in its declared schema and register it as an external table."""
+    """Write ``df`` in its declared schema and register it as an external table.
+
+    Each publish writes a new version folder under ``path`` and only then points
+    the table at it, so readers never see a half-written table and a failed
+    run leaves the previous version in place. ``version`` defaults to a fresh id.
+    """
     out = to_contract_types(df, schema)
-    write_layer(out, path)
+    location = f"{path.rstrip('/')}/_version={version or uuid.uuid4().hex[:12]}"
+    write_layer(out, location)
     qualified = f"{database}.{name}" if database else name
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    spark.sql(f"DROP TABLE IF EXISTS {qualified}")
-    spark.sql(
-        f"CREATE TABLE {qualified} USING parquet LOCATION '{path}' "
-        f"OPTIONS (compression 'snappy')"
-    )
+    if spark.catalog.tableExists(qualified):
+        spark.sql(f"ALTER TABLE {qualified} SET LOCATION '{location}'")
+        spark.catalog.refreshTable(qualified)
+    else:
+        spark.sql(
+            f"CREATE TABLE {qualified} USING parquet LOCATION '{location}' "
+            f"OPTIONS (compression 'snappy')"
+        )
     return spark.table(qualified)
 
 

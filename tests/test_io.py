@@ -36,3 +36,17 @@ def test_full_pipeline_run_sf0001(spark):
     assert q[("fact_daily_clv", "gold")] == q[("dim_customer", "gold")]
     items = silver.read(spark, res.silver_paths)["order_items"]
     assert [f.name for f in items.schema.fields] == [f.name for f in C.SILVER_ORDER_ITEMS.fields]
+
+
+def test_publish_twice_switches_version(spark):
+    from pyspark.sql import functions as F
+
+    root = scratch_dir(spark, f"t-pub-{uuid.uuid4().hex[:8]}")
+    db = f"t_pub_{uuid.uuid4().hex[:6]}"
+    schema = C.FACT_LOYALTY_COMPARISON
+    first = spark.createDataFrame([(True, 1, 1.0, 1.0, 1.0, 1.0, "2001-08-01")], schema)
+    second = spark.createDataFrame([(False, 2, 2.0, 2.0, 2.0, 2.0, "2001-08-02")], schema)
+    io.publish(spark, first, schema, f"{root}/t", "t", db)
+    out = io.publish(spark, second, schema, f"{root}/t", "t", db)
+    assert [r["snapshot_date"] for r in out.collect()] == ["2001-08-02"]
+    assert spark.table(f"{db}.t").agg(F.sum("customer_count")).first()[0] == 2
