@@ -253,7 +253,15 @@ def loyalty(orders: DataFrame, as_of: dt.date) -> DataFrame:
 
 
 # --- locations -------------------------------------------------------------------------
-def location(orders: DataFrame, as_of: dt.date, top: int = L.TOP_RANK, mid: int = L.MID_RANK) -> DataFrame:
+def location(
+    orders: DataFrame, as_of: dt.date, top: int = L.TOP_RANK, mid: int = L.MID_RANK, stage=None
+) -> DataFrame:
+    """Per-location totals, global revenue rank and tier.
+
+    The rank needs a row count of its input before it runs (to size its
+    buckets); ``stage`` (df, name) -> df materialises the per-location
+    aggregate first (one row per location), so that count and the rank read
+    the small staged table instead of re-aggregating the whole order table."""
     loc = orders.groupBy("restaurant_id").agg(
         F.sum("net_revenue").alias("total_revenue"),
         _avg("net_revenue").alias("avg_order_value"),
@@ -262,6 +270,8 @@ def location(orders: DataFrame, as_of: dt.date, top: int = L.TOP_RANK, mid: int
         F.count_distinct("order_date").alias("active_days"),
     )
     loc = loc.withColumn("orders_per_day", F.try_divide(F.col("total_orders"), F.col("active_days")))
+    if stage is not None:
+        loc = stage(loc, "location_base")
     loc = ranking.global_rank(loc, "total_revenue", "revenue_rank", descending=True)
     return loc.withColumns(
         {"performance_tier": L.performance_tier("revenue_rank", top, mid), "snapshot_date": _snapshot(as_of)}

@@ -104,7 +104,7 @@ class GoldTables(Mapping[str, DataFrame]):
                 self.orders, self.silver["order_items"], self.silver["date_dim"]
             ),
             "fact_loyalty_comparison": lambda: metrics.loyalty(self.orders, a),
-            "fact_location_performance": lambda: metrics.location(self.orders, a),
+            "fact_location_performance": lambda: metrics.location(self.orders, a, stage=self.stage),
             "fact_discount_effectiveness": lambda: metrics.discount(self.orders, a),
             "dim_customer": lambda: metrics.dim_customer(self.profile),
         }
