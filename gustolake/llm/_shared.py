@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator, Sequence
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +22,23 @@ ROWS_PER_BATCH = 500
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, so their Python workers can import it."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent.parent
+    at = Path(tempfile.mkdtemp()) / f"{root.name}.zip"
+    with zipfile.ZipFile(at, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(at))
+    _SHIPPED.add(app)
+
+
 def prepare(spark: SparkSession) -> None:
     """Session settings the operators rely on: UTC and Arrow batches of few (long) rows."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -32,6 +52,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def map_rows(df: DataFrame, columns: dict[str, Column], fn: Callable, schema: str | T.StructType) -> DataFrame:
     """``mapInArrow`` over the named columns only; ``fn(batches)`` yields record batches."""
+    ship_code(df.sparkSession)
     return df.select(*[c.alias(n) for n, c in columns.items()]).mapInArrow(fn, schema)
 
 
