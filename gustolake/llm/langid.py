@@ -10,7 +10,7 @@ it is missing), and the nearest language wins.
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -23,22 +23,35 @@ from gustolake.llm import _shared as S
 UNKNOWN = "und"
 PAD = "_"
 PROFILE = 400
-MAX_GRAM = 3
 #: Profiles are collected and sent to tasks; this and PROFILE bound their size.
 MAX_LANGUAGES = 2000
-_LETTERS = re.compile(r"[^\W\d_]+")
-_HELD_WORDS = 200_000
-_HELD_GRAMS = 500_000
+_APART = re.compile(r"[\W\d_]+")
+_HELD = 2_000_000  # n-grams a training task holds before it counts them
 
 
-def words_of(text: str | None) -> list[str]:
-    return _LETTERS.findall(text.lower()) if text else []
+def grams_of(text: str | None) -> np.ndarray:
+    """Codes of all 1- to 3-grams of the lower-cased, padded words of a text (three code points, from the left).
+
+    The bare mark is no n-gram. Codes sort like the n-grams.
+    """
+    if not text:
+        return np.zeros(0, np.int64)
+    padded = PAD + _APART.sub(PAD + PAD, text.lower()) + PAD
+    c = np.frombuffer(padded.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+    mark = c == ord(PAD)
+    within = ~(mark[:-1] & mark[1:])  # neighbours of one word
+    one = c << 42
+    two = one[:-1] | c[1:] << 21
+    return np.concatenate((one[~mark], two[within], (two[:-1] | c[2:])[within[:-1] & within[1:]]))
+
+
+def gram_text(code: int) -> str:
+    return "".join(chr(code >> s & 0x1FFFFF) for s in (42, 21, 0)).rstrip("\0")
 
 
-def grams_of(word: str, longest: int = MAX_GRAM) -> list[str]:
-    """All n-grams of the padded word but the bare mark."""
-    w = PAD + word + PAD
-    return [w[i : i + n] for n in range(1, longest + 1) for i in range(len(w) - n + 1) if n > 1 or 0 < i < len(w) - 1]
+def gram_code(gram: str) -> int:
+    a, b, c = (ord(x) for x in gram.ljust(3, "\0"))
+    return a << 42 | b << 21 | c
 
 
 def learn(df: DataFrame, text_col: str = "text", lang_col: str = "lang", profile: int = PROFILE) -> dict[str, list[str]]:
@@ -47,27 +60,31 @@ def learn(df: DataFrame, text_col: str = "text", lang_col: str = "lang", profile
     arrow = S.arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: dict[str, Counter] = defaultdict(Counter)
-        grams: dict[tuple[str, str], int] = defaultdict(int)
+        total: dict[str, dict[int, int]] = defaultdict(dict)
+        held: dict[str, list[np.ndarray]] = defaultdict(list)
+        size = 0
 
         def fold() -> None:
-            for lang, held in words.items():
-                for w, c in held.items():
-                    for g in grams_of(w):
-                        grams[lang, g] += c
-            words.clear()
+            for lang, parts in held.items():
+                into = total[lang]
+                for code, n in zip(*(x.tolist() for x in np.unique(np.concatenate(parts), return_counts=True)), strict=True):
+                    into[code] = into.get(code, 0) + n
+            held.clear()
 
         def out() -> pa.RecordBatch:
-            rows = [(lang, g, c) for (lang, g), c in grams.items()]
-            grams.clear()
+            rows = [(lang, gram_text(code), n) for lang, counts in total.items() for code, n in counts.items()]
+            total.clear()
             return S.batch_of(rows, arrow)
 
         for b in batches:
             for text, lang in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                words[lang].update(words_of(text))
-                if sum(map(len, words.values())) > _HELD_WORDS:
+                codes = grams_of(text)
+                held[lang].append(codes)
+                size += len(codes) + 1
+                if size > _HELD:
                     fold()
-                    if len(grams) > _HELD_GRAMS:
+                    size = 0
+                    if sum(map(len, total.values())) > _HELD // 4:
                         yield out()
         fold()
         yield out()
@@ -85,60 +102,22 @@ def learn(df: DataFrame, text_col: str = "text", lang_col: str = "lang", profile
 
 
 class Ranker:
-    """Distances of texts to profiles; keeps the n-grams of words it has met (bounded)."""
+    """Distances of texts to profiles."""
 
     def __init__(self, profiles: dict[str, Sequence[str]], profile: int = PROFILE) -> None:
         self.size = profile
         self.langs = sorted(profiles)
-        self.known = {g: i for i, g in enumerate(sorted({g for p in profiles.values() for g in p}))}
-        self.ranks = np.full((len(self.known) + 1, len(self.langs)), -1, np.int64)
+        self.codes = np.array(sorted({gram_code(g) for p in profiles.values() for g in p}), np.int64)
+        self.ranks = np.full((len(self.codes) + 1, len(self.langs)), -1, np.int64)  # the last row: in no profile
         for k, lang in enumerate(self.langs):
-            for r, g in enumerate(profiles[lang]):
-                self.ranks[self.known[g], k] = r
-        self._forget()
-
-    def _forget(self) -> None:
-        self.ids = dict(self.known)
-        self.keys = np.zeros(1 << 12, np.uint64)
-        for g, i in self.ids.items():
-            self._set_key(g, i)
-        self.words: dict[str, np.ndarray] = {}
-
-    def _set_key(self, gram: str, i: int) -> None:
-        if i >= len(self.keys):
-            self.keys = np.concatenate((self.keys, np.zeros(len(self.keys), np.uint64)))
-        key = 0  # code points from the left, so keys sort like the n-grams
-        for c in gram.ljust(MAX_GRAM, "\0"):
-            key = key << 21 | ord(c)
-        self.keys[i] = key
-
-    def _word(self, w: str) -> np.ndarray:
-        out = []
-        for g in grams_of(w):
-            i = self.ids.get(g)
-            if i is None:
-                i = self.ids[g] = len(self.ids)
-                self._set_key(g, i)
-            out.append(i)
-        got = self.words[w] = np.array(out, np.int64)
-        return got
+            self.ranks[np.searchsorted(self.codes, [gram_code(g) for g in profiles[lang]]), k] = np.arange(len(profiles[lang]))
 
     def ranked(self, text: str | None) -> np.ndarray:
-        """Ids of the text's most frequent n-grams in order."""
-        if len(self.words) > _HELD_WORDS:
-            self._forget()
-        counts = Counter(words_of(text))
-        if not counts:
-            return np.zeros(0, np.int64)
-        parts = [self.words[w] if w in self.words else self._word(w) for w in counts]
-        weights = np.repeat(np.fromiter(counts.values(), np.int64, len(counts)), [len(p) for p in parts])
-        n = np.bincount(np.concatenate(parts), weights, len(self.ids)).astype(np.int64)
-        at = np.flatnonzero(n)
-        n = n[at]
-        if len(at) > self.size:
-            least = np.partition(n, len(n) - self.size)[len(n) - self.size]
-            at, n = at[n >= least], n[n >= least]
-        return at[np.lexsort((self.keys[at], -n))][: self.size]
+        """Codes of the text's most frequent n-grams in order (ties by n-gram); none if it has no letter."""
+        codes, n = np.unique(grams_of(text), return_counts=True)
+        if not any(chr(c >> 42).isalpha() for c in codes[codes & ((1 << 42) - 1) == 0].tolist()):
+            return codes[:0]
+        return codes[np.argsort(-n, kind="stable")[: self.size]]
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """(language, score): the score is how much farther the second nearest language is, from 0 to 1.
@@ -149,7 +128,9 @@ class Ranker:
         top = self.ranked(text)
         if not len(top) or not self.langs:
             return UNKNOWN, 0.0
-        ranks = self.ranks[np.minimum(top, len(self.known))]
+        at = np.searchsorted(self.codes, top)
+        at[at == len(self.codes)] = 0
+        ranks = self.ranks[np.where(self.codes[at] == top, at, len(self.codes))]
         away = np.where(ranks < 0, self.size, np.abs(ranks - np.arange(len(top))[:, None])).sum(axis=0)
         best = int(np.argmin(away))
         rest = np.delete(away, best)
