@@ -1,22 +1,20 @@
 """Exact order statistics without funnelling all values into one task.
 
 ``percentile_disc`` and an unpartitioned ``rank()`` window both gather every
-value of the column in a single task. Here the work is spread instead:
-
-1. count rows per distinct value (a shuffle with map-side partial counts,
-   so a value shared by a huge share of the rows is one row afterwards);
-2. cut the values into ranges of about ``rows_per_bucket`` with a bounded
-   ``percentile_approx`` sketch; the cut points (at most ``MAX_BUCKETS - 1``)
-   are fetched once (a bounded collect, like ``approxQuantile``) and become
-   literals in a binary-search CASE tree, so every consumer sees the same
-   assignment; a column that fits one bucket needs no cuts at all;
+value of the column in a single task. Here the work is spread instead, the same
+way at every size:
+
+1. count rows per distinct value (a shuffle with map-side partial counts, so a
+   value shared by a huge share of the rows is one row afterwards);
+2. range-partition the values into as many buckets as ``rows_per_bucket`` asks
+   for, but at least the session's shuffle partitions, and checkpoint them, so
+   that every consumer sees the same buckets;
 3. a running count inside each bucket (a window partitioned by bucket);
-4. per-bucket totals -> offsets over at most ``MAX_BUCKETS`` rows, broadcast
-   back (its size is bounded by the parameter, not by the data).
+4. bucket totals -> offsets over one row per bucket, joined back.
 
 ``below`` is then the exact number of rows strictly smaller than the value,
-from which exact quantiles and ``rank()`` follow. The cut points only affect
-balance, never the result.
+from which exact quantiles and ``rank()`` follow. The bucket borders only
+affect balance, never the result.
 """
 
 from __future__ import annotations
@@ -27,39 +25,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 1024
-
-
-def cut_points(
-    df: DataFrame, cols: Sequence[str], rows_per_bucket: int = ROWS_PER_BUCKET, max_buckets: int = MAX_BUCKETS
-) -> dict[str, list]:
-    """Sorted cut points per column so that each bucket holds about
-    ``rows_per_bucket`` values (none when the column fits in one bucket).
-
-    First a non-null count per column (one aggregate with map-side partials);
-    only columns needing more than one bucket then get a bounded quantile
-    sketch, with exactly ``nb - 1`` levels at ``10 * nb`` accuracy (rank error
-    a tenth of a bucket), all such columns in one more job. The sketch is
-    the expensive part, so a column that fits one bucket never pays for it."""
-    row = df.agg(*[F.count(c).alias(f"_n{i}") for i, c in enumerate(cols)]).first()
-    nbs = {}
-    for i, c in enumerate(cols):
-        n = row[f"_n{i}"] or 0
-        nbs[c] = min(max_buckets, -(-n // rows_per_bucket)) if n else 0
-    out: dict[str, list] = {c: [] for c in cols}
-    need = [c for c in cols if nbs[c] > 1]
-    if not need:
-        return out
-    sketch = df.agg(*[
-        F.percentile_approx(c, [j / nbs[c] for j in range(1, nbs[c])], 10 * nbs[c]).alias(f"_q{i}")
-        for i, c in enumerate(need)
-    ]).first()
-    for i, c in enumerate(need):
-        out[c] = sorted({v for v in (sketch[f"_q{i}"] or []) if v is not None})
-    return out
-
+from gustolake.session import scratch_dir
 
+ROWS_PER_BUCKET = 1_000_000
 def _common_type(df: DataFrame, cols: Sequence[str]) -> T.DataType:
     """A type holding every value of ``cols`` exactly (for stacking measures)."""
     types = [df.schema[c].dataType for c in cols]
@@ -73,17 +41,26 @@ def _common_type(df: DataFrame, cols: Sequence[str]) -> T.DataType:
     raise TypeError(f"cannot rank {cols} together: {types}")
 
 
-def cumulative_counts(
-    df: DataFrame, cols: str | Sequence[str], rows_per_bucket: int = ROWS_PER_BUCKET, cuts: dict | None = None
-) -> DataFrame:
+def buckets_of(vc: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """``vc`` (_m, _v, ...) in ranges of about ``rows_per_bucket`` rows, numbered in order as ``_b``.
+
+    The bucket count follows the row count without a ceiling. Both steps are
+    reliable checkpoints in the shared folder."""
+    spark = vc.sparkSession
+    scratch_dir(spark)  # registers the checkpoint folder
+    counted = vc.checkpoint(eager=True)
+    wanted = -(-counted.count() // rows_per_bucket)
+    n = max(wanted, int(spark.conf.get("spark.sql.shuffle.partitions")), 2)
+    return counted.repartitionByRange(n, "_m", "_v").withColumn("_b", F.spark_partition_id()).checkpoint(eager=True)
+
+
+def cumulative_counts(df: DataFrame, cols: str | Sequence[str], rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """One row per (measure, distinct non-null value): ``_m`` measure index
     (position in ``cols``), ``_v`` value, ``_c`` rows with it, ``_below`` rows
     of that measure strictly smaller, ``_n`` non-null rows of that measure.
 
     Several measures are stacked and processed in one pass (values cast to a
-    common exact type). ``cuts`` (column -> sorted cut points) may be given,
-    e.g. from ``cut_points``; otherwise they are computed here (a count, plus
-    a sketch job only for measures over one bucket)."""
+    common exact type)."""
     cols = [cols] if isinstance(cols, str) else list(cols)
     if len(cols) == 1:
         long = df.select(F.lit(0).alias("_m"), F.col(cols[0]).alias("_v"))
@@ -95,49 +72,21 @@ def cumulative_counts(
             ]))
         )
     vc = long.where(F.col("_v").isNotNull()).groupBy("_m", "_v").agg(F.count(F.lit(1)).alias("_c"))
-    if cuts is None:
-        cuts = cut_points(df, cols, rows_per_bucket)
-    bucket = None
-    for i, c in enumerate(cols):
-        tree = bucket_of(F.col("_v"), list(cuts.get(c, [])))
-        bucket = F.when(F.col("_m") == i, tree) if bucket is None else bucket.when(F.col("_m") == i, tree)
-    b = vc.withColumn("_b", bucket)
     running = Window.partitionBy("_m", "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    if not any(cuts.get(c) for c in cols):
-        # every measure fits one bucket (at most rows_per_bucket values): no
-        # offsets to add; the total comes from the same window partition
-        whole = Window.partitionBy("_m", "_b")
-        return b.select(
-            "_m", "_v", "_c",
-            (F.sum("_c").over(running) - F.col("_c")).alias("_below"),
-            F.sum("_c").over(whole).alias("_n"),
-        )
-    local = b.withColumn("_run", F.sum("_c").over(running))
-    # bucket totals = last running count; at most len(cols) * MAX_BUCKETS rows from here on
-    totals = local.groupBy("_m", "_b").agg(F.max("_run").alias("_bc"))
+    bucketed = buckets_of(vc, rows_per_bucket)
+    local = bucketed.withColumn("_run", F.sum("_c").over(running))
+    # one row per measure and bucket from here on
+    totals = bucketed.groupBy("_m", "_b").agg(F.sum("_c").alias("_bc"))
     before = Window.partitionBy("_m").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         "_m", "_b",
         F.coalesce(F.sum("_bc").over(before), F.lit(0)).alias("_off"),
         F.sum("_bc").over(Window.partitionBy("_m")).alias("_n"),
     )
-    out = local.join(F.broadcast(offsets), ["_m", "_b"])
+    out = local.join(offsets, ["_m", "_b"])
     return out.select("_m", "_v", "_c", (F.col("_off") + F.col("_run") - F.col("_c")).alias("_below"), "_n")
 
 
-def bucket_of(v: Column, cuts: Sequence) -> Column:
-    """Number of (sorted, distinct) cut points strictly below ``v``, as a
-    balanced CASE tree: log2(len(cuts)) comparisons per row, all codegen."""
-
-    def tree(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(v > F.lit(cuts[mid]), tree(mid + 1, hi)).otherwise(tree(lo, mid))
-
-    return tree(0, len(cuts))
-
-
 def rank_position(p: float) -> Column:
     """1-based rank of the p-quantile among ``_n`` values: max(1, ceil(p * n))."""
     return F.greatest(F.lit(1), F.ceil(F.lit(float(p)) * F.col("_n")))
@@ -147,14 +96,13 @@ def exact_quantiles_multi(
     df: DataFrame,
     specs: Sequence[tuple[str, Sequence[float], Sequence[str]]],
     rows_per_bucket: int = ROWS_PER_BUCKET,
-    cuts: dict | None = None,
 ) -> DataFrame:
     """One row holding, for every (column, probabilities, names) spec, the
     value at rank max(1, ceil(p*n)) of that column's sorted non-null values
     (null when there are none), in the column's own type. All columns share
     one pass."""
     cols = [c for c, _, _ in specs]
-    cc = cumulative_counts(df, cols, rows_per_bucket, cuts)
+    cc = cumulative_counts(df, cols, rows_per_bucket)
     aggs = []
     for i, (c, probs, names) in enumerate(specs):
         for p, name in zip(probs, names, strict=True):
@@ -166,12 +114,10 @@ def exact_quantiles_multi(
 
 def exact_quantiles(
     df: DataFrame, col: str, probs: Sequence[float], names: Sequence[str],
-    rows_per_bucket: int = ROWS_PER_BUCKET, cuts: Sequence | None = None,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """``exact_quantiles_multi`` for one column."""
-    return exact_quantiles_multi(
-        df, [(col, probs, names)], rows_per_bucket, None if cuts is None else {col: list(cuts)}
-    )
+    return exact_quantiles_multi(df, [(col, probs, names)], rows_per_bucket)
 
 
 def approx_quantiles_multi(

@@ -38,10 +38,23 @@ def test_empty_quantiles(spark):
     assert tuple(R.exact_quantiles(df, "x", [0.5], ["m"]).first()) == (None,)
 
 
-def test_cut_points_bounded(spark, data):
-    cuts = R.cut_points(data, ["x"], rows_per_bucket=100)["x"]
-    assert 1 <= len(cuts) < R.MAX_BUCKETS and cuts == sorted(cuts)
-    assert R.cut_points(data, ["x"])["x"] == []  # fits one bucket
+def test_buckets_follow_the_rows_without_a_ceiling(spark):
+    vc = spark.range(100_000).select(F.lit(0).alias("_m"), (F.col("id") * 3 % 100_003).alias("_v"), F.lit(1).alias("_c"))
+    sizes = [r["count"] for r in R.buckets_of(vc, rows_per_bucket=50).groupBy("_b").count().collect()]
+    assert len(sizes) > 1024 and max(sizes) <= 4 * 50 and sum(sizes) == 100_000
+
+
+def test_many_buckets_equal_percentile_and_rank(spark):
+    df = spark.range(30_000).select("id", (F.col("id") * 7 % 9001).alias("x"))
+    got = R.exact_quantiles(df, "x", PS, [f"q{i}" for i in range(len(PS))], rows_per_bucket=5).first()
+    ref = df.agg(*[F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY x)") for p in PS]).first()
+    assert [float(v) for v in got] == list(ref)
+
+
+def test_no_single_partition_over_values(spark, data):
+    plan = R.exact_quantiles(data, "x", [0.5], ["m"])._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("Window"):]
+    assert "SinglePartition" not in below
 
 
 def test_approx_quantiles_close(spark, data):
