@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,11 +30,22 @@ def void_to_string(df: DataFrame) -> DataFrame:
     )
 
 
+def lenient_cast(c: Column, source: T.DataType, target: T.DataType) -> Column:
+    """``try_cast``, but text with a fraction becomes an integer by dropping the fraction ("2.7" -> 2).
+
+    Malformed text and values out of range become null."""
+    if isinstance(source, T.StringType) and isinstance(target, T.IntegralType):
+        number = c.try_cast(T.DecimalType(38, 18))
+        whole = F.when(number < 0, F.ceil(number)).otherwise(F.floor(number))
+        return F.coalesce(c.try_cast(target), F.when(~F.lower(c).contains("e"), whole.try_cast(target)))
+    return c.try_cast(target)
+
+
 def to_contract(df: DataFrame, schema: T.StructType, lenient: bool = True) -> DataFrame:
     """Project ``df`` onto ``schema``: declared columns in declared order and type.
 
-    ``lenient`` uses ``try_cast`` so malformed values become null instead of
-    failing the job under ANSI mode. Columns outside the contract are dropped.
+    ``lenient`` casts malformed values to null instead of failing the job under
+    ANSI mode (``lenient_cast``). Columns outside the contract are dropped.
     """
     present = set(df.columns)
     missing = [f.name for f in schema.fields if f.name not in present]
@@ -45,7 +56,7 @@ def to_contract(df: DataFrame, schema: T.StructType, lenient: bool = True) -> Da
         src = df.schema[f.name].dataType
         c = F.col(f.name)
         if src != f.dataType:
-            c = c.try_cast(f.dataType) if lenient else c.cast(f.dataType)
+            c = lenient_cast(c, src, f.dataType) if lenient else c.cast(f.dataType)
         cols.append(c.alias(f.name))
     return df.select(*cols)
 

@@ -105,6 +105,18 @@ def segment_summary(g: Gold) -> DataFrame:
     )
 
 
+# Column names of the displayed table.
+SEGMENT_TABLE_NAMES = {
+    "segment": "Segment", "customers": "Customers", "avg_recency": "Avg Recency", "avg_orders": "Avg Orders",
+    "avg_spend": "Avg Spend",
+}
+
+
+def segment_summary_table(g: Gold) -> DataFrame:
+    """The segment summary with the five display column names."""
+    return segment_summary(g).select(*[F.col(src).alias(dst) for src, dst in SEGMENT_TABLE_NAMES.items()])
+
+
 def segment_scatter(g: Gold) -> DataFrame:
     return _rfm(g).groupBy("segment").agg(
         F.avg("recency_days").alias("recency"),
@@ -254,6 +266,7 @@ def location_tier_counts(g: Gold) -> DataFrame:
     return _loc(g).groupBy("performance_tier").agg(F.count(F.lit(1)).alias("count"))
 
 
+# Column names of the displayed table.
 RANKING_TABLE_NAMES = {
     "revenue_rank": "Rank", "restaurant_id": "Location", "total_revenue": "Revenue",
     "avg_order_value": "Avg Order", "total_orders": "Orders", "orders_per_day": "Orders/Day",
@@ -313,6 +326,7 @@ SERVING_QUERIES = {
     "clv_tier_breakdown": clv_tier_breakdown,
     "segment_by_tier": segment_by_tier,
     "segment_summary": segment_summary,
+    "segment_summary_table": segment_summary_table,
     "segment_scatter": segment_scatter,
     "segment_tier_pivot": segment_tier_pivot,
     "churn_summary": churn_summary,

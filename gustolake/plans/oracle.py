@@ -442,7 +442,25 @@ BODIES: dict[str, str] = {
             COUNT(*) FILTER (WHERE order_id IS NULL OR lineitem_id IS NULL) FROM typed_options
         UNION ALL SELECT 'order_item_options', 'after_dedup', COUNT(*) FROM silver_options
         UNION ALL SELECT 'date_dim', 'raw', COUNT(*) FROM src_date_dim
-        UNION ALL SELECT 'date_dim', 'after_dedup', COUNT(*) FROM silver_date_dim""",
+        UNION ALL SELECT 'date_dim', 'after_dedup', COUNT(*) FROM silver_date_dim
+        UNION ALL SELECT 'order_base', 'gold', COUNT(*) FROM order_base
+        UNION ALL SELECT 'fact_daily_clv', 'gold', COUNT(*) FROM g_clv
+        UNION ALL SELECT 'fact_rfm_segments', 'gold', COUNT(*) FROM g_rfm
+        UNION ALL SELECT 'fact_churn_indicators', 'gold', COUNT(*) FROM g_churn
+        UNION ALL SELECT 'fact_sales_trends', 'gold', COUNT(*) FROM g_sales
+        UNION ALL SELECT 'fact_loyalty_comparison', 'gold', COUNT(*) FROM g_loyalty
+        UNION ALL SELECT 'fact_location_performance', 'gold', COUNT(*) FROM g_location
+        UNION ALL SELECT 'fact_discount_effectiveness', 'gold', COUNT(*) FROM g_discount
+        UNION ALL SELECT 'dim_customer', 'gold', COUNT(*) FROM g_dim""",
+    "cast_text": """
+        WITH t AS (SELECT *, l_orderkey * 7 + l_linenumber AS k, CAST(l_quantity AS BIGINT) AS q FROM lineitem)
+        SELECT l_orderkey || '-' || l_linenumber AS order_id,
+            CAST(CASE WHEN k % 5 = 2 THEN NULL WHEN k % 5 <> 3 THEN q
+                WHEN q * 1000000000 <= 2147483647 THEN q * 1000000000 END AS INTEGER) AS quantity,
+            CASE WHEN k % 3 <> 0 THEN CAST(CAST(l_extendedprice AS DECIMAL(12, 2)) AS DOUBLE) END AS price,
+            CASE WHEN k % 4 <> 0 THEN CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) END AS sold_on,
+            CASE l_returnflag WHEN 'R' THEN TRUE WHEN 'A' THEN FALSE END AS returned
+        FROM t""",
     # --- serving ---------------------------------------------------------------------
     "overview_kpis": "SELECT COUNT(*) AS customers, SUM(total_clv) AS revenue, AVG(total_clv) AS avg_clv FROM g_clv",
     "churn_tag_counts": 'SELECT churn_risk_tag, COUNT(*) AS "count" FROM g_churn GROUP BY churn_risk_tag',
@@ -454,6 +472,8 @@ BODIES: dict[str, str] = {
         FROM g_rfm r JOIN g_clv c USING (user_id) GROUP BY segment, clv_tier""",
     "segment_summary": """SELECT segment, COUNT(*) AS customers, AVG(recency_days) AS avg_recency,
         AVG(frequency) AS avg_orders, AVG(monetary) AS avg_spend FROM g_rfm GROUP BY segment""",
+    "segment_summary_table": """SELECT segment AS "Segment", COUNT(*) AS "Customers", AVG(recency_days) AS "Avg Recency",
+        AVG(frequency) AS "Avg Orders", AVG(monetary) AS "Avg Spend" FROM g_rfm GROUP BY segment""",
     "segment_scatter": """SELECT segment, AVG(recency_days) AS recency, AVG(frequency) AS frequency,
         AVG(monetary) AS monetary, COUNT(*) AS customers FROM g_rfm GROUP BY segment""",
     "segment_tier_pivot": """SELECT segment,

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from gustolake.functions.clean import strip_urls
 from gustolake.operators import base, metrics, serving
-from gustolake.operators.clean import dedup, normalize_columns, require_keys, void_to_string
+from gustolake.operators.clean import dedup, normalize_columns, require_keys, to_contract, void_to_string
 from gustolake.plans import bronze, gold, pipeline, silver
 from gustolake.session import scratch_dir
 from gustolake.sources import contracts as C
@@ -97,10 +97,10 @@ def q_published_tables(spark: SparkSession, sf: str) -> DataFrame:
     a fresh database, list the catalog and count each listed table."""
     root = _scratch(spark, "gold")
     db = f"gold_{uuid.uuid4().hex[:8]}"
-    published = gold.run(spark, _silver(spark, sf), AS_OF, root, database=db, stage_root=f"{root}/_stage")
+    gold.run(spark, _silver(spark, sf), AS_OF, root, database=db, stage_root=f"{root}/_stage")
     listed = [r["table_name"] for r in io.list_published(spark, db).collect()]
     parts = [spark.table(f"{db}.{t}").agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("rows"))
-             for t in listed if t in published]
+             for t in listed]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -119,6 +119,12 @@ def q_void_to_string(spark: SparkSession, sf: str) -> DataFrame:
     return void_to_string(raw)
 
 
+def q_cast_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Order lines as text, some malformed by key modulus, through the contract's casts."""
+    li = FX.lines_as_text(spark, sf)
+    return to_contract(li, FX.TEXT_LINES)
+
+
 def q_strip_urls(spark: SparkSession, sf: str) -> DataFrame:
     raw = FX.order_items(spark, sf)
     return raw.select("order_id", "lineitem_id", strip_urls("item_category").alias("item_category"))
@@ -210,7 +216,9 @@ def q_loyalty_customers(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_quality_report(spark: SparkSession, sf: str) -> DataFrame:
     src = FX.source_tables(spark, sf)
-    return pipeline.quality_report(src, silver.build(src))
+    built = silver.build(src)
+    g = gold.build(built, AS_OF, stage=gold.checkpoint_stage)
+    return pipeline.quality_report(src, built, {"order_base": g.orders, **g})
 
 
 def _serving(name: str) -> Query:
@@ -232,6 +240,7 @@ QUERIES: dict[str, Query] = {
     "published_tables": q_published_tables,
     "normalize_columns": q_normalize_columns,
     "void_to_string": q_void_to_string,
+    "cast_text": q_cast_text,
     "strip_urls": q_strip_urls,
     "blank_to_null": q_blank_to_null,
     "require_keys": q_require_keys,

@@ -14,6 +14,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed values of the test-data mapping (FIXTURES.md §3).
 AS_OF = dt.date(2001, 8, 2)
@@ -33,17 +34,8 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _read_lines(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
-    """The line table, spread over at least the default parallelism.
-
-    A production source read is split across executors (a JDBC read with
-    partitionColumn/numPartitions, or many files); a test file written as a
-    single row group scans as one task, so it is hash-spread by order key here.
-    Large inputs already have enough splits and are left as they are."""
-    li = _read(spark, sf_dir, "lineitem").select(*cols)
-    want = spark.sparkContext.defaultParallelism
-    if li.rdd.getNumPartitions() < want:
-        li = li.repartition(want, "l_orderkey")
-    return li
+    """The line table, read as the files are split."""
+    return _read(spark, sf_dir, "lineitem").select(*cols)
 
 
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,3 +140,27 @@ def source_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "order_item_options": order_item_options(spark, sf_dir),
         "date_dim": date_dim(spark, sf_dir),
     }
+
+
+# --- malformed text, for the casts ---------------------------------------------------------
+TEXT_LINES = T.StructType([
+    T.StructField("order_id", T.StringType()), T.StructField("quantity", T.IntegerType()),
+    T.StructField("price", T.DecimalType(12, 2)), T.StructField("sold_on", T.TimestampType()),
+    T.StructField("returned", T.BooleanType()),
+])
+
+
+def lines_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order line with all values as text; by key modulus quantities have fractions or are words,
+    prices, times and flags are malformed."""
+    li = _read_lines(spark, sf_dir, "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate", "l_returnflag")
+    k, q = F.col("l_orderkey") * 7 + F.col("l_linenumber"), F.col("l_quantity").cast("int").cast("string")
+    return li.select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("order_id"),
+        F.when(k % 5 == 0, F.concat(q, F.lit(".7"))).when(k % 5 == 1, F.concat(F.lit(" "), q, F.lit(" ")))
+        .when(k % 5 == 2, F.lit("many")).when(k % 5 == 3, F.concat(q, F.lit("000000000"))).otherwise(q).alias("quantity"),
+        F.when(k % 3 == 0, F.lit("n/a")).otherwise(F.col("l_extendedprice").cast("decimal(12,2)").cast("string")).alias("price"),
+        F.when(k % 4 == 0, F.lit("yesterday")).otherwise(F.date_format("l_shipdate", "yyyy-MM-dd")).alias("sold_on"),
+        F.when(F.col("l_returnflag") == "R", F.lit("true")).when(F.col("l_returnflag") == "A", F.lit("false"))
+        .otherwise(F.lit("perhaps")).alias("returned"),
+    )

@@ -95,3 +95,15 @@ def test_trim_keeps_tab(spark):
 
 def test_timestamp_default(spark):
     assert items_df(spark, [item()]).first()["creation_time_utc"] == TS
+
+
+def test_text_to_integer_keeps_whole_part(spark):
+    from pyspark.sql import types as T
+
+    from gustolake.operators.clean import to_contract
+
+    texts = ["2.0", "2.7", "-2.7", " 3 ", "99999999999", "abc", "1e1", "", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, q string")
+    schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("q", T.IntegerType())])
+    got = {r["id"]: r["q"] for r in to_contract(df, schema).collect()}
+    assert [got[i] for i in range(len(texts))] == [2, 2, -2, 3, None, None, None, None, None]
