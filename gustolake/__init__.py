@@ -1,15 +1,14 @@
 """gustolake — restaurant-order analytics on Spark.
 
 Layers:
-    sources/    readers, sinks, table contracts, test-data mapping
-    functions/  Column expressions (cleaning, labels, ratios)
+    sources/    readers and writers, table contracts, test-data mapping
+    functions/  Column expressions (cleaning, labels)
     operators/  DataFrame -> DataFrame building blocks (clean, base, metrics,
-                ranking/quantiles, reshape, serving, quality)
+                ranking/quantiles, serving, quality)
     plans/      composed jobs: bronze, silver, gold, full pipeline run
-    streaming/  nothing: the workload is a daily batch pipeline
 
-Every public function is lazy (returns a DataFrame) unless its docstring
-says it triggers a job, and takes an explicit ``as_of`` date where the
+Public functions return lazy DataFrames unless their docstring says that they
+trigger a job (writes, stages, exact quantiles and ranks do); each takes an explicit ``as_of`` date where the
 result depends on "today".
 """
 

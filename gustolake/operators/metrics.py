@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from gustolake.functions import labels as L
 from gustolake.operators import ranking
 
+# The published calendar columns.
 CALENDAR_COLUMNS = ("date_key", "day_of_week", "week", "month", "year", "is_weekend", "is_holiday", "holiday_name")
 
 
@@ -218,9 +219,7 @@ def sales_trends(orders: DataFrame, items: DataFrame, date_dim: DataFrame) -> Da
     daily = daily.withColumn(
         "avg_order_value", F.try_divide(F.col("daily_revenue"), F.col("_rows").cast("decimal(20,0)"))
     ).drop("_rows")
-    # the calendar has one row per day (deduplicated on date_key), so its size is
-    # bounded by the date span, not by the order volume: broadcast it
-    cal = F.broadcast(date_dim.select(*CALENDAR_COLUMNS))
+    cal = date_dim.select(*CALENDAR_COLUMNS)  # one row per day; Spark's size check decides on a broadcast
     return daily.join(cal, daily["order_date"] == cal["date_key"], "left").drop("date_key")
 
 

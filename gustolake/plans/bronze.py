@@ -46,12 +46,13 @@ def read(spark: SparkSession, path: str, ingest_date: dt.date | None = None) ->
 
 def latest_ingest_date(spark: SparkSession, path: str) -> dt.date:
     """Most recent ingest day present (reads partition values only)."""
-    row = (
-        io.read_layer(spark, path)
-        .select(F.max(F.col("_ingestion_date")).alias("d"))
-        .first()
-    )
-    return dt.date.fromisoformat(row["d"])
+    day = ingest_days(spark, path).agg(F.max("day")).first()[0]
+    return dt.date(day["_ingestion_year"], day["_ingestion_month"], day["_ingestion_day"])
+
+
+def ingest_days(spark: SparkSession, path: str) -> DataFrame:
+    """The partition values of every row's ingest day; no data column is read."""
+    return io.read_layer(spark, path).select(F.struct(*[F.col(c).cast("int").alias(c) for c in INGEST_PARTITIONS]).alias("day"))
 
 
 def run(spark: SparkSession, sources: dict[str, DataFrame], bronze_root: str, ingest_date: dt.date) -> dict[str, str]:

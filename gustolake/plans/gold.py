@@ -63,10 +63,15 @@ class GoldTables(Mapping[str, DataFrame]):
         self.silver, self.as_of, self.approx = silver, as_of, approx
         self.discount_mode, self.stage = discount_mode, stage
         self._memo: dict[str, DataFrame] = {}
-        self._lock = threading.RLock()  # tables may be requested from several threads
+        # tables may be requested from several threads: one lock per key, so that a
+        # long stage only holds up those who need it
+        self._lock = threading.Lock()
+        self._locks: dict[str, threading.RLock] = {}
 
     def _once(self, key: str, make: Callable[[], DataFrame]) -> DataFrame:
         with self._lock:
+            lock = self._locks.setdefault(key, threading.RLock())
+        with lock:
             if key not in self._memo:
                 self._memo[key] = make()
             return self._memo[key]
@@ -145,20 +150,25 @@ def run(
     discount_mode: str = "twice",
     stage_root: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Compute and publish all gold tables; returns name -> published table."""
+    """Compute and publish all gold tables; returns name -> published table.
+
+    The staged intermediates are deleted at the end, also after a failure."""
     stage_root = stage_root or scratch_dir(spark, f"gold-stage-{uuid.uuid4().hex[:8]}")
     tables = build(silver, as_of, approx, discount_mode, stage=path_stage(spark, stage_root))
     root = gold_root.rstrip("/")
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    tables.orders  # every table reads the staged order base: stage it first
-    # tables needing only the order base first, so they run while the customer
-    # profile (aggregate -> thresholds -> labels) is being staged
-    order = sorted(tables, key=lambda n: n in PROFILE_TABLES)
-    published = jobs.run_all({
-        name: (lambda name=name: io.publish(
-            spark, tables[name], C.GOLD_CONTRACTS[name], f"{root}/{name}", name, database
-        ))
-        for name in order
-    })
+    try:
+        tables.orders  # every table reads the staged order base: stage it first
+        # tables needing only the order base first, so they run while the customer
+        # profile (aggregate -> thresholds -> labels) is being staged
+        order = sorted(tables, key=lambda n: n in PROFILE_TABLES)
+        published = jobs.run_all({
+            name: (lambda name=name: io.publish(
+                spark, tables[name], C.GOLD_CONTRACTS[name], f"{root}/{name}", name, database
+            ))
+            for name in order
+        })
+    finally:
+        io.delete_folder(spark, stage_root)
     return {name: published[name] for name in tables}

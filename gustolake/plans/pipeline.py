@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from gustolake.operators import quality
 from gustolake.plans import bronze, gold, silver
 from gustolake.sources import contracts as C
+from gustolake.sources import io
 
 
 @dataclass
@@ -37,25 +38,40 @@ def quality_report(raw: dict[str, DataFrame], silver_tables: dict[str, DataFrame
     return quality.report(parts)
 
 
+# The three source tables.
+SOURCE_TABLES = ("order_items", "order_item_options", "date_dim")
+
+
+def read_sources(spark: SparkSession, names: dict[str, str] | None = None, fmt: str = "table",
+                 options: dict[str, dict] | None = None) -> dict[str, DataFrame]:
+    """The three source tables by ``io.read_source``; ``names`` and ``options`` are per table."""
+    return {t: io.read_source(spark, (names or {}).get(t, t), fmt, (options or {}).get(t)) for t in SOURCE_TABLES}
+
+
 def run(
     spark: SparkSession,
-    sources: dict[str, DataFrame],
+    sources: dict[str, DataFrame] | None,
     root: str,
     as_of: dt.date,
     ingest_date: dt.date | None = None,
     database: str | None = gold.GOLD_DATABASE,
     approx: bool = False,
+    discount_mode: str = "twice",
+    stage_root: str | None = None,
 ) -> RunResult:
     """Run all three layers in order under ``root`` (bronze/, silver/, gold/).
 
+    ``sources`` None reads the three source tables from the catalog.
+
     Silver reads exactly the ingest day just written (partition-pruned), so
     earlier bronze days stay as history without changing today's numbers.
     """
     ingest_date = ingest_date or as_of
     root = root.rstrip("/")
-    bronze_paths = bronze.run(spark, sources, f"{root}/bronze", ingest_date)
+    bronze_paths = bronze.run(spark, read_sources(spark) if sources is None else sources, f"{root}/bronze", ingest_date)
     raw = {name: bronze.read(spark, path, ingest_date) for name, path in bronze_paths.items()}
     silver_paths = silver.write(silver.build(raw), f"{root}/silver")
     silver_tables = silver.read(spark, silver_paths)
-    gold_tables = gold.run(spark, silver_tables, as_of, f"{root}/gold", database=database, approx=approx)
+    gold_tables = gold.run(spark, silver_tables, as_of, f"{root}/gold", database=database, approx=approx,
+                           discount_mode=discount_mode, stage_root=stage_root)
     return RunResult(bronze_paths, silver_paths, gold_tables, quality_report(raw, silver_tables, gold_tables))

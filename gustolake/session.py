@@ -7,7 +7,7 @@ import tempfile
 from pyspark.sql import SparkSession
 
 # Settings every job in this package assumes. Partition overwrite mode is set
-# per write (see sources.sinks), not globally.
+# per write (see sources.io), not globally.
 SESSION_DEFAULTS: dict[str, str] = {
     # creation_time_utc is a UTC wall clock; date/hour extraction depends on it
     "spark.sql.session.timeZone": "UTC",
@@ -68,6 +68,8 @@ def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
     sc = spark.sparkContext
     base = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share; a temporary one is local to a machine")
         base = tempfile.mkdtemp(prefix="gustolake-ckpt-")
         sc.setCheckpointDir(base)
         base = sc.getCheckpointDir() or base

@@ -1,7 +1,7 @@
 """Declared schemas: source tables, silver tables and the published gold tables.
 
 Gold contracts follow the published table DDL: money and averages are DOUBLE,
-counts BIGINT. Computation stays in DECIMAL until ``sinks.to_contract`` casts
+counts BIGINT. Computation stays in DECIMAL until ``io.to_contract`` casts
 at publish time.
 """
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Sequence
 
@@ -24,12 +25,20 @@ def read_source(spark: SparkSession, name: str, fmt: str = "table", options: dic
     if fmt == "table":
         return spark.table(name)
     if fmt == "jdbc":
-        options.setdefault("dbtable", name)
-        return spark.read.format("jdbc").options(**options).load()
+        return spark.read.format("jdbc").options(**jdbc_options(name, options)).load()
     path = options.pop("path", name)
     return spark.read.format(fmt).options(**options).load(path)
 
 
+def jdbc_options(name: str, options: dict) -> dict:
+    """Options of a relational read; without a split column it must be asked for with ``unsplit=True``."""
+    options = {"dbtable": name, **options}
+    if not options.pop("unsplit", False) and not {"partitionColumn", "lowerBound", "upperBound", "numPartitions"} <= set(options):
+        raise ValueError(f"reading {name} unsplit puts the whole table in one task; give partitionColumn, lowerBound, "
+                         "upperBound and numPartitions, or unsplit=True for a small table")
+    return options
+
+
 def read_layer(spark: SparkSession, path: str, base_path: str | None = None) -> DataFrame:
     """Read a Parquet dataset; partition directories become typed columns."""
     reader = spark.read
@@ -43,18 +52,18 @@ def write_layer(
     df: DataFrame,
     path: str,
     partition_by: Sequence[str] = (),
-    cluster_by: Sequence[str] = (),
+    rebalance: bool = False,
     dynamic: bool = False,
 ) -> None:
     """Overwrite a Parquet dataset (snappy), optionally partitioned.
 
-    ``cluster_by`` range-partitions the rows first (partition columns, then the
-    given columns), so each task writes few, large files and a partition value
-    holding much of the data is still spread over many tasks. ``dynamic``
-    replaces only the partitions present in ``df``.
+    ``rebalance`` first gathers the rows of a partition value into few tasks,
+    so each writes few, large files; adaptive execution splits a value that
+    holds much of the data. ``dynamic`` replaces only the partitions present in
+    ``df``.
     """
-    if cluster_by:
-        df = df.repartitionByRange(*partition_by, *cluster_by)
+    if rebalance:
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     w = df.write.mode("overwrite").option("compression", "snappy")
     if dynamic:
         w = w.option("partitionOverwriteMode", "dynamic")
@@ -79,32 +88,58 @@ def publish(
     name: str,
     database: str | None = None,
     version: str | None = None,
+    keep_versions: int = 2,
 ) -> DataFrame:
     """Write ``df`` in its declared schema and register it as an external table.
 
-    Each publish writes a new version folder under ``path`` and only then points
-    the table at it, so readers never see a half-written table and a failed
-    run leaves the previous version in place. ``version`` defaults to a fresh id.
+    ``path`` is the published location and holds exactly one version. A new one
+    is written beside it, under ``_versions``, and takes its place by two renames
+    (a failed run leaves the version before in place); the version it replaces
+    moves there too. ``keep_versions`` counts the current one; older ones are
+    deleted.
     """
     out = to_contract_types(df, schema)
-    location = f"{path.rstrip('/')}/_version={version or uuid.uuid4().hex[:12]}"
-    write_layer(out, location)
+    location = path.rstrip("/")
+    parent, _, folder = location.rpartition("/")
+    old = f"{parent}/_versions/{folder}"
+    stamp = f"v{time.time_ns():020d}-{version or uuid.uuid4().hex[:12]}"
+    write_layer(out, f"{old}/next-{stamp}")
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = at(location).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(at(location)):
+        fs.rename(at(location), at(f"{old}/{stamp}"))
+    if not fs.rename(at(f"{old}/next-{stamp}"), at(location)):
+        raise OSError(f"could not move the new version to {location}")
     qualified = f"{database}.{name}" if database else name
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     if spark.catalog.tableExists(qualified):
-        spark.sql(f"ALTER TABLE {qualified} SET LOCATION '{location}'")
         spark.catalog.refreshTable(qualified)
     else:
         spark.sql(
             f"CREATE TABLE {qualified} USING parquet LOCATION '{location}' "
             f"OPTIONS (compression 'snappy')"
         )
+    expire_versions(spark, old, keep_versions - 1)
     return spark.table(qualified)
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def expire_versions(spark: SparkSession, root: str, keep: int) -> None:
+    """Delete all but the newest ``keep`` replaced versions in ``root``."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = sorted((s.getPath() for s in fs.listStatus(at) if s.getPath().getName().startswith("v")), key=lambda p: p.getName())
+    for p in found[: len(found) - max(0, keep)]:
+        fs.delete(p, True)
+
+
 def list_published(spark: SparkSession, database: str) -> DataFrame:
-    """Tables registered in ``database`` (name, database)."""
-    return spark.sql(f"SHOW TABLES IN {database}").select(
+    """Tables registered in ``database`` (name, database); temporary views are not among them."""
+    return spark.sql(f"SHOW TABLES IN {database}").where("not isTemporary").select(
         F.col("tableName").alias("table_name"), F.col("namespace").alias("database")
     )

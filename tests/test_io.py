@@ -49,4 +49,51 @@ def test_publish_twice_switches_version(spark):
     io.publish(spark, first, schema, f"{root}/t", "t", db)
     out = io.publish(spark, second, schema, f"{root}/t", "t", db)
     assert [r["snapshot_date"] for r in out.collect()] == ["2001-08-02"]
+    assert spark.read.parquet(f"{root}/t").collect() == out.collect()  # the path holds one version
+    spark.range(1).createOrReplaceTempView("a_view_of_the_session")
+    assert [r["table_name"] for r in io.list_published(spark, db).collect()] == ["t"]
     assert spark.table(f"{db}.t").agg(F.sum("customer_count")).first()[0] == 2
+
+
+def test_publish_keeps_so_many_versions(spark):
+    schema = C.FACT_LOYALTY_COMPARISON
+    root, db = scratch_dir(spark, f"t-keep-{uuid.uuid4().hex[:8]}"), f"t_keep_{uuid.uuid4().hex[:6]}"
+    for day in ("01", "02", "03", "04"):
+        df = spark.createDataFrame([(True, 1, 1.0, 1.0, 1.0, 1.0, f"2001-08-{day}")], schema)
+        io.publish(spark, df, schema, f"{root}/t", "t", db, keep_versions=3)
+    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/_versions/t")
+    fs = fs_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    assert len(fs.listStatus(fs_path)) == 2  # and the current one
+    assert [r["snapshot_date"] for r in spark.table(f"{db}.t").collect()] == ["2001-08-04"]
+
+
+def test_latest_ingest_date_reads_no_data_column(spark):
+    path = scratch_dir(spark, f"t-days-{uuid.uuid4().hex[:8]}") + "/order_items"
+    bronze.write(bronze.ingest(items_df(spark, [item(order_id="1")]), dt.date(2001, 8, 1)), path)
+    plan = bronze.ingest_days(spark, path)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<>" in plan
+
+
+def test_relational_source_needs_a_split(spark):
+    import pytest
+
+    with pytest.raises(ValueError):
+        io.jdbc_options("dbo.t", {"url": "jdbc:x"})
+    split = {"partitionColumn": "id", "lowerBound": "0", "upperBound": "9", "numPartitions": "4"}
+    assert io.jdbc_options("dbo.t", split) == {"dbtable": "dbo.t", **split}
+    assert io.jdbc_options("dbo.t", {"unsplit": True}) == {"dbtable": "dbo.t"}
+
+
+def test_stage_folder_is_deleted_also_after_a_failure(spark, monkeypatch):
+    import os
+
+    import pytest
+
+    from gustolake.plans import gold
+
+    root = scratch_dir(spark, f"t-stage-{uuid.uuid4().hex[:8]}")
+    built = silver.build(FX.source_tables(spark, "/root/testdata/sf0.001"))
+    monkeypatch.setattr(io, "publish", lambda *a, **b: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        gold.run(spark, built, FX.AS_OF, f"{root}/gold", database=None, stage_root=f"{root}/stage")
+    assert not os.path.exists(f"{root}/stage".removeprefix("file:"))

@@ -1,8 +1,4 @@
-"""Spark results vs the DuckDB oracle SQL (the driver's correctness gate).
-
-By default a cross-section of keys runs at sf0.001; set GUSTOLAKE_FULL_ORACLE=1
-to run every key (at GUSTOLAKE_ORACLE_SF, default sf0.01).
-"""
+"""Spark results vs the DuckDB oracle SQL (the driver's correctness gate), every key, at GUSTOLAKE_ORACLE_SF (default sf0.001)."""
 
 import os
 
@@ -10,26 +6,17 @@ import pytest
 
 from oracle_compare import compare
 
-FAST_KEYS = [
-    "silver_order_items", "silver_options", "silver_date_dim", "order_base", "rfm_thresholds",
-    "dim_customer", "metric_sales_trends", "metric_location", "metric_discount", "metric_loyalty",
-    "quality_report", "segment_tier_pivot", "spend_trend_long", "at_risk_customers", "loyalty_lift",
-]
-
-
-def _keys():
-    import __spark_entry__ as E
-
-    return list(E.queries()) if os.environ.get("GUSTOLAKE_FULL_ORACLE") else FAST_KEYS
+from gustolake.plans import oracle, registry
 
 
 def test_every_query_has_oracle_sql():
     import __spark_entry__ as E
 
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(registry.QUERIES) == set(oracle.oracle_sql())
+    assert set(registry.QUERIES) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("key", _keys())
+@pytest.mark.parametrize("key", list(registry.QUERIES))
 def test_matches_oracle(spark, key):
     sf = os.environ.get("GUSTOLAKE_ORACLE_SF", "/root/testdata/sf0.001")
     status, _, detail = compare(spark, sf, [key], verbose=False)[key]

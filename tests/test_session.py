@@ -18,3 +18,45 @@ def test_run_all_returns_every_result_and_raises():
         pass
     else:
         raise AssertionError("failure not propagated")
+
+
+def test_cluster_needs_a_shared_folder():
+    import pytest
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default):
+                return default
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(Session())
+
+
+def test_slow_gold_stage_holds_up_only_its_users():
+    import threading
+
+    from gustolake.plans.gold import GoldTables
+
+    tables, started, release = GoldTables({}, None), threading.Event(), threading.Event()
+
+    def slow():
+        started.set()
+        assert release.wait(10)
+        return "slow"
+
+    t = threading.Thread(target=lambda: tables._once("a", slow))
+    t.start()
+    assert started.wait(10)
+    assert tables._once("b", lambda: "quick") == "quick"
+    release.set()
+    t.join()
+    assert tables._once("a", lambda: "again") == "slow"
