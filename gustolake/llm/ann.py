@@ -166,6 +166,7 @@ def _positions(placed: DataFrame) -> DataFrame:
     counts = placed.groupBy("curve", "part").agg(F.min("at").alias("from"), F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("curve").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     base = counts.select("curve", "part", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("from")).alias("base"))
+    # one small row per curve and shuffle partition
     return placed.join(F.broadcast(base), ["curve", "part"]).select("curve", (F.col("at") + F.col("base")).alias("pos"), "vid", "is_query", "vec")
 
 

@@ -324,7 +324,10 @@ def _grouped_answers(right: pa.Table) -> dict[int, dict[int, bytes]]:
 
 
 def _bucketed(blocks: DataFrame) -> DataFrame:
-    """Write the blocks as a table bucketed by block in the shared folder: later rounds don't shuffle them."""
+    """Write the blocks as a table bucketed by block in the shared folder: later rounds don't shuffle them.
+
+    The catalog entry (``llm_blocks_*``) stays as long as the session's catalog; its files go with the folder.
+    """
     spark = blocks.sparkSession
     name = f"llm_blocks_{uuid.uuid4().hex[:12]}"
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -61,6 +61,7 @@ def pack(
     # one row per input partition, so one task may order them
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(F.col("part"), F.coalesce(F.sum("total").over(before), F.lit(0)).cast("long").alias("base"))
+    # 16 bytes per input partition: 100 TB in partitions of 128 MB make 13 MB
     placed = ids.join(F.broadcast(offsets), "part")
     out = PIECES + (", ids binary" if with_ids else "")
     schema = S.arrow_schema(out)
