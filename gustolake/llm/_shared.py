@@ -50,10 +50,23 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def column(name: str) -> Column:
+    """A column by its whole name, which may hold dots."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def free_name(name: str, taken: Sequence[str]) -> str:
+    """``name``, lengthened until no column is called so."""
+    while name.lower() in {c.lower() for c in taken}:
+        name += "_"
+    return name
+
+
 def map_rows(df: DataFrame, columns: dict[str, Column], fn: Callable, schema: str | T.StructType) -> DataFrame:
-    """``mapInArrow`` over the named columns only; ``fn(batches)`` yields record batches."""
+    """``mapInArrow`` over these columns only, which ``fn(batches)`` finds by position; it yields record batches."""
     ship_code(df.sparkSession)
-    return df.select(*[c.alias(n) for n, c in columns.items()]).mapInArrow(fn, schema)
+    # plain names: a caller's own may hold dots or backticks, which mapInArrow can't resolve
+    return df.select(*[c.alias(f"c{i}") for i, c in enumerate(columns.values())]).mapInArrow(fn, schema)
 
 
 def arrow_schema(schema: str | T.StructType) -> pa.Schema:

@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gustolake.llm import _shared as S
 
@@ -120,38 +121,51 @@ class Ranker:
         return codes[np.argsort(-n, kind="stable")[: self.size]]
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        """(language, score): the score is how much farther the second nearest language is, from 0 to 1.
+        """(language, score) of ``judged``."""
+        return self.judged(text)[:2]
 
-        ``und`` with score 0 if the text is null or has no letter, or nothing
-        was learned. Ties go to the language first in the alphabet.
+    def judged(self, text: str | None) -> tuple[str, float, float]:
+        """(language, score, nearness), both from 0 to 1.
+
+        The score is how much farther the second nearest language is; the
+        nearness is 1 where the nearest profile has the text's n-grams in the
+        same order and 0 where it has none of them. ``und`` with zeros if the
+        text is null or has no letter, or nothing was learned. Ties go to the
+        language first in the alphabet.
         """
         top = self.ranked(text)
         if not len(top) or not self.langs:
-            return UNKNOWN, 0.0
+            return UNKNOWN, 0.0, 0.0
         at = np.searchsorted(self.codes, top)
         at[at == len(self.codes)] = 0
         ranks = self.ranks[np.where(self.codes[at] == top, at, len(self.codes))]
         away = np.where(ranks < 0, self.size, np.abs(ranks - np.arange(len(top))[:, None])).sum(axis=0)
         best = int(np.argmin(away))
         rest = np.delete(away, best)
-        second = rest.min() if len(rest) else self.size * len(top)
-        return self.langs[best], float((second - away[best]) / second) if second else 0.0
+        farthest = self.size * len(top)
+        second = rest.min() if len(rest) else farthest
+        return self.langs[best], float((second - away[best]) / second) if second else 0.0, float(1 - away[best] / farthest)
 
 
-def with_language(df: DataFrame, profiles: dict[str, Sequence[str]], text_col: str, keep: Sequence[str], profile: int = PROFILE) -> DataFrame:
-    """The columns ``keep`` of ``df`` with ``lang_pred`` and ``lang_score``, predicted from the whole text alone."""
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema.fields)
+def with_language(
+    df: DataFrame, profiles: dict[str, Sequence[str]], text_col: str, keep: Sequence[str], profile: int = PROFILE,
+    names: Sequence[str] = ("lang_pred", "lang_score", "lang_nearness"),
+) -> DataFrame:
+    """The columns ``keep`` of ``df`` and the judgement of the whole text alone as the columns ``names``."""
+    kept = df.select(*map(S.column, keep)).schema.fields
+    judged = [T.StructField(n, t) for n, t in zip(names, (T.StringType(), T.DoubleType(), T.DoubleType()), strict=True)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranker = Ranker(profiles, profile)
         for b in batches:
-            got = [ranker.predict(t) for t in b.column(len(keep)).to_pylist()]
+            got = [ranker.judged(t) for t in b.column(len(keep)).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [*b.columns[: len(keep)], pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())],
-                names=[*keep, "lang_pred", "lang_score"],
+                [*b.columns[: len(keep)], pa.array([g[0] for g in got], pa.string()), *[pa.array([g[k] for g in got], pa.float64()) for k in (1, 2)]],
+                names=[*keep, *names],
             )
 
-    return S.map_rows(df, {c: F.col(c) for c in keep} | {"_text": F.col(text_col)}, run, f"{fields}, lang_pred string, lang_score double")
+    columns = {c: S.column(c) for c in keep} | {S.free_name("_text", keep): S.column(text_col)}
+    return S.map_rows(df, columns, run, T.StructType(kept + judged))
 
 
 def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -168,11 +182,17 @@ def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
     return out.withColumnRenamed("lang_score", "score").select("doc_id", "held_out", "lang_pred", "score")
 
 
-def keep_identified(df: DataFrame, text_col: str = "text", lang_col: str = "lang", min_score: float = 0.01) -> DataFrame:
-    """``df`` with all its columns, without documents that have no language or none nearer than others by ``min_score``."""
+def keep_identified(df: DataFrame, text_col: str = "text", lang_col: str = "lang", min_nearness: float = 0.25) -> DataFrame:
+    """``df`` with all its columns, without documents in none of the learned languages.
+
+    Such are documents without a letter and those whose nearness to the nearest
+    profile is below ``min_nearness`` (other languages, random letters). A
+    document that mixes learned languages is near to several and stays.
+    """
     profiles = learn(df, text_col, lang_col)
-    out = with_language(df, profiles, text_col, df.columns)
-    return out.where((F.col("lang_pred") != UNKNOWN) & (F.col("lang_score") >= min_score)).select(*df.columns)
+    names = [S.free_name(n, df.columns) for n in ("_lang", "_score", "_nearness")]
+    out = with_language(df, profiles, text_col, df.columns, names=names)
+    return out.where((F.col(names[0]) != UNKNOWN) & (F.col(names[2]) >= min_nearness)).select(*map(S.column, df.columns))
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

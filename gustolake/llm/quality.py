@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gustolake.llm import _shared as S
 
@@ -93,8 +94,8 @@ def text_counts(text: str | None) -> tuple[int, ...]:
 
 def with_counts(df: DataFrame, text_col: str, keep: Sequence[str], prefix: str = "") -> DataFrame:
     """The columns ``keep`` of ``df`` and the counts of its texts."""
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema.fields)
-    schema = f"{fields}, " + ", ".join(f"{prefix}{c} long" for c in COUNTS)
+    kept = df.select(*map(S.column, keep)).schema.fields
+    schema = T.StructType(kept + [T.StructField(prefix + c, T.LongType()) for c in COUNTS])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -104,7 +105,7 @@ def with_counts(df: DataFrame, text_col: str, keep: Sequence[str], prefix: str =
                 [*b.columns[: len(keep)], *[pa.array(c, pa.int64()) for c in cols]], names=[*keep, *[prefix + c for c in COUNTS]]
             )
 
-    return S.map_rows(df, {c: F.col(c) for c in keep} | {"_text": F.col(text_col)}, run, schema)
+    return S.map_rows(df, {c: S.column(c) for c in keep} | {S.free_name("_text", keep): S.column(text_col)}, run, schema)
 
 
 def base_failed(prefix: str = "") -> Column:
@@ -268,8 +269,11 @@ def quality(
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with all their columns, without the rejected documents; one pass, no shuffle of texts."""
     rules = learn(docs, labels, id_col, text_col)
-    counted = with_counts(docs, text_col, docs.columns, "_q_")
-    return counted.where(~base_failed("_q_") & rules.kept("_q_")).select(*docs.columns)
+    prefix = "_q"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix += "_"
+    counted = with_counts(docs, text_col, docs.columns, prefix)
+    return counted.where(~base_failed(prefix) & rules.kept(prefix)).select(*map(S.column, docs.columns))
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -167,9 +167,10 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shin
     of them the smallest row by its columns stays. Groups of null ids only keep
     one row per fingerprint group likewise.
     """
-    key = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
+    key, row = S.free_name("_key", df.columns), "_row"
     found = near_duplicates(df, id_col, text_col, shingle, max_bits)
     kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("_kept")).distinct()
-    rows = df.withColumn("_key", key).join(kept, F.col("_key") == F.col("_kept"), "left_semi")
-    one = rows.groupBy("_key").agg(F.min(F.struct(*df.columns)).alias("_row"))
-    return one.select("_row.*")
+    named = df.withColumn(key, F.coalesce(S.column(id_col).cast("string"), F.lit("null")))
+    rows = named.join(kept.withColumnRenamed("_kept", key), key, "left_semi")
+    one = rows.groupBy(key).agg(F.min(F.struct(*map(S.column, df.columns))).alias(row))
+    return one.select(f"{row}.*")

@@ -297,6 +297,36 @@ def test_languages_of_odd_texts(docs, empty):
     assert langid.Ranker({"en": ["e"]}).predict("12 ³ !!") == ("und", 0.0)
 
 
+def test_mixed_languages_stay_and_unknown_ones_go(spark):
+    d = S.read_table(spark, SF, "documents")
+    text = {lang: d.where((F.col("lang") == lang) & (F.length("text") > 1000)).orderBy("doc_id").first()["text"] for lang in ("en", "de", "fr")}
+    rng = random.Random(2)
+    letters = " ".join("".join(rng.choices("bcdfghjklmnpqrstvwxyz", k=rng.randint(2, 8))) for _ in range(300))
+    odd = [(-1, f"{text['en'][:900]} {text['de'][:900]} {text['fr'][:900]}"), (-2, letters), (-3, "Η γλώσσα είναι ένα σύστημα " * 30), (-4, "12 34 " * 90), (-5, None)]
+    rows = spark.createDataFrame([(i, t, None) for i, t in odd], "doc_id long, text string, lang string")
+    got = langid.keep_identified(d.select("doc_id", "text", "lang").union(rows))
+    kept = {r["doc_id"] for r in got.select("doc_id").collect()}
+    assert {i for i in kept if i < 0} == {-1}
+    profiles = langid.learn(d)
+    ranker = langid.Ranker(profiles)
+    for _, t in odd[:3]:
+        top = brute_ranked(t, langid.PROFILE)
+        away = min(sum(abs(i - p.index(g)) if g in p else langid.PROFILE for i, g in enumerate(top)) for p in profiles.values())
+        assert math.isclose(ranker.judged(t)[2], 1 - away / (langid.PROFILE * len(top)))
+
+
+def test_filters_pass_columns_of_their_own_names(spark):
+    docs = S.read_table(spark, SF, "documents")
+    names = {"_text": 1, "_q_n_words": 2, "_lang": 3, "lang_pred": 4, "_score": 5, "_key": 6, "_kept": 7, "_row": 8, "a.b`c": 9, "component_id": 10}
+    wide = docs.withColumns({n: F.lit(v) for n, v in names.items()})
+    labels = S.read_table(spark, SF, "labels")
+    for keep in (lambda x: quality.keep_good(x, labels), langid.keep_identified, simhash.keep_one):
+        got, want = keep(wide), keep(docs)
+        assert got.columns == wide.columns
+        assert sorted(r["doc_id"] for r in got.collect()) == sorted(r["doc_id"] for r in want.collect())
+        assert got.select(*[S.column(n) for n in names]).distinct().collect() == [tuple(names.values())]
+
+
 # --- quality ---------------------------------------------------------------------------------
 def brute_stats(t):
     raw = (t or "").encode().split()
@@ -374,7 +404,7 @@ def test_pipeline_equals_its_stages_by_hand(spark):
     known = docs.where(F.col("doc_id").isin(list(good)))
     ranker = langid.Ranker(langid.learn(known))
     told = {r["doc_id"]: r["text"] for r in known.collect()}
-    told = {d: t for d, t in told.items() if (p := ranker.predict(t))[0] != "und" and p[1] >= 0.01}
+    told = {d: t for d, t in told.items() if (p := ranker.judged(t))[0] != "und" and p[2] >= 0.25}
     fps = {d: brute_fingerprint(t) for d, t in told.items()}
     root = {d: d for d in fps}
     for _ in range(len(fps)):
