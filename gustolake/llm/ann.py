@@ -26,8 +26,9 @@ from gustolake.llm import _shared as S
 DIMS, BITS = 8, 7
 #: Chunks of the first curve whose bounding balls are sent to the tasks: 4096 balls at most.
 MAX_CHUNKS = 4096
-#: Queries that meet a block in one task.
-QUERY_GROUP = 4096
+#: Queries, and rows of a large table, that meet in one task of the exact step.
+QUERY_GROUP = 16_384
+SCAN_ROWS = 16_384
 
 PLACED = "curve int, part int, at long, vid long, is_query boolean, vec array<float>"
 FOUND = "query long, vid long, score double"
@@ -220,8 +221,12 @@ def search(
 def _completed(placed: DataFrame, best: DataFrame, k: int, window: int) -> DataFrame:
     """Finds within each query's radius in all blocks of the first curve whose bounding ball reaches into it."""
     out_schema = S.arrow_schema(FOUND)
-    curve = placed.where("curve = 0").withColumn("block", F.floor(F.col("pos") / window))
-    last = curve.agg(F.max("block")).first()[0]
+    curve = placed.where("curve = 0")
+    total = curve.count()
+    # every block is sent again for each group of queries and every query for each block, so large tables get large blocks
+    scan = max(window, min(SCAN_ROWS, -(-total // MAX_CHUNKS)))
+    last = (total - 1) // scan
+    curve = curve.withColumn("block", F.floor(F.col("pos") / scan))
     per_chunk = -(-(last + 1) // MAX_CHUNKS)
     dim = len(curve.select("vec").first()[0])
     chunked = curve.withColumn("chunk", F.floor(F.col("block") / per_chunk))
