@@ -11,6 +11,7 @@ from gustolake.llm.bpe import op2_bpe_round_trip
 from gustolake.llm.extract import op6_html_extraction
 from gustolake.llm.langid import op8_language_id
 from gustolake.llm.lm import op1_lm_scoring
+from gustolake.llm.oracle import ORACLE_SQL as ORACLE_SQL
 from gustolake.llm.packing import op10_pack_sequences
 from gustolake.llm.quality import op9_quality_rules
 from gustolake.llm.simhash import op7_simhash_near_duplicates
@@ -30,4 +31,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_pack_sequences": op10_pack_sequences,
 }
 
-ORACLE_SQL: dict[str, str] = {}

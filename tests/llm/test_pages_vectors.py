@@ -160,6 +160,17 @@ def test_neighbours_equal_brute_force(spark, window):
         assert all(math.isclose(a, b, abs_tol=1e-12) for (_, a), (_, b) in zip(got[q], found, strict=True))
 
 
+def test_exact_step_in_blocks_larger_than_windows(spark, monkeypatch):
+    monkeypatch.setattr(ann, "MAX_CHUNKS", 10)
+    monkeypatch.setattr(ann, "SCAN_ROWS", 30)
+    monkeypatch.setattr(ann, "QUERY_GROUP", 7)
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(v) for v in r]) for i, r in enumerate(rng.normal(size=(600, 8)).astype(np.float32))]
+    got = by_query(ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), k=4, query_every=9, window=5, curves=2))
+    want = brute_neighbours(rows, 4, 9)
+    assert {q: [v for v, _ in f] for q, f in got.items()} == {q: [v for v, _ in f] for q, f in want.items()}
+
+
 def test_few_and_no_vectors(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0])], "vec_id long, embedding array<float>")
     assert by_query(ann.search(df)) == {0: [(1, math.sqrt(2))]}
@@ -188,3 +199,11 @@ def test_given_embeddings_have_full_recall(spark):
     got = by_query(ann.search(e, window=32))
     want = brute_neighbours([(r["vec_id"], tuple(r["embedding"])) for r in e.collect()], 10, 100)
     assert {q: [v for v, _ in f] for q, f in got.items()} == {q: [v for v, _ in f] for q, f in want.items()}
+
+
+@pytest.mark.parametrize("key", ["op3_nearest_neighbours", "op4_warc_round_trip"])
+def test_query_equals_sql(spark, key):
+    from oracle_compare import compare
+
+    status, _, detail = compare(spark, SF, [key], verbose=False)[key]
+    assert status == "OK", detail
