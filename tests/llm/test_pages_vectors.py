@@ -207,3 +207,40 @@ def test_query_equals_sql(spark, key):
 
     status, _, detail = compare(spark, SF, [key], verbose=False)[key]
     assert status == "OK", detail
+
+
+def test_text_weights_are_trained_on_sure_blocks(spark):
+    menu = "<nav>" + "<li><a href=1>Many words stand in this menu entry</a>" * 3 + "</nav>"
+    rows = [(i, "u", f"<body>{menu}<article><p>Some words of article {i}.<p>More of them</article></body>") for i in range(40)]
+    df = spark.createDataFrame([*rows, (None, "u", menu), (41, "u", None), (42, "u", "")], "page_id long, url string, html string").repartition(3)
+    seen = Counter()
+    for _, _, page in rows:
+        for b in extract.blocks_of(page):
+            seen[(int(b.weight > 0), *extract.binned(b))] += 1
+    want = extract.fit([(*k, n) for k, n in seen.items()])
+    got = extract.learn(df)
+    assert got == want != extract.START
+    assert got[2] < extract.START[2]  # links speak against content
+    assert extract.learn(df.limit(0)) == extract.START == extract.learn(df.where("page_id > 40"))
+    assert extract.learn(df, max_train_pages=1) != extract.START
+    texts = {r["page_id"]: r["text"] for r in extract.extract(df).collect()}
+    assert texts == {r[0]: extract.main_text(r[2], want) for r in rows} | {None: "", 41: "", 42: ""}
+    assert texts[7] == "Some words of article 7.\n\nMore of them"
+
+
+def test_fit_is_a_minimum():
+    counts = [(1, 20, 0, 1, 0, 50), (1, 5, 1, 0, 1, 9), (0, 2, 8, 0, 0, 30), (0, 12, 0, 1, 0, 4)]
+
+    def loss(w):
+        total = {c: sum(r[-1] for r in counts if r[0] == c) for c in (0, 1)}
+        out = extract.PULL / 2 * sum((a - b) ** 2 for a, b in zip(w, extract.START, strict=True))
+        for c, *bins, n in counts:
+            z = sum(a * x for a, x in zip(w, extract.features(*bins), strict=True))
+            out += n / total[c] / 2 * math.log1p(math.exp(-z if c else z))
+        return out
+
+    w = extract.fit(counts)
+    assert w == extract.fit(counts[::-1])
+    for k in range(len(w)):
+        for d in (-0.01, 0.01):
+            assert loss(w) < loss([x + d * (i == k) for i, x in enumerate(w)])
