@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from gustolake.operators import quality
 from gustolake.plans import bronze, gold, silver
@@ -22,17 +22,22 @@ class RunResult:
 
 
 def quality_report(raw: dict[str, DataFrame], silver_tables: dict[str, DataFrame],
-                   gold_tables: dict[str, DataFrame] | None = None) -> DataFrame:
+                   gold_tables: dict[str, DataFrame] | None = None,
+                   seen: dict[str, dict[str, int]] | None = None) -> DataFrame:
+    """Row counts per table and stage; ``seen`` are the counts observed while silver was written."""
     # null keys are counted on the typed columns, where the key filter applies
-    parts = [
-        quality.raw_counts(silver.typed_order_items(raw["order_items"]), "order_items", C.ORDER_ITEMS_REQUIRED),
-        quality.stage_counts(silver_tables["order_items"], "order_items", "after_dedup"),
-        quality.raw_counts(silver.typed_options(raw["order_item_options"]), "order_item_options",
-                           C.OPTIONS_REQUIRED),
-        quality.stage_counts(silver_tables["order_item_options"], "order_item_options", "after_dedup"),
-        quality.raw_counts(raw["date_dim"], "date_dim", ()),
-        quality.stage_counts(silver_tables["date_dim"], "date_dim", "after_dedup"),
-    ]
+    typed = {
+        "order_items": (silver.typed_order_items(raw["order_items"]), C.ORDER_ITEMS_REQUIRED),
+        "order_item_options": (silver.typed_options(raw["order_item_options"]), C.OPTIONS_REQUIRED),
+        "date_dim": (raw["date_dim"], ()),
+    }
+    parts = []
+    for name, (df, required) in typed.items():
+        if seen:
+            parts.append(quality.observed_counts(raw[name], df, name, required, seen[name]))
+        else:
+            parts.append(quality.raw_counts(df, name, required))
+        parts.append(quality.stage_counts(silver_tables[name], name, "after_dedup"))
     for name, df in (gold_tables or {}).items():
         parts.append(quality.stage_counts(df, name, "gold"))
     return quality.report(parts)
@@ -70,8 +75,10 @@ def run(
     root = root.rstrip("/")
     bronze_paths = bronze.run(spark, read_sources(spark) if sources is None else sources, f"{root}/bronze", ingest_date)
     raw = {name: bronze.read(spark, path, ingest_date) for name, path in bronze_paths.items()}
-    silver_paths = silver.write(silver.build(raw), f"{root}/silver")
+    observations = {name: Observation() for name in raw}
+    silver_paths = silver.write(silver.build(raw, observations), f"{root}/silver")
+    seen = {name: o.get for name, o in observations.items()}
     silver_tables = silver.read(spark, silver_paths)
     gold_tables = gold.run(spark, silver_tables, as_of, f"{root}/gold", database=database, approx=approx,
                            discount_mode=discount_mode, stage_root=stage_root)
-    return RunResult(bronze_paths, silver_paths, gold_tables, quality_report(raw, silver_tables, gold_tables))
+    return RunResult(bronze_paths, silver_paths, gold_tables, quality_report(raw, silver_tables, gold_tables, seen))

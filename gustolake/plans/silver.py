@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from gustolake.functions.clean import blank_to_null, negative_flag, strip_urls
+from gustolake.operators import quality
 from gustolake.operators.clean import dedup, normalize_columns, require_keys, to_contract, void_to_string
 from gustolake.plans import jobs
 from gustolake.sources import contracts as C
@@ -24,8 +25,12 @@ def typed_order_items(raw: DataFrame) -> DataFrame:
     return df.withColumns(fixes).withColumns({c: blank_to_null(c) for c in ITEM_BLANKABLE})
 
 
-def order_items(raw: DataFrame) -> DataFrame:
-    df = require_keys(typed_order_items(raw), C.ORDER_ITEMS_REQUIRED)
+def _observed(df: DataFrame, required: tuple[str, ...], observation: Observation | None) -> DataFrame:
+    return df if observation is None else quality.observe(df, observation, required)
+
+
+def order_items(raw: DataFrame, observation: Observation | None = None) -> DataFrame:
+    df = require_keys(_observed(typed_order_items(raw), C.ORDER_ITEMS_REQUIRED, observation), C.ORDER_ITEMS_REQUIRED)
     df = dedup(df, C.ORDER_ITEMS_KEY)
     # derived after the dedup shuffle, so they are not shuffled
     ts = F.col("creation_time_utc")
@@ -45,8 +50,8 @@ def typed_options(raw: DataFrame) -> DataFrame:
     return df.withColumns({c: blank_to_null(c) for c in OPTION_BLANKABLE})
 
 
-def options(raw: DataFrame) -> DataFrame:
-    df = require_keys(typed_options(raw), C.OPTIONS_REQUIRED)
+def options(raw: DataFrame, observation: Observation | None = None) -> DataFrame:
+    df = require_keys(_observed(typed_options(raw), C.OPTIONS_REQUIRED, observation), C.OPTIONS_REQUIRED)
     df = dedup(df, C.OPTIONS_KEY)
     return df.withColumns(
         {
@@ -56,17 +61,19 @@ def options(raw: DataFrame) -> DataFrame:
     )
 
 
-def date_dim(raw: DataFrame) -> DataFrame:
+def date_dim(raw: DataFrame, observation: Observation | None = None) -> DataFrame:
     df = to_contract(void_to_string(normalize_columns(raw)), C.DATE_DIM_SOURCE)
-    return dedup(df, C.DATE_DIM_KEY)
+    return dedup(_observed(df, (), observation), C.DATE_DIM_KEY)
 
 
-def build(sources: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Lazy silver frames from raw (source or bronze) frames."""
+def build(sources: dict[str, DataFrame], observations: dict[str, Observation] | None = None) -> dict[str, DataFrame]:
+    """Lazy silver frames from raw (source or bronze) frames; ``observations`` per table count
+    the raw rows and null keys when the frames are written."""
+    seen = observations or {}
     return {
-        "order_items": order_items(sources["order_items"]),
-        "order_item_options": options(sources["order_item_options"]),
-        "date_dim": date_dim(sources["date_dim"]),
+        "order_items": order_items(sources["order_items"], seen.get("order_items")),
+        "order_item_options": options(sources["order_item_options"], seen.get("order_item_options")),
+        "date_dim": date_dim(sources["date_dim"], seen.get("date_dim")),
     }
 
 
