@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from gustolake.functions import labels as L
 from gustolake.operators import ranking
+from gustolake.sources import contracts as C
 
 # The published calendar columns.
 CALENDAR_COLUMNS = ("date_key", "day_of_week", "week", "month", "year", "is_weekend", "is_holiday", "holiday_name")
@@ -137,38 +138,20 @@ def customer_profile(
     return df.withColumn("segment", L.rfm_segment("r_score", "f_score", "m_score", "rfm_score"))
 
 
-CLV_COLUMNS = (
-    "user_id", "total_clv", "total_orders", "first_order_date", "last_order_date",
-    "avg_order_value", "is_loyalty", "clv_tier", "snapshot_date",
-)
-RFM_COLUMNS = (
-    "user_id", "recency_days", "frequency", "monetary", "r_score", "f_score", "m_score",
-    "rfm_score", "segment", "snapshot_date",
-)
-CHURN_COLUMNS = (
-    "user_id", "days_since_last_order", "total_orders", "first_order_date", "last_order_date",
-    "total_spend", "tenure_days", "avg_order_gap_days", "spend_last_30d", "spend_prior_30d",
-    "spend_pct_change", "churn_risk_tag", "snapshot_date",
-)
-DIM_COLUMNS = CLV_COLUMNS + (
-    "recency_days", "frequency", "monetary", "rfm_score", "segment", "days_since_last_order", "churn_risk_tag",
-)
-
-
 def clv(profile: DataFrame) -> DataFrame:
-    return profile.select(*CLV_COLUMNS)
+    return profile.select(*C.FACT_DAILY_CLV.names)
 
 
 def rfm(profile: DataFrame) -> DataFrame:
-    return profile.select(*RFM_COLUMNS)
+    return profile.select(*C.FACT_RFM_SEGMENTS.names)
 
 
 def churn(profile: DataFrame) -> DataFrame:
-    return profile.select(*CHURN_COLUMNS)
+    return profile.select(*C.FACT_CHURN_INDICATORS.names)
 
 
 def dim_customer(profile: DataFrame) -> DataFrame:
-    return profile.select(*DIM_COLUMNS)
+    return profile.select(*C.DIM_CUSTOMER.names)
 
 
 def profile_from_orders(orders: DataFrame, as_of: dt.date, approx: bool = False) -> DataFrame:

@@ -28,6 +28,8 @@ from pyspark.sql import types as T
 from gustolake.session import scratch_dir
 
 ROWS_PER_BUCKET = 1_000_000
+
+
 def _common_type(df: DataFrame, cols: Sequence[str]) -> T.DataType:
     """A type holding every value of ``cols`` exactly (for stacking measures)."""
     types = [df.schema[c].dataType for c in cols]

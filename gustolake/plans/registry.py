@@ -162,7 +162,8 @@ def q_silver_date_dim(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- base ------------------------------------------------------------------------------
 def q_option_rollup(spark: SparkSession, sf: str) -> DataFrame:
-    return base.option_rollup(silver.options(FX.order_item_options(spark, sf)))
+    rollup = base.option_rollup(silver.options(FX.order_item_options(spark, sf)))
+    return rollup.withColumn("has_discount", F.col("has_discount").cast("int"))  # the SQL has it as 0 / 1
 
 
 def q_line_base(spark: SparkSession, sf: str) -> DataFrame:

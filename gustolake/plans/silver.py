@@ -12,6 +12,7 @@ from gustolake.plans import jobs
 from gustolake.sources import contracts as C
 from gustolake.sources import io
 
+# The text columns in which blank means missing.
 ITEM_BLANKABLE = ("item_category", "item_name", "app_name", "currency", "printed_card_number")
 OPTION_BLANKABLE = ("option_group_name", "option_name")
 

@@ -18,6 +18,7 @@ def _schema(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in fields])
 
 
+# All names and types from here on, which must equal the source and published tables.
 # --- sources (what bronze ingests) -------------------------------------------------
 ORDER_ITEMS_SOURCE = _schema(
     ("restaurant_id", S), ("creation_time_utc", TS), ("order_id", S), ("user_id", S),

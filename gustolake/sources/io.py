@@ -39,12 +39,9 @@ def jdbc_options(name: str, options: dict) -> dict:
     return options
 
 
-def read_layer(spark: SparkSession, path: str, base_path: str | None = None) -> DataFrame:
+def read_layer(spark: SparkSession, path: str) -> DataFrame:
     """Read a Parquet dataset; partition directories become typed columns."""
-    reader = spark.read
-    if base_path:
-        reader = reader.option("basePath", base_path)
-    return reader.parquet(path)
+    return spark.read.parquet(path)
 
 
 # --- writers -------------------------------------------------------------------------
