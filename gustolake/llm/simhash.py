@@ -61,15 +61,23 @@ def fingerprint(text: bytes | None, shingle: int = 3, seed: int = 42) -> int:
     return out
 
 
-def fingerprints(df: DataFrame, id_col: str, text_col: str, shingle: int = 3, seed: int = 42) -> DataFrame:
-    """(doc_id, fp: the fingerprint as a signed long) for every row; whole texts, one pass, no shuffle."""
+def fingerprints(
+    df: DataFrame, id_col: str, text_col: str, shingle: int = 3, seed: int = 42, carried: dict[str, Column] | None = None
+) -> DataFrame:
+    """(doc_id, fp: the fingerprint as a signed long) for every row; whole texts, one pass, no shuffle.
+
+    ``carried`` are columns of longs that go along.
+    """
+    carried = carried or {}
+    names = ["doc_id", "fp", *carried]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.array([fingerprint(t, shingle, seed) for t in b.column(1).to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps)], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps), *b.columns[2:]], names=names)
 
-    return S.map_rows(df, {"doc_id": F.col(id_col).cast("long"), "text": F.col(text_col).cast("binary")}, run, "doc_id long, fp long")
+    columns = {"doc_id": F.col(id_col).cast("long"), "text": F.col(text_col).cast("binary")} | carried
+    return S.map_rows(df, columns, run, ", ".join(f"{n} long" for n in names))
 
 
 def references(n: int) -> list[int]:
@@ -134,6 +142,12 @@ def _swarm_links(fps: DataFrame, max_bits: int) -> DataFrame:
     return hit.where("fp < b").select(F.col("fp").alias("a"), "b")
 
 
+def _rooted(classes: DataFrame, max_bits: int, n_references: int = 12, group_limit: int = 32) -> DataFrame:
+    """``classes`` (fp and others) plus ``root``, the fingerprint that names each one's component."""
+    roots = components(links(classes.select("fp"), max_bits, n_references, group_limit))
+    return classes.join(roots, classes["fp"] == roots["node"], "left").select(*[classes[c] for c in classes.columns], F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 2,
     seed: int = 42, n_references: int = 12, group_limit: int = 32,
@@ -149,8 +163,7 @@ def near_duplicates(
     """
     docs = S.staged(fingerprints(df, id_col, text_col, shingle, seed), "fingerprints")
     classes = S.staged(docs.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "classes")
-    roots = components(links(classes.select("fp"), max_bits, n_references, group_limit))
-    rooted = classes.join(roots, classes["fp"] == roots["node"], "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
+    rooted = _rooted(classes, max_bits, n_references, group_limit)
     names = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = S.staged(rooted.join(names, "root").select("fp", "component_id"), "components")
     return docs.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -161,16 +174,19 @@ def op7_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 2) -> DataFrame:
-    """``df`` with all its columns and one document of each near-duplicate group, that of the smallest id.
+    """``df`` with all its columns and one row of each near-duplicate group, that of the smallest id.
 
-    The id names a document: rows that repeat an id count as one document, and
-    of them the smallest row by its columns stays. Groups of null ids only keep
-    one row per fingerprint group likewise.
+    Null ids come last. If the smallest id has several texts in a group, the
+    text of the smallest hash stays, and of rows with the same id and text the
+    smallest by its columns. A null id or an id repeated with texts of other
+    groups is judged in each of its groups, so no group is lost.
     """
-    key, row = S.free_name("_key", df.columns), "_row"
-    found = near_duplicates(df, id_col, text_col, shingle, max_bits)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("_kept")).distinct()
-    named = df.withColumn(key, F.coalesce(S.column(id_col).cast("string"), F.lit("null")))
-    rows = named.join(kept.withColumnRenamed("_kept", key), key, "left_semi")
-    one = rows.groupBy(key).agg(F.min(F.struct(*map(S.column, df.columns))).alias(row))
-    return one.select(f"{row}.*")
+    doc, text = F.col(id_col).cast("long"), F.col(text_col).cast("binary")
+    # rows alike in these are of one group, as the text decides it; two hashes make 128 bits
+    identity = {"k_null": doc.isNull().cast("long"), "k_id": F.coalesce(doc, F.lit(0)), "k_text": F.xxhash64(text), "k_text2": F.xxhash64(F.lit(1), text)}
+    docs = S.staged(fingerprints(df, id_col, text_col, shingle, carried=identity), "fingerprints")
+    classes = S.staged(docs.groupBy("fp").agg(F.min(F.struct(*identity)).alias("first")), "classes")
+    kept = _rooted(classes, max_bits).groupBy("root").agg(F.min("first").alias("first")).select("first.*")
+    # copies of a row meet map-side before the join, which the aggregate's partitioning serves
+    one = df.groupBy(*[c.alias(n) for n, c in identity.items()]).agg(F.min(F.struct(*map(S.column, df.columns))).alias("_row"))
+    return one.join(kept, [*identity]).select("_row.*")

@@ -254,6 +254,20 @@ def test_keep_one_keeps_all_columns(docs, empty):
     assert len(kept) == len(set(kept)) and set(kept) == want
 
 
+def test_keep_one_keeps_a_row_of_every_group(spark, docs):
+    a, b, c, d = ("one text of some words", "quite another text than that", "a third one stands alone", "the fourth one too")
+    rows = [(3, a, 1), (5, a, 1), (5, b, 1), (None, a, 1), (None, b, 1), (None, c, 2), (None, c, 1), (None, d, 1), (None, None, 1), (None, "", 1), (7, c.upper(), 1)]
+    df = spark.createDataFrame([*rows, rows[7], rows[0], (3, a, 0)], "doc_id long, text string, x int").repartition(4)
+    got = [tuple(r) for r in simhash.keep_one(df).collect()]
+    assert {r for r in got if r[1]} == {(3, a, 0), (5, b, 1), (7, c.upper(), 1), (None, d, 1)}
+    assert len(got) == 5 and [r[0] for r in got if not r[1]] == [None]
+    texts = Counter(r["text"] for r in simhash.keep_one(docs).collect())
+    prints = {brute_fingerprint(r["text"]) for r in docs.collect()}
+    assert "a null id" in texts
+    alone = {f for f in prints if all((f ^ g).bit_count() > 2 for g in prints if g != f)}
+    assert alone <= {brute_fingerprint(t) for t in texts}
+
+
 # --- language --------------------------------------------------------------------------------
 def brute_ranked(t, size):
     n = Counter()
