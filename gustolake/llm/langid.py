@@ -187,9 +187,13 @@ def keep_identified(df: DataFrame, text_col: str = "text", lang_col: str = "lang
 
     Such are documents without a letter and those whose nearness to the nearest
     profile is below ``min_nearness`` (other languages, random letters). A
-    document that mixes learned languages is near to several and stays.
+    document that mixes learned languages is near to several and stays. If no
+    language is learned (no row has both a language and letters), nothing can
+    be told apart and only null texts and texts without a letter go.
     """
     profiles = learn(df, text_col, lang_col)
+    if not any(profiles.values()):
+        return df.where(S.column(text_col).rlike(r"\p{L}"))
     names = [S.free_name(n, df.columns) for n in ("_lang", "_score", "_nearness")]
     out = with_language(df, profiles, text_col, df.columns, names=names)
     return out.where((F.col(names[0]) != UNKNOWN) & (F.col(names[2]) >= min_nearness)).select(*map(S.column, df.columns))

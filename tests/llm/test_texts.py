@@ -311,6 +311,12 @@ def test_languages_of_odd_texts(docs, empty):
     assert langid.Ranker({"en": ["e"]}).predict("12 ³ !!") == ("und", 0.0)
 
 
+def test_without_languages_only_texts_without_letters_go(spark):
+    rows = [(1, "some words", None), (2, "12 ³ _ !!", None), (3, None, "en"), (4, "Ω", None), (5, "", None), (6, "中", None), (7, "12", "en")]
+    got = langid.keep_identified(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert sorted(r["doc_id"] for r in got.collect()) == [1, 4, 6]
+
+
 def test_mixed_languages_stay_and_unknown_ones_go(spark):
     d = S.read_table(spark, SF, "documents")
     text = {lang: d.where((F.col("lang") == lang) & (F.length("text") > 1000)).orderBy("doc_id").first()["text"] for lang in ("en", "de", "fr")}
