@@ -47,20 +47,31 @@ CONTAINERS = frozenset("article aside blockquote body div dl fieldset footer for
 #: Weights of the classifier (positive: content), by the tags around a block and by words in their class, id and role.
 TAG_WEIGHTS = {
     "article": 3.0, "main": 2.0, "p": 0.6, "h1": 0.8, "h2": 0.4, "blockquote": 0.4, "pre": 0.6, "td": -0.2, "figcaption": 0.2,
-    "nav": -9.0, "footer": -9.0, "aside": -9.0, "form": -9.0, "menu": -9.0, "dialog": -9.0, "button": -9.0, "label": -3.0,
-    "header": -9.0, "fieldset": -4.0, "details": -0.5, "address": -3.0, "caption": -0.2,
+    "nav": -4.0, "footer": -4.0, "aside": -4.0, "form": -4.0, "menu": -4.0, "dialog": -4.0, "button": -4.0, "label": -3.0,
+    "header": -4.0, "fieldset": -3.0, "details": -0.5, "address": -3.0, "caption": -0.2,
 }
-NAME_WEIGHTS = [
-    (re.compile(r"^(article|articlebody|post|entry|story|content|main|maincontent|prose|text|body|markdown)$"), 1.5),
+#: An element of this weight or less is a box of boilerplate; of boxes in each other only the strongest counts.
+BOX = -3.0
+CONTENT_NAME = re.compile(r"^(article|articlebody|post|entry|story|content|main|maincontent|prose|text|body|markdown)$")
+COMMENT_NAME = re.compile(r"^(comments?|commentlist|respond|replies|reply|disqus|discussion|reactions|forum)$")
+BOX_NAMES = [
     (re.compile(
         r"^(nav|navbar|navigation|menu|menubar|breadcrumbs?|pagination|pager|footer|foot|masthead|banner|sidebar|sidenav|aside|"
-        r"complementary|contentinfo|search|login|signup|toolbar|topbar|site)$"), -9.0),
+        r"complementary|contentinfo|search|login|signup|toolbar|topbar)$"), -4.0),
     (re.compile(
         r"^(ads?|adverts?|advertisements?|advertising|sponsor(ed|s)?|promo(tion|s)?|teasers?|outbrain|taboola|cookies?|consent|gdpr|"
-        r"notices?|alerts?|popup|modal|overlay|newsletter|subscribe|subscription|paywall|disclaimer|copyright|legal)$"), -9.0),
-    (re.compile(r"^(comments?|commentlist|respond|replies|reply|disqus|discussion|reactions|forum)$"), -14.0),
-    (re.compile(r"^(share|sharing|social|related|recommended|recommendations|more|widgets?|tags?|meta|byline|toc|skip|hidden|sr)$"), -5.0),
+        r"notices?|alerts?|popup|modal|overlay|newsletter|subscribe|subscription|paywall|disclaimer|copyright|legal)$"), -4.0),
+    (COMMENT_NAME, -5.0),
+    (re.compile(r"^(share|sharing|social|related|recommended|recommendations|more|widgets?|tags?|meta|byline|toc|skip|hidden|sr)$"), -3.0),
 ]
+#: A name's role is its last word, these left out; names that begin with a word of the second kind say what a page has or is about.
+_TRAILING = frozenset("area box buttons inner item items link links list only posts slot unit".split())
+_LEADING = frozenset("has with without no is show hide category tag topic term type format status".split())
+#: Elements that names never make a box, and boxes that never hold a whole page.
+NO_BOX = frozenset("html body main".split())
+SURE_BOX = frozenset("nav footer aside menu dialog button label header".split())
+#: Boxes with over half of a page's text don't count while less than this share of it is outside all boxes.
+LEAST_OUTSIDE = 0.1
 _TOKEN = re.compile(
     r"<!--(?:.*?-->|.*\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S
 )
@@ -78,37 +89,84 @@ class Block:
 
 
 class _Element:
-    __slots__ = ("tag", "number", "weight", "hidden", "inside")
+    __slots__ = ("tag", "number", "hidden", "inside")
 
-    def __init__(self, tag: str, number: int, weight: float, hidden: bool, inside: bool) -> None:
-        self.tag, self.number, self.weight, self.hidden, self.inside = tag, number, weight, hidden, inside
+    def __init__(self, tag: str, number: int, hidden: bool, inside: bool) -> None:
+        self.tag, self.number, self.hidden, self.inside = tag, number, hidden, inside
 
 
-def _judge(tag: str, attributes: str, inside_article: bool) -> tuple[float, bool]:
-    """Weight of an element and whether it is not shown."""
+def _box_name(name: str, tag: str) -> float:
+    """Cost of one class, id or role: 0 unless it names a box of boilerplate, by itself or by the role at its end."""
+    parts = _NAME.findall(name)
+    if tag in NO_BOX or not parts or (len(parts) > 1 and parts[0] in _LEADING):
+        return 0.0
+    if tag == "article":  # an article in an article's discussion
+        return -5.0 if len(parts) == 1 and COMMENT_NAME.match(parts[0]) else 0.0
+    while len(parts) > 1 and parts[-1] in _TRAILING:
+        parts.pop()
+    return min((w for r, w in BOX_NAMES if r.match(parts[-1])), default=0.0)
+
+
+def _judge(tag: str, attributes: str, inside_article: bool) -> tuple[float, float, bool]:
+    """Weight of an element, its cost as a box (0 if it is none) and whether it is not shown."""
     weight = TAG_WEIGHTS.get(tag, 0.0)
     if tag == "header" and inside_article:
         weight = 0.0  # an article's own heading
+    box = 0.0
+    if weight <= BOX:
+        weight, box = 0.0, weight
     hidden = False
     if attributes and not attributes.isspace():
         for m in _ATTRIBUTE.finditer(attributes):
             name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
             if name in ("class", "id", "role", "itemprop"):
-                got = [w for word in value.split() for part in _NAME.findall(word) for r, w in NAME_WEIGHTS if r.match(part)]
-                low = [w for w in got if w < 0]
-                weight += min(low) if low else max(got, default=0.0)
+                cost = min((_box_name(word, tag) for word in value.split()), default=0.0)
+                box = min(box, cost)
+                if not cost and any(CONTENT_NAME.match(part) for part in _NAME.findall(value)):
+                    weight += 1.5
             elif name == "hidden" or (name == "aria-hidden" and value == "true"):
                 hidden = True
             elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
                 hidden = True
-    return weight, hidden
+    return weight, box, hidden
+
+
+def _weigh(blocks: list[Block], judged: list[tuple[str, float, float]]) -> None:
+    """Set the blocks' weights from (tag, weight, box) of the elements around them.
+
+    A box takes away what the elements around it speak for. Boxes that hold the
+    page itself (see ``LEAST_OUTSIDE``) are passed over, the outermost first.
+    """
+    total = sum(len(b.text) for b in blocks)
+    boxes = {i for i, (_, _, box) in enumerate(judged) if box}
+    within: Counter[int] = Counter()
+    for b in blocks:
+        for e in b.path:
+            if e in boxes:
+                within[e] += len(b.text)
+    # elements are numbered as they open, so outer ones come first
+    wide = [i for i in sorted(boxes) if judged[i][0] not in SURE_BOX and 2 * within[i] > total]
+    for i in wide:
+        if sum(len(b.text) for b in blocks if boxes.isdisjoint(b.path)) >= LEAST_OUTSIDE * total:
+            break
+        boxes.discard(i)
+    for b in blocks:
+        speaks, cost = 0.0, 0.0
+        for e in b.path:
+            _, weight, box = judged[e]
+            if e in boxes:
+                speaks, cost = 0.0, min(cost, box)
+                if weight > 0:
+                    continue
+            speaks += weight
+        b.weight = speaks + cost
 
 
 def blocks_of(page: str) -> list[Block]:
     """The page's blocks of text in order; scripts, styles, the head and hidden elements have none."""
     out: list[Block] = []
-    open_: list[_Element] = [_Element("", 0, 0.0, False, False)]
-    numbers = 1
+    open_: list[_Element] = [_Element("", 0, False, False)]
+    judged: list[tuple[str, float, float]] = [("", 0.0, 0.0)]
     parts: list[str] = []
     linked = 0
     in_link = 0
@@ -117,9 +175,8 @@ def blocks_of(page: str) -> list[Block]:
         nonlocal parts, linked, in_link
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            top = open_[-1]
             heading = any(e.tag in ("h1", "h2", "h3", "h4", "h5", "h6") for e in open_[-3:])
-            out.append(Block(text, tuple(e.number for e in open_), top.weight, min(linked, len(text)), heading))
+            out.append(Block(text, tuple(e.number for e in open_), 0.0, min(linked, len(text)), heading))
         parts, linked, in_link = [], 0, 0
 
     at, size = 0, len(page)
@@ -158,7 +215,7 @@ def blocks_of(page: str) -> list[Block]:
             parts.append(" ")
             continue
         if tag not in BLOCK_TAGS and tag not in TAG_WEIGHTS:
-            if not closing and m[3] and tag not in VOID_TAGS and _judge(tag, m[3], False)[1]:
+            if not closing and m[3] and tag not in VOID_TAGS and _judge(tag, m[3], False)[2]:
                 end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
                 at = end.end() if end else at  # an inline element that is not shown
             continue
@@ -178,10 +235,11 @@ def blocks_of(page: str) -> list[Block]:
         if tag in VOID_TAGS:
             continue
         up = open_[-1]
-        weight, hidden = _judge(tag, m[3], up.inside)
-        open_.append(_Element(tag, numbers, up.weight + weight, up.hidden or hidden, up.inside or tag in ("article", "main")))
-        numbers += 1
+        weight, box, hidden = _judge(tag, m[3], up.inside)
+        open_.append(_Element(tag, len(judged), up.hidden or hidden, up.inside or tag in ("article", "main")))
+        judged.append((tag, weight, box))
     flush()
+    _weigh(out, judged)
     return out
 
 
@@ -189,7 +247,7 @@ def blocks_of(page: str) -> list[Block]:
 START = (-0.7, 1.0, -4.0, 0.5, 0.5)
 PULL = 0.05
 #: Weights of surroundings that label a block for training: at most the first is boilerplate, at least the second content.
-SURE = (-9.0, 3.0)
+SURE = (-4.0, 3.0)
 _BINS = "content int, words int, linked int, ended int, heading int"
 
 

@@ -90,6 +90,22 @@ def test_page_parts():
     ]
 
 
+@pytest.mark.parametrize("before,after", [
+    ("<body><div id=page class=site><div class=site-content><main class=site-main><article>", "</article></main></div></div>"),
+    ("<body class='has-sidebar single'><article>", "</article>"), ("<body><article class='post category-legal'>", "</article>"),
+    ("<body><form action=x><div id=wrap><article>", "</article></div></form>"), ("<body><form><div>", "</div></form>"),
+    ("<body><div class='content-sidebar'><div>", "</div></div>"), ("<body><div class=no-banner><main>", "</main></div>"),
+])
+def test_wrappers_of_a_page_are_no_boilerplate(before, after):
+    text = ["A title", *["A paragraph with many words of text that goes on for a while, until it ends like a sentence does."] * 6]
+    boxes = "<div class='{}'><p>This box has a sentence with several words of its own, but it is not the text.</p></div>"
+    menu = "<div class=main-menu><ul><li><a href=1>One</a><li><a href=2>Two</a></ul></div>"
+    inner = f"<h1>{text[0]}</h1>" + "".join(f"<p>{t}</p>" for t in text[1:])
+    ends = "".join(boxes.format(c) for c in ("comment-list", "page-sidebar", "cookie-notice", "ad")) + "<footer>All rights reserved.</footer>"
+    assert extract.main_text(f"{before}{menu}{inner}{ends}{after}").split("\n\n") == text
+    assert extract.main_text(f"{before}{inner}{after}{menu}{ends}").split("\n\n") == text
+
+
 @pytest.mark.parametrize("page", ["", "<", "<p", "</p></div>", "<!-- open", "<script>x", "<div " * 50, "a" * 100_000, "<p>" * 5000, "&#xZZ; &bogus; &"])
 def test_broken_pages_do_not_fail(page):
     assert isinstance(extract.main_text(page), str)
