@@ -12,13 +12,14 @@ are tokenized once into blocks of about ``block_tokens`` tokens. Level by level,
 each block sends its distinct (context, word) pairs with their counts, packed
 by the hash of the context, to the task that sums that part of the model; the
 task sends back the totals and verdicts for just these pairs. Contexts seen so
-often that one task should not hold them are split by the next word; these are
-always retained, as their counts leave nothing to estimate. Blocks lie in a
-table bucketed by block, so a round only moves pairs and answers, never texts.
+often that one task should not hold them are split by the next word; each part
+gives its share of the gain, and the shares are added up for the same verdict as
+elsewhere. Blocks lie in a table bucketed by block, so a round only moves pairs and answers, never texts.
 """
 
 from __future__ import annotations
 
+import math
 import struct
 import uuid
 from collections.abc import Iterator
@@ -40,6 +41,8 @@ REQUESTS = "bucket long, block long, payload binary"
 ANSWERS = "block long, level int, bucket long, distinct long, payload binary"
 SCORES = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
+#: Block number of the rows that carry shares of the gain.
+SHARES = -1
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _START = np.uint64(0x1234567890ABCDEF)
 #: log10 probabilities travel for the divergence test in steps of 1/_STEPS.
@@ -213,12 +216,12 @@ class Block:
                     first = _heads(pair_ctx[rows])
                     runs = np.diff(np.append(first, len(rows))).astype("<u4")
                     yield k, _pack(
-                        ctx_hash[rows[first]].astype("<u8").tobytes(), _squeeze(runs), _squeeze(split[rows[first]].astype(np.uint8)),
+                        ctx_hash[rows[first]].astype("<u8").tobytes(), _squeeze(runs), _squeeze(np.where(split[rows[first]], n[rows[first]], 0).astype("<u8")),
                         word_hash[rows].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes(), _squeeze(q[rows]), _squeeze(counts[rows]),
                     )
 
     def _answered(self, level: int, ctx_hash: np.ndarray, n: np.ndarray, word_hash: np.ndarray, pair_ctx: np.ndarray):
-        bucket, order, _ = self._order(ctx_hash, n, word_hash)
+        bucket, order, split = self._order(ctx_hash, n, word_hash)
         total, kept = np.zeros(len(n), np.int64), np.zeros(len(n), bool)
         got = self.answers.get(level, {})
         for k, rows in _groups(bucket, order):
@@ -227,6 +230,7 @@ class Block:
             flags = np.unpackbits(np.frombuffer(keep, np.uint8), count=len(first)).astype(bool)
             kept[rows] = np.repeat(flags, np.diff(np.append(first, len(rows))))
             total[rows] = _expand(counts, "<u4")
+        kept[split] = np.isin(ctx_hash[split], self.model["split_kept"].get(level, ctx_hash[:0]))
         return total, kept
 
     def scores(self, max_depth: int) -> list[tuple]:
@@ -277,7 +281,10 @@ def _sum_words(schema: pa.Schema):
 
 
 def _sum_pairs(schema: pa.Schema, level: int, min_gain: float):
-    """Totals of one bucket's pairs and the verdicts on its contexts, for each block that asked."""
+    """Totals of one bucket's pairs and the verdicts on its contexts, for each block that asked.
+
+    A row of block ``SHARES`` has the shares of split contexts in the gain, which a verdict needs from all buckets.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         bucket = table["bucket"][0].as_py()
@@ -287,7 +294,7 @@ def _sum_pairs(schema: pa.Schema, level: int, min_gain: float):
             a, b, c, d, e, f = _unpack(payload)
             ctxs.append(np.frombuffer(a, "<u8"))
             runs.append(_expand(b, "<u4").astype(np.int64))
-            splits.append(_expand(c, np.uint8))
+            splits.append(_expand(c, "<u8"))
             wide = np.zeros((len(d) // 5, 8), np.uint8)
             wide[:, :5] = np.frombuffer(d, np.uint8).reshape(-1, 5)
             words.append(wide.view("<u8").ravel())
@@ -300,12 +307,17 @@ def _sum_pairs(schema: pa.Schema, level: int, min_gain: float):
         total = np.bincount(pair, np.concatenate(counts), len(where))
         pair_ctx, p = ctx[where], 10.0 ** (np.concatenate(qs)[where].astype(float) / -_STEPS)
         n = np.bincount(pair_ctx, total, len(ctx_names))
+        whole = np.zeros(len(ctx_names), np.uint64)  # observations of split contexts in all buckets
+        whole[ctx_of_run] = np.concatenate(splits)
+        split = whole > 0
+        n[split] = whole[split]
         mass, seen = _mass(n)[pair_ctx], total > 0
         left_out = (np.maximum(total - 1, 0) / p + mass) / (np.maximum(n[pair_ctx] - 1, 0) + mass)
         gain = np.bincount(pair_ctx[seen], (total * np.log10(left_out))[seen], len(ctx_names))
         keep = gain > min_gain
-        keep[ctx_of_run[np.concatenate(splits) > 0]] = True
         rows, r, e = [], 0, 0
+        if split.any():
+            rows.append((SHARES, level, bucket, 0, _pack(ctx_names[split].tobytes(), gain[split].astype("<f8").tobytes())))
         for block, own in zip(blocks, runs, strict=True):
             size = int(own.sum())
             flags = np.packbits(keep[ctx_of_run[r : r + len(own)]]).tobytes()
@@ -316,6 +328,16 @@ def _sum_pairs(schema: pa.Schema, level: int, min_gain: float):
     return run
 
 
+def _split_kept(found: DataFrame, min_gain: float) -> np.ndarray:
+    """Hashes of the split contexts to retain: as many at most as the observations that make one are in the corpus."""
+    gains: dict[int, list[float]] = {}
+    for row in found.where(F.col("block") == SHARES).select("payload").collect():
+        names, shares = _unpack(row["payload"])
+        for name, share in zip(np.frombuffer(names, "<u8").tolist(), np.frombuffer(shares, "<f8").tolist(), strict=True):
+            gains.setdefault(name, []).append(share)
+    return np.array(sorted(name for name, shares in gains.items() if math.fsum(shares) > min_gain), np.uint64)
+
+
 def _grouped_answers(right: pa.Table) -> dict[int, dict[int, bytes]]:
     out: dict[int, dict[int, bytes]] = {}
     for level, bucket, payload in zip(right["level"].to_pylist(), right["bucket"].to_pylist(), right["payload"].to_pylist(), strict=True):
@@ -351,7 +373,7 @@ def score(
     spark = df.sparkSession
     blocks = _bucketed(build_blocks(df, id_col, text_col, block_tokens))
     tokens, train = blocks.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.coalesce(F.sum("n_train"), F.lit(0))).first()
-    model = {"train_tokens": train, "distinct": 0, "buckets": max(1, -(-tokens // bucket_tokens)), "split_rows": split_rows}
+    model = {"train_tokens": train, "distinct": 0, "buckets": max(1, -(-tokens // bucket_tokens)), "split_rows": split_rows, "split_kept": {}}
     requests_schema, answers_schema = S.arrow_schema(REQUESTS), S.arrow_schema(ANSWERS)
 
     def ask_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -376,7 +398,9 @@ def score(
     for level in range(1, max_depth + 1):
         asked = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(ask_pairs(level), REQUESTS)
         found = S.staged(asked.groupBy("bucket").applyInArrow(_sum_pairs(answers_schema, level, min_gain), ANSWERS), f"pairs{level}")
-        answers = answers.unionByName(found)
+        # a new mapping, as functions of earlier rounds hold the old one
+        model = model | {"split_kept": model["split_kept"] | {level: _split_kept(found, min_gain)}}
+        answers = answers.unionByName(found.where(F.col("block") != SHARES))
 
     scores_schema = S.arrow_schema(SCORES)
 

@@ -179,6 +179,13 @@ def test_split_contexts_give_a_distribution(docs):
     assert all(math.isfinite(r["score"]) for r in got)
 
 
+def test_split_contexts_are_judged_like_others(docs):
+    small = docs.where("length(text) < 2000")
+    want = brute_scores([tuple(r) for r in small.select("doc_id", "text").collect()])
+    for r in lm.score(small, split_rows=2, bucket_tokens=500).collect():
+        assert any(r["score"] == pytest.approx(w[5], abs=1e-6) for w in want[r["doc_id"]])
+
+
 # --- SimHash ---------------------------------------------------------------------------------
 def brute_fingerprint(t):
     w = brute_words(t)
