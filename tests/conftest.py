@@ -1,5 +1,3 @@
-import datetime as dt
-import decimal
 import os
 import sys
 
@@ -8,7 +6,6 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from gustolake.session import build_session  # noqa: E402
-from gustolake.sources import contracts as C  # noqa: E402
 
 SF0001 = "/root/testdata/sf0.001"
 SF001 = "/root/testdata/sf0.01"
@@ -24,29 +21,3 @@ def spark():
     )
     s.sparkContext.setLogLevel("ERROR")
     yield s
-
-
-D = decimal.Decimal
-TS = dt.datetime(2001, 7, 20, 12, 0, 0)
-
-
-def item(order_id="1", lineitem_id="1", user_id="u1", restaurant_id="r1", created=TS, price="10.00",
-         qty=1, category="Pizza", name="Margherita", loyalty=False, app="web", currency="USD", card=""):
-    return (restaurant_id, created, order_id, user_id, card, loyalty, currency, lineitem_id, category, name,
-            None if price is None else D(price), qty, app)
-
-
-def option(order_id="1", lineitem_id="1", group="Tax", name="TAX", price="1.00", qty=1):
-    return (order_id, lineitem_id, group, name, None if price is None else D(price), qty)
-
-
-def items_df(spark, rows):
-    return spark.createDataFrame(rows, C.ORDER_ITEMS_SOURCE)
-
-
-def options_df(spark, rows):
-    return spark.createDataFrame(rows, C.ORDER_ITEM_OPTIONS_SOURCE)
-
-
-def empty_date_dim(spark):
-    return spark.createDataFrame([], C.DATE_DIM_SOURCE)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import D, TS, item, items_df, option, options_df
+from samples import D, TS, item, items_df, option, options_df
 from gustolake.functions.clean import blank_to_null, strip_urls
 from gustolake.operators.clean import dedup, normalize_columns, require_keys, to_contract, void_to_string
 from gustolake.plans import silver

@@ -3,7 +3,7 @@
 import datetime as dt
 import uuid
 
-from conftest import item, items_df
+from samples import item, items_df
 from gustolake.operators import quality
 from gustolake.plans import bronze, pipeline, silver
 from gustolake.session import scratch_dir
