@@ -373,6 +373,14 @@ BODIES: dict[str, str] = {
     "scan_source": f"SELECT {ITEM_COLS} FROM src_items",
     "bronze_ingest": f"SELECT {ITEM_COLS}, {INGEST_STR} FROM src_items",
     "bronze_roundtrip": f"SELECT {ITEM_COLS}, {INGEST} FROM src_items",
+    "bronze_latest_day": f"SELECT {ITEM_COLS}, {INGEST} FROM src_items",
+    "incremental_silver": f"SELECT {SILVER_ITEM_COLS} FROM silver_items",
+    "incremental_customers": f"""SELECT c.user_id, CAST(c.total_clv AS DOUBLE) AS total_clv, c.total_orders, c.first_order_date,
+        c.last_order_date, CAST(c.avg_order_value AS DOUBLE) AS avg_order_value, c.is_loyalty,
+        CAST(r.spend_last_30d AS DOUBLE) AS spend_last_30d, CAST(p.spend_prior_30d AS DOUBLE) AS spend_prior_30d,
+        CAST(date_diff('day', c.last_order_date, {AS_OF}) AS INTEGER) AS recency_days,
+        CAST(date_diff('day', c.first_order_date, c.last_order_date) AS INTEGER) AS tenure_days
+        FROM clv_base c LEFT JOIN recent_spend r ON c.user_id = r.user_id LEFT JOIN prior_spend p ON c.user_id = p.user_id""",
     "silver_roundtrip": f"SELECT {SILVER_ITEM_COLS} FROM silver_items",
     "gold_roundtrip": "SELECT * FROM g_dim",
     "published_tables": """

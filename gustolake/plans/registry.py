@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from gustolake.functions.clean import strip_urls
 from gustolake.operators import base, metrics, serving
 from gustolake.operators.clean import dedup, normalize_columns, require_keys, to_contract, void_to_string
-from gustolake.plans import bronze, gold, pipeline, silver
+from gustolake.plans import bronze, customers, gold, pipeline, silver
 from gustolake.session import scratch_dir
 from gustolake.sources import contracts as C
 from gustolake.sources import fixtures as FX
@@ -107,6 +107,35 @@ def q_published_tables(spark: SparkSession, sf: str) -> DataFrame:
     return out
 
 
+def q_bronze_latest_day(spark: SparkSession, sf: str) -> DataFrame:
+    """Two ingest days, of which a read without a date takes the later."""
+    path, items = _scratch(spark, "bronze") + "/order_items", FX.order_items(spark, sf)
+    bronze.write(bronze.ingest(items, INGEST_DATE), path)
+    bronze.write(bronze.ingest(items.where("is_loyalty"), INGEST_DATE - dt.timedelta(days=1)), path)
+    return bronze.read(spark, path)
+
+
+# --- incremental -----------------------------------------------------------------------
+def q_incremental_silver(spark: SparkSession, sf: str) -> DataFrame:
+    """Two ingest days upserted one after the other: the second brings new lines, and earlier times of lines of the first."""
+    items, path = FX.order_items(spark, sf), _scratch(spark, "silver") + "/order_items"
+    number = F.col("order_id").cast("long")
+    late = F.when(number % 5 == 0, F.timestamp_add("DAY", F.lit(40), F.col("creation_time_utc"))).otherwise(F.col("creation_time_utc"))
+    silver.upsert_order_items(spark, items.where(number % 3 != 0).withColumn("creation_time_utc", late), path)
+    silver.upsert_order_items(spark, items.where((number % 3 == 0) | (number % 5 == 0)), path)
+    return silver.read_order_items(spark, path)
+
+
+def q_incremental_customers(spark: SparkSession, sf: str) -> DataFrame:
+    """The customer base brought to three dates one after the other, each time from the days since."""
+    root, orders = _scratch(spark, "customers"), gold.checkpoint_stage(_orders(spark, sf), "order_base")
+    at = [AS_OF - dt.timedelta(days=45), AS_OF - dt.timedelta(days=10), AS_OF]
+    for since, day in zip([None, *at], at):
+        new = orders if since is None else orders.where(F.col("order_date") > F.lit(since))
+        customers.update(spark, root, new if day == at[-1] else new.where(F.col("order_date") <= F.lit(day)), day)
+    return customers.read(spark, root)
+
+
 # --- cleaning --------------------------------------------------------------------------
 def q_normalize_columns(spark: SparkSession, sf: str) -> DataFrame:
     raw = FX.order_items(spark, sf)
@@ -239,6 +268,9 @@ QUERIES: dict[str, Query] = {
     "silver_roundtrip": q_silver_roundtrip,
     "gold_roundtrip": q_gold_roundtrip,
     "published_tables": q_published_tables,
+    "bronze_latest_day": q_bronze_latest_day,
+    "incremental_silver": q_incremental_silver,
+    "incremental_customers": q_incremental_customers,
     "normalize_columns": q_normalize_columns,
     "void_to_string": q_void_to_string,
     "cast_text": q_cast_text,

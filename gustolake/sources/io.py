@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import time
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gustolake.sources import versions
+
 
 # --- readers -------------------------------------------------------------------------
 def read_source(spark: SparkSession, name: str, fmt: str = "table", options: dict | None = None) -> DataFrame:
@@ -87,52 +87,48 @@ def publish(
     version: str | None = None,
     keep_versions: int = 2,
 ) -> DataFrame:
-    """Write ``df`` in its declared schema and register it as an external table.
+    """Write ``df`` in its declared schema as a new version under ``path`` and register it as an external table.
 
-    ``path`` is the published location and holds exactly one version. A new one
-    is written beside it, under ``_versions``, and takes its place by two renames
-    (a failed run leaves the version before in place); the version it replaces
-    moves there too. ``keep_versions`` counts the current one; older ones are
-    deleted.
+    The version is committed in one step (``versions``), then the catalog's
+    location is moved to its folder; the folder of the version before stays, so
+    queries that have begun to read it end well. A run that died between the
+    two steps is finished by the next one (``register``). ``keep_versions``
+    counts the current one; older ones are deleted.
     """
     out = to_contract_types(df, schema)
     location = path.rstrip("/")
-    parent, _, folder = location.rpartition("/")
-    old = f"{parent}/_versions/{folder}"
-    stamp = f"v{time.time_ns():020d}-{version or uuid.uuid4().hex[:12]}"
-    write_layer(out, f"{old}/next-{stamp}")
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    fs = at(location).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(at(location)):
-        fs.rename(at(location), at(f"{old}/{stamp}"))
-    if not fs.rename(at(f"{old}/next-{stamp}"), at(location)):
-        raise OSError(f"could not move the new version to {location}")
+    if versions.current(spark, location) is not None:
+        register(spark, location, name, database)
+    versions.recover(spark, location)
+    versions.write(spark, out, location, label=version)
+    register(spark, location, name, database)
+    versions.expire(spark, location, keep_versions)
+    return spark.table(f"{database}.{name}" if database else name)
+
+
+def register(spark: SparkSession, path: str, name: str, database: str | None = None) -> None:
+    """Point the catalog's table at the newest committed version under ``path``."""
+    folder = versions.folder_of(path, versions.current(spark, path).folders[versions.WHOLE])
     qualified = f"{database}.{name}" if database else name
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     if spark.catalog.tableExists(qualified):
+        spark.sql(f"ALTER TABLE {qualified} SET LOCATION '{folder}'")
         spark.catalog.refreshTable(qualified)
     else:
         spark.sql(
-            f"CREATE TABLE {qualified} USING parquet LOCATION '{location}' "
+            f"CREATE TABLE {qualified} USING parquet LOCATION '{folder}' "
             f"OPTIONS (compression 'snappy')"
         )
-    expire_versions(spark, old, keep_versions - 1)
-    return spark.table(qualified)
 
 
-def delete_folder(spark: SparkSession, path: str) -> None:
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+def read_published(spark: SparkSession, path: str) -> DataFrame:
+    """The newest committed version under ``path``, without the catalog."""
+    return versions.read(spark, path.rstrip("/"))
 
 
-def expire_versions(spark: SparkSession, root: str, keep: int) -> None:
-    """Delete all but the newest ``keep`` replaced versions in ``root``."""
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
-    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = sorted((s.getPath() for s in fs.listStatus(at) if s.getPath().getName().startswith("v")), key=lambda p: p.getName())
-    for p in found[: len(found) - max(0, keep)]:
-        fs.delete(p, True)
+def delete_folder(spark: SparkSession, path: str) -> None:
+    versions.delete(spark, path)
 
 
 def list_published(spark: SparkSession, database: str) -> DataFrame:

@@ -43,40 +43,32 @@ def test_full_pipeline_run_sf0001(spark):
     assert [f.name for f in items.schema.fields] == [f.name for f in C.SILVER_ORDER_ITEMS.fields]
 
 
-def test_publish_twice_switches_version(spark):
-    from pyspark.sql import functions as F
-
-    root = scratch_dir(spark, f"t-pub-{uuid.uuid4().hex[:8]}")
-    db = f"t_pub_{uuid.uuid4().hex[:6]}"
-    schema = C.FACT_LOYALTY_COMPARISON
-    first = spark.createDataFrame([(True, 1, 1.0, 1.0, 1.0, 1.0, "2001-08-01")], schema)
-    second = spark.createDataFrame([(False, 2, 2.0, 2.0, 2.0, 2.0, "2001-08-02")], schema)
-    io.publish(spark, first, schema, f"{root}/t", "t", db)
-    out = io.publish(spark, second, schema, f"{root}/t", "t", db)
-    assert [r["snapshot_date"] for r in out.collect()] == ["2001-08-02"]
-    assert spark.read.parquet(f"{root}/t").collect() == out.collect()  # the path holds one version
-    spark.range(1).createOrReplaceTempView("a_view_of_the_session")
-    assert [r["table_name"] for r in io.list_published(spark, db).collect()] == ["t"]
-    assert spark.table(f"{db}.t").agg(F.sum("customer_count")).first()[0] == 2
-
-
-def test_publish_keeps_so_many_versions(spark):
-    schema = C.FACT_LOYALTY_COMPARISON
-    root, db = scratch_dir(spark, f"t-keep-{uuid.uuid4().hex[:8]}"), f"t_keep_{uuid.uuid4().hex[:6]}"
-    for day in ("01", "02", "03", "04"):
-        df = spark.createDataFrame([(True, 1, 1.0, 1.0, 1.0, 1.0, f"2001-08-{day}")], schema)
-        io.publish(spark, df, schema, f"{root}/t", "t", db, keep_versions=3)
-    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/_versions/t")
-    fs = fs_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    assert len(fs.listStatus(fs_path)) == 2  # and the current one
-    assert [r["snapshot_date"] for r in spark.table(f"{db}.t").collect()] == ["2001-08-04"]
-
-
-def test_latest_ingest_date_reads_no_data_column(spark):
+def test_silver_without_a_date_takes_the_latest_day(spark):
     path = scratch_dir(spark, f"t-days-{uuid.uuid4().hex[:8]}") + "/order_items"
-    bronze.write(bronze.ingest(items_df(spark, [item(order_id="1")]), dt.date(2001, 8, 1)), path)
-    plan = bronze.ingest_days(spark, path)._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<>" in plan
+    days = [dt.date(2001, 8, 9), dt.date(2001, 7, 31), dt.date(2000, 12, 1)]
+    for n, day in enumerate(days):
+        bronze.write(bronze.ingest(items_df(spark, [item(order_id=str(i)) for i in range(n + 1)]), day), path)
+    # the folder of a write that was called off
+    from gustolake.sources import versions
+
+    fs, at = versions._hadoop(spark, path)
+    fs.mkdirs(at(f"{path}/_ingestion_year=2001/_ingestion_month=10/_ingestion_day=01"))
+    group = f"listing-{uuid.uuid4().hex}"
+    spark.sparkContext.setJobGroup(group, "listing")
+    try:
+        assert bronze.ingest_days(spark, path) == days
+        assert bronze.latest_ingest_date(spark, path) == days[0]
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) == []  # a listing, no job
+    finally:
+        spark.sparkContext.setJobGroup("tests", "tests")
+    got = bronze.read(spark, path)
+    assert [r["_ingestion_date"] for r in got.collect()] == ["2001-08-09"] and got.first()["_ingestion_month"] == 8
+    assert all("_ingestion_month=08" in f for f in got.inputFiles())  # no other day's files are even listed
+    assert bronze.read(spark, path, days[1]).count() == 2 and bronze.read_all(spark, path).count() == 6
+    assert bronze.read(spark, path, dt.date(1999, 1, 1)).count() == 0
+    silver_path = scratch_dir(spark, f"t-latest-{uuid.uuid4().hex[:8]}")
+    silver.upsert_latest_day(spark, path, silver_path)
+    assert [r["order_id"] for r in silver.read_order_items(spark, silver_path).collect()] == ["0"]
 
 
 def test_relational_source_needs_a_split(spark):
