@@ -2,13 +2,13 @@
 
 Three committed datasets under one root (``versions``):
 
-    order_days  which orders a customer placed on a day, by order_date
-    day_parts   per customer and day: net revenue, its rows, orders seen for the first time, loyalty; by order_date
+    order_days  which orders a customer placed on a day, in folders by month
+    day_parts   per customer and day: net revenue, its rows, orders seen for the first time, loyalty; in folders by month
     state       per customer: the totals and both trailing windows as of the last run
 
 All measures but first, last and loyalty are sums, so a run adds signed rows: the
 old state, the new days, and the days that have left a window since the last
-run (read by their partitions). One aggregate by customer over these is the new
+run (read from their months). One aggregate by customer over these is the new
 state. A day that is delivered again can't be taken out of a minimum; then the
 state is built anew from ``day_parts``, which are small, and never from orders.
 
@@ -33,12 +33,16 @@ from gustolake.sources import io, versions
 MONEY = T.DecimalType(38, 2)
 #: What Spark's average of MONEY is.
 AVERAGE = T.DecimalType(38, 6)
-DAY = "order_date"
+DAY, MONTH = "order_date", "order_yyyymm"
 SUMS = ("revenue", "revenue_rows", "orders", "last_revenue", "last_rows", "prior_revenue", "prior_rows")
 
 
-def _day(name: str) -> dt.date:
-    return dt.date.fromisoformat(name.partition("=")[2])
+def _month(day: dt.date) -> str:
+    return f"{MONTH}={day.year * 100 + day.month}"
+
+
+def _months(first: dt.date, last: dt.date) -> set[str]:
+    return {_month(first + dt.timedelta(days=i)) for i in range((last - first).days + 1)}
 
 
 def _at(spark: SparkSession, path: str, name: str | None) -> versions.Commit | None:
@@ -96,33 +100,41 @@ def update(spark: SparkSession, root: str, orders: DataFrame, as_of: dt.date, wi
         io.write_layer(order_level(orders), f"{stage}/orders")
         level = spark.read.parquet(f"{stage}/orders")
         new_days = sorted(r[0] for r in level.select(DAY).distinct().collect())  # calendar days of one delivery
-        names = [f"{DAY}={d.isoformat()}" for d in new_days]
-        again = bool(days_at) and any(n in days_at.folders for n in names)
+        months = sorted({_month(d) for d in new_days})
+        known = parts_at.info["days"] if parts_at else []
+        again = bool(set(known) & {d.isoformat() for d in new_days})
+        other_day = ~F.col(DAY).isin(new_days) if again else F.lit(True)
 
         # an order counts once for its customer, on the first day it is seen
         pair = ["user_id", "order_id"]
         first = F.col(DAY) == F.min(DAY).over(Window.partitionBy(*pair))
         placed = level.withColumn("_first", first)
-        others = sorted(set(days_at.folders) - set(names)) if days_at else []
-        if others and names:
-            earlier = versions.read(spark, paths["order_days"], days_at, only=others).select(*pair)
+        if days_at and new_days:
+            earlier = versions.read(spark, paths["order_days"], days_at).where(other_day).select(*pair)
             seen = keyset.maybe_in(earlier, level.select(*pair), pair, level.count()).distinct().withColumn("_seen", F.lit(True))
             placed = placed.join(seen, pair, "left").withColumn("_first", F.col("_first") & F.col("_seen").isNull())
         parts = placed.groupBy("user_id", DAY).agg(
             F.sum("revenue").cast(MONEY).alias("revenue"), F.sum("revenue_rows").alias("revenue_rows"),
             F.count_if("_first").alias("orders"), F.max("is_loyalty").alias("is_loyalty"),
         )
-        if names:
-            days_at = versions.write(spark, level.select(*pair, DAY), paths["order_days"], [DAY], replaces=names, base=days_at)
-            parts_at = versions.write(spark, parts, paths["day_parts"], [DAY], replaces=names, base=parts_at)
+
+        def taken_in(df: DataFrame, path: str, at: versions.Commit | None) -> versions.Commit:
+            """The months of the new days with these days' rows in place of earlier ones."""
+            df = df.withColumn(MONTH, F.year(DAY) * 100 + F.month(DAY))
+            if at and set(months) & set(at.folders):
+                df = versions.read(spark, path, at, only=months).where(other_day).unionByName(df)
+            days = sorted({*known, *(d.isoformat() for d in new_days)})
+            return versions.write(spark, df, path, [MONTH], replaces=months, base=at, info={"days": days}, rebalance=True)
+
+        if new_days:
+            days_at = taken_in(level.select(*pair, DAY), paths["order_days"], days_at)
+            parts_at = taken_in(parts, paths["day_parts"], parts_at)
         before = dt.date.fromisoformat(info["as_of"]) if state_at else None
         one = F.lit(1)
 
-        def part_rows(only: list[str], last: Column, prior: Column, whole: bool) -> list[DataFrame]:
-            if not only:
-                return []
-            read = versions.read(spark, paths["day_parts"], parts_at, only=only).withColumn(DAY, F.col(DAY).cast("date"))
-            return [_signed(read, last, prior, whole)]
+        def part_rows(only: set[str], of: Column, last: Column, prior: Column, whole: bool) -> list[DataFrame]:
+            only = only & set(parts_at.folders if parts_at else ())
+            return [_signed(versions.read(spark, paths["day_parts"], parts_at, only=only).where(of), last, prior, whole)] if only else []
 
         def factor(condition: Column) -> Column:
             return F.when(condition, one).otherwise(0)
@@ -130,20 +142,20 @@ def update(spark: SparkSession, root: str, orders: DataFrame, as_of: dt.date, wi
         to_last, to_prior = (factor(c) for c in _windows(F.col(DAY), as_of, window_days))
         anew = state_at is None or again or as_of < before or info["window_days"] != window_days
         if anew:
-            rows = part_rows(sorted(parts_at.folders) if parts_at else [], to_last, to_prior, True)
+            rows = part_rows(set(parts_at.folders if parts_at else ()), F.lit(True), to_last, to_prior, True)
             # a day that was replaced may have been an order's first: count orders over all days
             if days_at:
                 pairs = versions.read(spark, paths["order_days"], days_at).groupBy("user_id").agg(F.count_distinct("order_id").alias("counted"))
         else:
             was_last, was_prior = (factor(c) for c in _windows(F.col(DAY), before, window_days))
             old = versions.read(spark, paths["state"], state_at)
-            # only days of the last two windows can have moved to another window
-            moved = [
-                n for n in parts_at.folders
-                if n not in set(names) and before - dt.timedelta(days=2 * window_days) <= _day(n) < as_of - dt.timedelta(days=window_days)
-            ]
             rows = [old.select("user_id", *SUMS, "first_order_date", "last_order_date", "is_loyalty")]
-            rows += part_rows(names, to_last, to_prior, True) + part_rows(sorted(moved), to_last - was_last, to_prior - was_prior, False)
+            if new_days:
+                rows += part_rows(set(months), F.col(DAY).isin(new_days), to_last, to_prior, True)
+            # only days of the last two windows can have moved to another window
+            first_day, last_day = before - dt.timedelta(days=2 * window_days), as_of - dt.timedelta(days=window_days + 1)
+            moved = F.col(DAY).between(F.lit(first_day), F.lit(last_day)) & ~F.col(DAY).isin(new_days)
+            rows += part_rows(_months(first_day, last_day), moved, to_last - was_last, to_prior - was_prior, False)
         if not rows:
             raise ValueError("no orders and no state yet")
         state = rows[0]
