@@ -132,3 +132,18 @@ def staged(df: DataFrame, tag: str) -> DataFrame:
     path = shared_path(spark, tag)
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def bucketed(df: DataFrame, tag: str, by: str) -> DataFrame:
+    """Write ``df`` to the shared folder in buckets of column ``by`` and read it back: joins on it don't shuffle it.
+
+    Buckets need a catalog entry while the table is written and looked up; it is dropped at once, the files stay.
+    """
+    spark = df.sparkSession
+    name = f"llm_{tag}_{uuid.uuid4().hex[:12]}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = shared_path(spark, tag)
+    df.write.mode("overwrite").option("path", path).option("compression", "zstd").bucketBy(n, by).saveAsTable(name)
+    out = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return out

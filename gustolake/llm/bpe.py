@@ -29,8 +29,13 @@ from gustolake.llm import _shared as S
 SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 SPLIT = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 
-#: Pieces of text whose ids a Python worker keeps.
-CACHE_ENTRIES = 600_000
+#: A Python worker keeps the ids of pieces of up to this many characters, while they take up to this many bytes,
+#: counting so many for the objects of an entry. Longer ones (texts without spaces) are kept for a batch only.
+CACHE_CHARS, CACHE_BYTES, ENTRY_BYTES = 64, 128 << 20, 200
+
+
+def _bytes(piece: str, ids: bytes) -> int:
+    return ENTRY_BYTES + 4 * len(piece) + len(ids)
 
 
 def byte_letters() -> dict[int, str]:
@@ -86,10 +91,12 @@ class Encoder:
         self.bare: dict[str, bytes] = {}
         self.spaced: dict[str, bytes] = {}
         self.merged: dict[str, bytes] = {}
+        self.held = 0
 
     def encode_batch(self, texts: Sequence[str | None]) -> list[bytes]:
         """Ids of each text as little-endian uint32 bytes (null: none)."""
-        if len(self.bare) + len(self.spaced) > CACHE_ENTRIES:
+        if self.held > CACHE_BYTES:
+            self.held = 0
             for known in (self.bare, self.spaced, self.merged):
                 known.clear()
         new_bare: set[str] = set()
@@ -102,7 +109,12 @@ class Encoder:
                     new_spaced.update(set(rest).difference(self.spaced))
         self._learn(new_bare.difference(self.bare), self.bare, "")
         self._learn(new_spaced, self.spaced, " ")
-        return [self._joined(t) for t in texts]
+        out = [self._joined(t) for t in texts]
+        for chunks, known in ((new_bare, self.bare), (new_spaced, self.spaced)):
+            for c in chunks:
+                if len(c) > CACHE_CHARS:
+                    known.pop(c, None)
+        return out
 
     def _joined(self, text: str | None) -> bytes:
         parts: list[bytes] = []
@@ -123,9 +135,13 @@ class Encoder:
     def _learn(self, chunks: set[str], into: dict[str, bytes], lead: str) -> None:
         """Ids of chunks of text (which begin at pre-token boundaries) into ``into``."""
         pieces = {c: self.words.findall(lead + c) for c in chunks}
-        self.merged |= self.merge_all(list({w for p in pieces.values() for w in p} - self.merged.keys()))
+        found = self.merge_all(list({w for p in pieces.values() for w in p} - self.merged.keys()))
+        kept = {w: ids for w, ids in found.items() if len(w) <= CACHE_CHARS}
+        self.merged |= kept
         for c, p in pieces.items():
-            into[c] = b"".join([self.merged[w] for w in p])
+            into[c] = b"".join([found[w] if w in found else self.merged[w] for w in p])
+        self.held += sum(_bytes(w, ids) for w, ids in kept.items())
+        self.held += sum(_bytes(c, into[c]) for c in pieces if len(c) <= CACHE_CHARS)
 
     def merge_all(self, words: list[str]) -> dict[str, bytes]:
         """Ids of each pre-token, all merged together through the pair occurrence index."""
@@ -218,22 +234,26 @@ class RankEncoder(Encoder):
         self.bare, self.spaced = _Ranked(self.ranked, ""), _Ranked(self.ranked, " ")
 
     def encode_batch(self, texts: Sequence[str | None]) -> list[bytes]:
-        if len(self.bare) + len(self.spaced) > CACHE_ENTRIES:
-            self.bare.clear()
-            self.spaced.clear()
+        if self.bare.held + self.spaced.held > CACHE_BYTES:
+            for known in (self.bare, self.spaced):
+                known.clear()
+                known.held = 0
         return [self._joined(t) for t in texts]
 
 
 class _Ranked(dict):
-    """Ids of chunks, found when first asked for."""
+    """Ids of chunks, found when first asked for; ``held`` counts the bytes of those kept."""
 
     def __init__(self, ranked, lead: str) -> None:
         super().__init__()
-        self.encode, self.lead = ranked.encode_ordinary, lead
+        self.encode, self.lead, self.held = ranked.encode_ordinary, lead, 0
 
     def __missing__(self, chunk: str) -> bytes:
         ids = self.encode(self.lead + chunk)
-        out = self[chunk] = struct.pack(f"<{len(ids)}I", *ids)
+        out = struct.pack(f"<{len(ids)}I", *ids)
+        if len(chunk) <= CACHE_CHARS:
+            self[chunk] = out
+            self.held += _bytes(chunk, out)
         return out
 
 

@@ -36,7 +36,9 @@ BLOCK_TAGS = frozenset(
     "tfoot th thead title tr ul".split()
 )
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW_TAGS = frozenset("script style noscript template textarea iframe svg math object canvas select head title".split())
+#: What is between these and their end tag is not shown as the page's text. Only the first two go on to the page's end without one.
+RAW_TAGS = frozenset("script style template textarea iframe select head title".split())
+ENDLESS_TAGS = frozenset("script style".split())
 #: A start tag that ends an open element of these kinds, up to the nearest container.
 IMPLIED_END = {t: frozenset(["p"]) for t in BLOCK_TAGS} | {
     "li": frozenset(["p", "li"]), "dd": frozenset(["p", "dt", "dd"]), "dt": frozenset(["p", "dt", "dd"]),
@@ -50,10 +52,13 @@ TAG_WEIGHTS = {
     "nav": -4.0, "footer": -4.0, "aside": -4.0, "form": -4.0, "menu": -4.0, "dialog": -4.0, "button": -4.0, "label": -3.0,
     "header": -4.0, "fieldset": -3.0, "details": -0.5, "address": -3.0, "caption": -0.2,
 }
+#: What a list item speaks for where no box is around it: short ones are no less text than paragraphs, links count against them.
+FREE_ITEM = 0.7
 #: An element of this weight or less is a box of boilerplate; of boxes in each other only the strongest counts.
 BOX = -3.0
 CONTENT_NAME = re.compile(r"^(article|articlebody|post|entry|story|content|main|maincontent|prose|text|body|markdown)$")
-COMMENT_NAME = re.compile(r"^(comments?|commentlist|respond|replies|reply|disqus|discussion|reactions|forum)$")
+COMMENT_NAME = re.compile(r"^(comments?|commentlist|respond|responses|replies|reply|disqus|discussion|reactions|feedback|forum)$")
+COMMENT_BOX = -5.0
 BOX_NAMES = [
     (re.compile(
         r"^(nav|navbar|navigation|menu|menubar|breadcrumbs?|pagination|pager|footer|foot|masthead|banner|sidebar|sidenav|aside|"
@@ -61,7 +66,7 @@ BOX_NAMES = [
     (re.compile(
         r"^(ads?|adverts?|advertisements?|advertising|sponsor(ed|s)?|promo(tion|s)?|teasers?|outbrain|taboola|cookies?|consent|gdpr|"
         r"notices?|alerts?|popup|modal|overlay|newsletter|subscribe|subscription|paywall|disclaimer|copyright|legal)$"), -4.0),
-    (COMMENT_NAME, -5.0),
+    (COMMENT_NAME, COMMENT_BOX),
     (re.compile(r"^(share|sharing|social|related|recommended|recommendations|more|widgets?|tags?|meta|byline|toc|skip|hidden|sr)$"), -3.0),
 ]
 #: A name's role is its last word, these left out; names that begin with a word of the second kind say what a page has or is about.
@@ -70,13 +75,19 @@ _LEADING = frozenset("has with without no is show hide category tag topic term t
 #: Elements that names never make a box, and boxes that never hold a whole page.
 NO_BOX = frozenset("html body main".split())
 SURE_BOX = frozenset("nav footer aside menu dialog button label header".split())
-#: Boxes with over half of a page's text don't count while less than this share of it is outside all boxes.
+#: Boxes with over half of a page's text, but those of comments, don't count while less than this share of it is outside all boxes.
 LEAST_OUTSIDE = 0.1
 _TOKEN = re.compile(
     r"<!--(?:.*?-->|.*\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S
 )
 _ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _NAME = re.compile(r"[a-z]+")
+#: What short lines at a page's foot say; in longer blocks it is a topic.
+LEGAL = re.compile(
+    r"©|\(c\) ?(19|20)\d\d|all rights reserved|tous droits réservés|alle rechte vorbehalten|todos los derechos reservados|"
+    r"\b(privacy|cookie) (policy|settings|notice)\b|\bterms of (use|service)\b"
+)
+LEGAL_WORDS = 25
 
 
 @dataclass
@@ -101,7 +112,7 @@ def _box_name(name: str, tag: str) -> float:
     if tag in NO_BOX or not parts or (len(parts) > 1 and parts[0] in _LEADING):
         return 0.0
     if tag == "article":  # an article in an article's discussion
-        return -5.0 if len(parts) == 1 and COMMENT_NAME.match(parts[0]) else 0.0
+        return COMMENT_BOX if len(parts) == 1 and COMMENT_NAME.match(parts[0]) else 0.0
     while len(parts) > 1 and parts[-1] in _TRAILING:
         parts.pop()
     return min((w for r, w in BOX_NAMES if r.match(parts[-1])), default=0.0)
@@ -145,7 +156,7 @@ def _weigh(blocks: list[Block], judged: list[tuple[str, float, float]]) -> None:
             if e in boxes:
                 within[e] += len(b.text)
     # elements are numbered as they open, so outer ones come first
-    wide = [i for i in sorted(boxes) if judged[i][0] not in SURE_BOX and 2 * within[i] > total]
+    wide = [i for i in sorted(boxes) if judged[i][0] not in SURE_BOX and judged[i][2] > COMMENT_BOX and 2 * within[i] > total]
     for i in wide:
         if sum(len(b.text) for b in blocks if boxes.isdisjoint(b.path)) >= LEAST_OUTSIDE * total:
             break
@@ -159,7 +170,17 @@ def _weigh(blocks: list[Block], judged: list[tuple[str, float, float]]) -> None:
                 if weight > 0:
                     continue
             speaks += weight
-        b.weight = speaks + cost
+        b.weight = speaks + (cost or FREE_ITEM * any(judged[e][0] == "li" for e in b.path))
+
+
+def _end_of(page: str, tag: str, at: int) -> int | None:
+    """Where the element that was opened just before ``at`` ends, elements of its kind within counted; None if it doesn't."""
+    depth = 1
+    for m in re.compile(rf"<(/?){re.escape(tag)}(?=[\s/>])[^>]*>", re.I).finditer(page, at):
+        depth += -1 if m[1] else 0 if m[0].endswith("/>") else 1
+        if not depth:
+            return m.end()
+    return None
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -204,7 +225,7 @@ def blocks_of(page: str) -> list[Block]:
                         at = end.end() if end[0][1] == "/" else end.start()
                 continue
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            at = end.end() if end else size
+            at = end.end() if end else size if tag in ENDLESS_TAGS else at
             if tag in ("title", "textarea", "select"):
                 flush()
             continue
@@ -216,8 +237,7 @@ def blocks_of(page: str) -> list[Block]:
             continue
         if tag not in BLOCK_TAGS and tag not in TAG_WEIGHTS:
             if not closing and m[3] and tag not in VOID_TAGS and _judge(tag, m[3], False)[2]:
-                end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-                at = end.end() if end else at  # an inline element that is not shown
+                at = _end_of(page, tag, at) or at  # an inline element that is not shown
             continue
         flush()
         if closing:
@@ -244,22 +264,24 @@ def blocks_of(page: str) -> list[Block]:
 
 
 #: Weights of ``features`` before training, and how strongly training is drawn to them (against a mean loss).
-START = (-0.7, 1.0, -4.0, 0.5, 0.5)
+START = (-0.7, 1.0, -4.0, 0.5, 0.5, -3.0)
 PULL = 0.05
 #: Weights of surroundings that label a block for training: at most the first is boilerplate, at least the second content.
 SURE = (-4.0, 3.0)
-_BINS = "content int, words int, linked int, ended int, heading int"
+_BINS = "content int, words int, linked int, ended int, heading int, legal int"
 
 
-def binned(b: Block) -> tuple[int, int, int, int]:
-    """What a block's own text is like: words (to 30), eighths in links, ends like a sentence, in a heading."""
+def binned(b: Block) -> tuple[int, int, int, int, int]:
+    """What a block's own text is like: words (to 30), eighths in links, ends like a sentence, in a heading, a short legal line."""
+    words = min(30, b.text.count(" ") + 1)
     return (
-        min(30, b.text.count(" ") + 1), round(8 * b.link_chars / len(b.text)), int(b.text[-1] in ".!?…\"'”’»:;。！？"), int(b.in_heading)
+        words, round(8 * b.link_chars / len(b.text)), int(b.text[-1] in ".!?…\"'”’»:;。！？"), int(b.in_heading),
+        int(words <= LEGAL_WORDS and LEGAL.search(b.text.lower()) is not None),
     )
 
 
-def features(words: int, linked: int, ended: int, heading: int) -> tuple[float, ...]:
-    return (1.0, words / 20, linked / 8, ended, heading)
+def features(words: int, linked: int, ended: int, heading: int, legal: int = 0) -> tuple[float, ...]:
+    return (1.0, words / 20, linked / 8, ended, heading, legal)
 
 
 def fit(counts: Sequence[tuple[int, ...]], start: Sequence[float] = START, pull: float = PULL) -> tuple[float, ...]:
@@ -289,7 +311,7 @@ def fit(counts: Sequence[tuple[int, ...]], start: Sequence[float] = START, pull:
 def learn(df: DataFrame, id_col: str = "page_id", html_col: str = "html", max_train_pages: int = 5_000) -> tuple[float, ...]:
     """Weights from the pages of at most ``max_train_pages`` ids, those of the smallest hashes.
 
-    Only counts of blocks that look alike reach the driver (at most 2,232 rows).
+    Only counts of blocks that look alike reach the driver (at most 4,284 rows).
     Pages with a null id or null html don't train; without sure blocks of both
     kinds the weights stay as they start.
     """
@@ -308,7 +330,7 @@ def learn(df: DataFrame, id_col: str = "page_id", html_col: str = "html", max_tr
         yield S.batch_of([(*k, n) for k, n in seen.items()], arrow)
 
     rows = S.map_rows(pages.join(F.broadcast(chosen), "_id"), {"html": F.col("_html")}, run, schema)
-    counts = rows.groupBy("content", "words", "linked", "ended", "heading").agg(F.sum("n").alias("n"))
+    counts = rows.groupBy("content", "words", "linked", "ended", "heading", "legal").agg(F.sum("n").alias("n"))
     return fit([tuple(r) for r in counts.collect()])
 
 

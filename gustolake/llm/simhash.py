@@ -26,6 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gustolake.llm import _shared as S
 from gustolake.llm._components import components
@@ -173,20 +174,59 @@ def op7_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(S.read_table(spark, sf_dir, "documents"))
 
 
+def _numbered(rows: DataFrame, block: str, number: str, numbers: DataFrame) -> DataFrame:
+    """The rows of a table bucketed by ``block`` whose ``number`` is in ``numbers`` (k_row); the table is not shuffled."""
+    name = S.free_name("block_bits", rows.columns)
+    bits = numbers.select(F.shiftright("k_row", 15).alias(block), F.col("k_row").bitwiseAND(32767).alias("bit")).groupBy(block).agg(
+        F.bitmap_construct_agg("bit").alias(name)
+    )
+    at = F.col(number).bitwiseAND(32767).cast("int")
+    byte = F.conv(F.hex(F.substring(F.col(name), F.shiftright(at, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    is_in = F.call_function("shiftright", byte, at.bitwiseAND(7)).bitwiseAND(1) == 1
+    # a bit per row: each bucket meets its blocks' bitmaps
+    return rows.join(S.staged(bits, "bits").hint("shuffle_hash"), block).where(is_in).select(*map(S.column, rows.columns))
+
+
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 2) -> DataFrame:
     """``df`` with all its columns and one row of each near-duplicate group, that of the smallest id.
 
     Null ids come last. If the smallest id has several texts in a group, the
     text of the smallest hash stays, and of rows with the same id and text the
-    smallest by its columns. A null id or an id repeated with texts of other
-    groups is judged in each of its groups, so no group is lost.
+    smallest by its columns (those that have an order; then any one). A null id
+    or an id repeated with texts of other groups is judged in each of its
+    groups, so no group is lost. Columns of any type pass, maps too; an empty
+    table gives an empty result.
+
+    Texts are written once more and never shuffled: rows are numbered as they
+    are written, in a table bucketed by blocks of their numbers, groups are
+    found on numbers and hashes, and each block meets a bitmap of the rows kept.
     """
-    doc, text = F.col(id_col).cast("long"), F.col(text_col).cast("binary")
+    block, number = S.free_name("row_block", df.columns), S.free_name("row_number", df.columns)
+    numbered = df.withColumn(number, F.monotonically_increasing_id()).withColumn(block, F.shiftright(S.column(number), 15))
+    rows = S.bucketed(numbered, "rows", block)
+    doc, text = S.column(id_col).cast("long"), S.column(text_col).cast("binary")
     # rows alike in these are of one group, as the text decides it; two hashes make 128 bits
     identity = {"k_null": doc.isNull().cast("long"), "k_id": F.coalesce(doc, F.lit(0)), "k_text": F.xxhash64(text), "k_text2": F.xxhash64(F.lit(1), text)}
-    docs = S.staged(fingerprints(df, id_col, text_col, shingle, carried=identity), "fingerprints")
+    docs = S.staged(fingerprints(rows, id_col, text_col, shingle, carried=identity | {"k_row": F.col(number)}), "fingerprints")
     classes = S.staged(docs.groupBy("fp").agg(F.min(F.struct(*identity)).alias("first")), "classes")
-    kept = _rooted(classes, max_bits).groupBy("root").agg(F.min("first").alias("first")).select("first.*")
-    # copies of a row meet map-side before the join, which the aggregate's partitioning serves
-    one = df.groupBy(*[c.alias(n) for n, c in identity.items()]).agg(F.min(F.struct(*map(S.column, df.columns))).alias("_row"))
-    return one.join(kept, [*identity]).select("_row.*")
+    first = _rooted(classes, max_bits).groupBy("root").agg(F.min("first").alias("first")).select("first.*")
+    same = S.staged(
+        docs.groupBy(*identity).agg(F.min("k_row").alias("k_row"), F.count(F.lit(1)).alias("n")).join(first, [*identity]), "kept"
+    )
+    kept = same.where("n = 1").select("k_row")
+    repeated = same.where("n > 1").select(*identity)
+    if not repeated.isEmpty():
+        candidates = _numbered(rows, block, number, docs.join(repeated, [*identity]).select("k_row"))
+        others = [f.name for f in df.schema.fields if f.name != text_col and _has_order(f.dataType)]
+        order = F.struct(*[S.column(c).alias(f"c{i}") for i, c in enumerate(others)], F.col(number).alias("k_row"))
+        chosen = candidates.groupBy(*[c.alias(n) for n, c in identity.items()]).agg(F.min(order).alias("row")).select("row.k_row")
+        kept = kept.union(chosen)
+    return _numbered(rows, block, number, kept).select(*map(S.column, df.columns))
+
+
+def _has_order(t: T.DataType) -> bool:
+    if isinstance(t, T.StructType):
+        return all(_has_order(f.dataType) for f in t.fields)
+    if isinstance(t, T.ArrayType):
+        return _has_order(t.elementType)
+    return not isinstance(t, (T.MapType, T.VariantType))

@@ -111,6 +111,77 @@ def test_broken_pages_do_not_fail(page):
     assert isinstance(extract.main_text(page), str)
 
 
+SENTENCE = "A paragraph with many words of text that goes on for a while, until it ends like a sentence does."
+
+
+@pytest.mark.parametrize("tag", "canvas svg object select iframe title textarea noscript math template video details".split())
+def test_an_element_without_end_tag_takes_no_text_with_it(tag):
+    got = extract.main_text(f"<article><p>{SENTENCE}</p><{tag}><p>{SENTENCE} Again.</p></article>").split("\n\n")
+    assert got == [SENTENCE, f"{SENTENCE} Again."]
+
+
+@pytest.mark.parametrize("tag", ["noscript", "math", "object", "canvas", "svg"])
+def test_fallback_and_formula_text_stays(tag):
+    assert extract.main_text(f"<article><p>So it is <{tag}>x + y</{tag}> in all. {SENTENCE}</p></article>") == f"So it is x + y in all. {SENTENCE}"
+
+
+@pytest.mark.parametrize("tag", ["script", "style", "template", "textarea", "select", "iframe"])
+def test_what_is_not_text_goes(tag):
+    assert extract.main_text(f"<article><p>{SENTENCE}</p><{tag}>var x = 1</{tag}><p>{SENTENCE}</p></article>").split("\n\n") == [SENTENCE] * 2
+
+
+def test_hidden_inline_elements_end_where_they_do():
+    inner = "<span hidden>x<span>y</span>leak</span>"
+    assert extract.main_text(f"<article><p>{inner}{SENTENCE}</p></article>") == SENTENCE
+    assert extract.main_text(f"<article><p><span hidden>{SENTENCE}</p></article>") == SENTENCE  # without an end it hides nothing
+
+
+PARAGRAPHS = [f"{SENTENCE} Number {i}." for i in range(4)]
+
+
+def plain(*blocks):
+    """A page of nothing but div elements."""
+    return "<html><body><div>" + "".join(f"<div>{b}</div>" for b in blocks) + "</div></body></html>"
+
+
+def test_short_list_items_of_an_article_stay_and_menus_go():
+    points = "<ul><li>First point</li><li>Second point</li></ul>"
+    menu = "<ul><li><a href=1>One</a></li><li><a href=2>Two of these</a></li></ul>"
+    page = f"<div>{menu}</div><div><p>{PARAGRAPHS[0]}</p>{points}<p>{PARAGRAPHS[1]}</p></div><div>{menu}</div>"
+    assert extract.main_text(page).split("\n\n") == [PARAGRAPHS[0], "First point", "Second point", PARAGRAPHS[1]]
+
+
+@pytest.mark.parametrize("foot", ["© 2024 Example Press", "Example Press. All rights reserved.", "Privacy policy and terms of use", "Tous droits réservés"])
+def test_an_unnamed_footer_goes(foot):
+    assert extract.main_text(plain(*PARAGRAPHS, foot)).split("\n\n") == PARAGRAPHS
+    assert extract.main_text(f"<body><p>{PARAGRAPHS[0]}</p><p>{PARAGRAPHS[1]}</p><div><p>{foot}</p></div></body>").split("\n\n") == PARAGRAPHS[:2]
+    topic = f"{SENTENCE} It is about the privacy policy of a press, which has all rights reserved for itself and says so."
+    assert extract.main_text(plain(topic)) == topic
+
+
+@pytest.mark.parametrize("name", ["user-feedback", "comments", "reader-responses", "post-comments-list"])
+def test_comments_go_by_any_of_their_names(name):
+    box = f"<div class={name}><p>{SENTENCE} I think so too.</p><p>{SENTENCE} I do not.</p></div>"
+    assert extract.main_text(f"<div><p>{SENTENCE}</p></div>{box}") == SENTENCE
+    assert extract.main_text(f"<html><body>{box}</body></html>") == ""
+
+
+def test_the_cut_decides_where_markup_says_nothing():
+    # a short line between paragraphs is one of them; alone among links it is not, nor is a sentence there
+    line = "Meanwhile, elsewhere"
+    link = "<a href=1>One of the many other pages here</a>"
+    middle, end = plain(PARAGRAPHS[0], line, PARAGRAPHS[1]), plain(*PARAGRAPHS[:2], link, line, link, link)
+    teaser = plain(*PARAGRAPHS, link, "Read this too. ", link, link)
+    want = {middle: [PARAGRAPHS[0], line, PARAGRAPHS[1]], end: PARAGRAPHS[:2], teaser: PARAGRAPHS}
+
+    def texts(page, smoothness):
+        blocks = extract.blocks_of(page)
+        return [b.text for b, keep in zip(blocks, extract.label(blocks, smoothness=smoothness), strict=True) if keep]
+
+    assert all(texts(page, 0.8) == kept for page, kept in want.items())
+    assert texts(middle, 0.0) != want[middle]  # without the edges the block's own cost would decide
+
+
 def test_minimum_cut_equals_all_labellings():
     rng = np.random.default_rng(5)
     for _ in range(60):

@@ -53,6 +53,23 @@ def brute_words(t):
 
 
 # --- byte-pair encoding ---------------------------------------------------------------------
+@pytest.mark.parametrize("by_rank", [False, True])
+def test_texts_without_spaces_are_not_kept(by_rank, monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 200_000)
+    enc = (bpe.RankEncoder if by_rank else bpe.Encoder)(BPE)
+    lib = Tokenizer.from_file(BPE)
+    rng = random.Random(1)
+    largest = 0
+    for n in range(12):
+        batch = ["".join(chr(rng.randint(0x4E00, 0x9FA5)) for _ in range(3_000)) for _ in range(6)]
+        batch += [" ".join("".join(rng.choice("abcdefgh") for _ in range(9)) for _ in range(60)), "x" * 65 + " " + "y" * 64]
+        assert enc.encode_batch(batch) == [np.array(e.ids, "<u4").tobytes() for e in lib.encode_batch(batch, add_special_tokens=False)]
+        kept = [x for known in (enc.bare, enc.spaced, enc.merged) for x in known.items()]
+        assert max(len(c) for c, _ in kept) <= 64
+        largest = max(largest, sum(len(c.encode()) + len(i) for c, i in kept))
+    assert largest <= 200_000 + 70_000  # and what one batch adds
+
+
 def test_round_trip_equals_library(docs, empty):
     lib = Tokenizer.from_file(BPE)
     want = Counter()
@@ -261,6 +278,17 @@ def test_keep_one_keeps_all_columns(docs, empty):
     assert len(kept) == len(set(kept)) and set(kept) == want
 
 
+def test_keep_one_passes_columns_without_an_order_and_shuffles_no_text(spark, docs):
+    rows = docs.withColumns({"row_number": F.lit("x"), "m": F.create_map(F.lit("k"), "text"), "a": F.array(F.create_map(F.lit(1), "text"))})
+    got = simhash.keep_one(rows)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan and plan.count("Exchange") <= 1  # of the bitmaps, unless they are broadcast
+    assert got.columns == rows.columns
+    as_tuples = Counter((r["doc_id"], r["text"], r["m"]["k"]) for r in got.collect())
+    assert as_tuples == Counter((r["doc_id"], r["text"], r["text"]) for r in simhash.keep_one(docs).collect())
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("llm_rows")]
+
+
 def test_keep_one_keeps_a_row_of_every_group(spark, docs):
     a, b, c, d = ("one text of some words", "quite another text than that", "a third one stands alone", "the fourth one too")
     rows = [(3, a, 1), (5, a, 1), (5, b, 1), (None, a, 1), (None, b, 1), (None, c, 2), (None, c, 1), (None, d, 1), (None, None, 1), (None, "", 1), (7, c.upper(), 1)]
