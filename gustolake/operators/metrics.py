@@ -71,12 +71,13 @@ def thresholds(
     clv_q: tuple[float, float] = L.CLV_QUANTILES,
     rfm_q: tuple[float, float] = L.RFM_QUANTILES,
     relative_error: float = 0.01,
+    stage: ranking.Stage = ranking.checkpointed,
 ) -> DataFrame:
     """One row with the CLV tier and RFM score cut-offs.
 
     Exact (default): the value at rank max(1, ceil(p*n)) of each measure,
-    computed distributed (``ranking.exact_quantiles``). ``approx=True``: the
-    bounded-sketch ``percentile_approx`` with the given relative error.
+    computed distributed (``ranking.exact_quantiles``). ``approx=True``: KLL
+    sketches with the given error in rank.
     Monetary is the same per-customer sum as CLV, so one pass serves both.
     """
     specs = [
@@ -87,7 +88,7 @@ def thresholds(
     if approx:
         thr = ranking.approx_quantiles_multi(customers, specs, relative_error)
     else:
-        thr = ranking.exact_quantiles_multi(customers, specs)
+        thr = ranking.exact_quantiles_multi(customers, specs, stage=stage)
     return thr.select(*THRESHOLD_COLUMNS)
 
 
@@ -254,7 +255,7 @@ def location(
     loc = loc.withColumn("orders_per_day", F.try_divide(F.col("total_orders"), F.col("active_days")))
     if stage is not None:
         loc = stage(loc, "location_base")
-    loc = ranking.global_rank(loc, "total_revenue", "revenue_rank", descending=True)
+    loc = ranking.global_rank(loc, "total_revenue", "revenue_rank", descending=True, stage=stage or ranking.checkpointed)
     return loc.withColumns(
         {"performance_tier": L.performance_tier("revenue_rank", top, mid), "snapshot_date": _snapshot(as_of)}
     ).select(

@@ -7,8 +7,8 @@ way at every size:
 1. count rows per distinct value (a shuffle with map-side partial counts, so a
    value shared by a huge share of the rows is one row afterwards);
 2. range-partition the values into as many buckets as ``rows_per_bucket`` asks
-   for, but at least the session's shuffle partitions, and checkpoint them, so
-   that every consumer sees the same buckets;
+   for, at least two, and stage them, so that every consumer sees the same
+   buckets;
 3. a running count inside each bucket (a window partitioned by bucket);
 4. bucket totals -> offsets over one row per bucket, joined back.
 
@@ -19,7 +19,9 @@ affect balance, never the result.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,6 +30,15 @@ from pyspark.sql import types as T
 from gustolake.session import scratch_dir
 
 ROWS_PER_BUCKET = 1_000_000
+#: Materialises a frame: (frame, name) -> the frame read back.
+Stage = Callable[[DataFrame, str], DataFrame]
+
+
+def checkpointed(df: DataFrame, name: str) -> DataFrame:
+    """Reliable checkpoint in the session's checkpoint folder; Spark's cleaner deletes it with the last frame that uses it
+    (``spark.cleaner.referenceTracking.cleanCheckpoints``, a session default here)."""
+    scratch_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
 def _common_type(df: DataFrame, cols: Sequence[str]) -> T.DataType:
@@ -43,20 +54,20 @@ def _common_type(df: DataFrame, cols: Sequence[str]) -> T.DataType:
     raise TypeError(f"cannot rank {cols} together: {types}")
 
 
-def buckets_of(vc: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+def buckets_of(vc: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET, stage: Stage = checkpointed) -> DataFrame:
     """``vc`` (_m, _v, ...) in ranges of about ``rows_per_bucket`` rows, numbered in order as ``_b``.
 
-    The bucket count follows the row count without a ceiling. Both steps are
-    reliable checkpoints in the shared folder."""
-    spark = vc.sparkSession
-    scratch_dir(spark)  # registers the checkpoint folder
-    counted = vc.checkpoint(eager=True)
-    wanted = -(-counted.count() // rows_per_bucket)
-    n = max(wanted, int(spark.conf.get("spark.sql.shuffle.partitions")), 2)
-    return counted.repartitionByRange(n, "_m", "_v").withColumn("_b", F.spark_partition_id()).checkpoint(eager=True)
+    The bucket count follows the row count alone, from two upwards. ``stage``
+    materialises both steps; a caller that gives its own deletes them."""
+    key = uuid.uuid4().hex[:12]
+    counted = stage(vc, f"rank_values_{key}")
+    n = max(-(-counted.count() // rows_per_bucket), 2)
+    return stage(counted.repartitionByRange(n, "_m", "_v").withColumn("_b", F.spark_partition_id()), f"rank_buckets_{key}")
 
 
-def cumulative_counts(df: DataFrame, cols: str | Sequence[str], rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+def cumulative_counts(
+    df: DataFrame, cols: str | Sequence[str], rows_per_bucket: int = ROWS_PER_BUCKET, stage: Stage = checkpointed
+) -> DataFrame:
     """One row per (measure, distinct non-null value): ``_m`` measure index
     (position in ``cols``), ``_v`` value, ``_c`` rows with it, ``_below`` rows
     of that measure strictly smaller, ``_n`` non-null rows of that measure.
@@ -75,7 +86,7 @@ def cumulative_counts(df: DataFrame, cols: str | Sequence[str], rows_per_bucket:
         )
     vc = long.where(F.col("_v").isNotNull()).groupBy("_m", "_v").agg(F.count(F.lit(1)).alias("_c"))
     running = Window.partitionBy("_m", "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    bucketed = buckets_of(vc, rows_per_bucket)
+    bucketed = buckets_of(vc, rows_per_bucket, stage)
     local = bucketed.withColumn("_run", F.sum("_c").over(running))
     # one row per measure and bucket from here on
     totals = bucketed.groupBy("_m", "_b").agg(F.sum("_c").alias("_bc"))
@@ -98,13 +109,14 @@ def exact_quantiles_multi(
     df: DataFrame,
     specs: Sequence[tuple[str, Sequence[float], Sequence[str]]],
     rows_per_bucket: int = ROWS_PER_BUCKET,
+    stage: Stage = checkpointed,
 ) -> DataFrame:
     """One row holding, for every (column, probabilities, names) spec, the
     value at rank max(1, ceil(p*n)) of that column's sorted non-null values
     (null when there are none), in the column's own type. All columns share
     one pass."""
     cols = [c for c, _, _ in specs]
-    cc = cumulative_counts(df, cols, rows_per_bucket)
+    cc = cumulative_counts(df, cols, rows_per_bucket, stage)
     aggs = []
     for i, (c, probs, names) in enumerate(specs):
         for p, name in zip(probs, names, strict=True):
@@ -122,14 +134,47 @@ def exact_quantiles(
     return exact_quantiles_multi(df, [(col, probs, names)], rows_per_bucket)
 
 
+# The normalised rank error of a KLL sketch is 2.296 / k^0.9021 with 99 % confidence, k from 8 to 65535.
+KLL_FACTOR, KLL_POWER, KLL_SIZES = 2.296, 0.9021, (8, 65_535)
+
+
+def sketch_size(relative_error: float) -> int:
+    """The k of a KLL sketch whose ranks are off by at most ``relative_error`` of the rows (99 %)."""
+    return min(KLL_SIZES[1], max(KLL_SIZES[0], math.ceil((KLL_FACTOR / relative_error) ** (1 / KLL_POWER))))
+
+
+def sketches(df: DataFrame, cols: Sequence[str], relative_error: float = 0.01, by: Sequence[str] = ()) -> DataFrame:
+    """A KLL sketch per column (same names, binary), one row per value of ``by``: a table of, say, days to be merged later.
+
+    A sketch has a few kB whatever the rows; nulls are not in it. Numbers are sketched as doubles."""
+    k = sketch_size(relative_error)
+    return df.groupBy(*by).agg(*[F.kll_sketch_agg_double(F.col(c).cast("double"), k).alias(c) for c in cols])
+
+
+def merged_sketches(parts: DataFrame, cols: Sequence[str], relative_error: float = 0.01, by: Sequence[str] = ()) -> DataFrame:
+    """Sketches of the union: rows of ``sketches`` merged, all of them or per value of ``by``; the error stays the same."""
+    return parts.groupBy(*by).agg(*[F.kll_merge_agg_double(c, sketch_size(relative_error)).alias(c) for c in cols])
+
+
+def sketched_quantiles(
+    sketch: DataFrame, specs: Sequence[tuple[str, Sequence[float], Sequence[str]]], types: dict[str, T.DataType]
+) -> DataFrame:
+    """One row of quantiles for every spec from one row of sketches; null where a sketch has no values."""
+    return sketch.select(*[
+        F.when(F.kll_sketch_get_n_double(c) > 0, F.kll_sketch_get_quantile_double(c, F.lit(float(p)))).cast(types[c]).alias(name)
+        for c, probs, names in specs for p, name in zip(probs, names, strict=True)
+    ])
+
+
 def approx_quantiles_multi(
     df: DataFrame, specs: Sequence[tuple[str, Sequence[float], Sequence[str]]], relative_error: float = 0.01
 ) -> DataFrame:
-    """One row of approximate quantiles for every spec, in one aggregate (a
-    bounded sketch per column and partition, merged)."""
-    acc = max(1, int(round(1.0 / relative_error)))
-    q = df.agg(*[F.percentile_approx(c, list(p), acc).alias(f"_q{i}") for i, (c, p, _) in enumerate(specs)])
-    return q.select(*[F.col(f"_q{i}")[j].alias(n) for i, (_, _, names) in enumerate(specs) for j, n in enumerate(names)])
+    """One row of approximate quantiles for every spec, in one aggregate: a KLL sketch per column and partition, merged.
+
+    A quantile's rank is off by at most ``relative_error`` of the rows with 99 % confidence, however the rows are
+    partitioned; which of the values within that bound comes back may differ."""
+    cols = [c for c, _, _ in specs]
+    return sketched_quantiles(sketches(df, cols, relative_error), specs, {c: df.schema[c].dataType for c in cols})
 
 
 def approx_quantiles(
@@ -139,7 +184,8 @@ def approx_quantiles(
 
 
 def global_rank(
-    df: DataFrame, col: str, name: str, descending: bool = True, rows_per_bucket: int = ROWS_PER_BUCKET
+    df: DataFrame, col: str, name: str, descending: bool = True, rows_per_bucket: int = ROWS_PER_BUCKET,
+    stage: Stage = checkpointed,
 ) -> DataFrame:
     """``df`` plus ``rank()`` over the whole frame ordered by ``col``.
 
@@ -147,7 +193,7 @@ def global_rank(
     ascending puts them first (Spark's defaults for ``rank()``). The ranks are
     computed per distinct value and joined back on the value (null-safe).
     """
-    cc = cumulative_counts(df, col, rows_per_bucket)
+    cc = cumulative_counts(df, col, rows_per_bucket, stage)
     null_v = F.lit(None).cast(df.schema[col].dataType).alias("_v")
     if descending:
         ranks = cc.select(F.col("_v"), (F.col("_n") - F.col("_below") - F.col("_c") + 1).alias("_rank"))

@@ -21,7 +21,7 @@ from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gustolake.operators import base, metrics
+from gustolake.operators import base, metrics, ranking
 from gustolake.plans import jobs
 from gustolake.session import scratch_dir
 from gustolake.sources import contracts as C
@@ -36,10 +36,7 @@ def no_stage(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-def checkpoint_stage(df: DataFrame, name: str) -> DataFrame:
-    """Reliable checkpoint into the session's checkpoint folder."""
-    scratch_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+checkpoint_stage = ranking.checkpointed
 
 
 def path_stage(spark: SparkSession, root: str) -> Stage:
@@ -89,7 +86,8 @@ class GoldTables(Mapping[str, DataFrame]):
     @property
     def profile(self) -> DataFrame:
         def make() -> DataFrame:
-            thr = metrics.thresholds(self.customers, approx=self.approx)
+            materialise = checkpoint_stage if self.stage is no_stage else self.stage
+            thr = metrics.thresholds(self.customers, approx=self.approx, stage=materialise)
             if self.stage is not no_stage:
                 # eight scalars: fetch once and apply as literals, like the
                 # published job's approxQuantile, instead of re-running the

@@ -16,6 +16,8 @@ SESSION_DEFAULTS: dict[str, str] = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.compression.codec": "snappy",
     "spark.ui.enabled": "false",
+    # a checkpoint's files go with the last frame that uses them (read when the context starts)
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
