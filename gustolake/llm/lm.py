@@ -1,27 +1,32 @@
 """Language-model scoring with a probabilistic suffix tree over words.
 
-States are contexts of up to ``max_depth`` previous words. A context is
-retained if its next-word distribution diverges from that of its suffix: the
-leave-one-out log likelihood of the training words after it, under the smoothed
-distribution, must exceed their likelihood under the suffix state. Next-word
-probabilities are smoothed with the suffix state's, and a word is scored in the
-longest retained suffix of what precedes it.
+States are contexts of any number of previous words. A context is retained if
+its next-word distribution diverges from that of its suffix: the leave-one-out
+log likelihood of the training words after it, under the smoothed distribution,
+must exceed their likelihood under the suffix state. Next-word probabilities are
+smoothed with the suffix state's, and a word is scored in the longest retained
+suffix of what precedes it. A longer context is tested if it was seen twice, its
+suffix was retained and the words before its last were tested as a context; the
+tree ends where no context is left to test.
 
 The model grows with the corpus, so it is never sent anywhere whole. Documents
 are tokenized once into blocks of about ``block_tokens`` tokens. Level by level,
-each block sends its distinct (context, word) pairs with their counts, packed
-by the hash of the context, to the task that sums that part of the model; the
-task sends back the totals and verdicts for just these pairs. Contexts seen so
-often that one task should not hold them are split by the next word; each part
-gives its share of the gain, and the shares are added up for the same verdict as
-elsewhere. Blocks lie in a table bucketed by block, so a round only moves pairs and answers, never texts.
+each block sends its distinct (context, word) pairs with their counts to the
+tasks that sum that part of the model; a task sends back the totals, verdicts
+and numbers of just these pairs. Words and pairs are known by numbers that the
+tasks give out, so nothing rests on hashes; a pair's number names the longer
+context on the next level. Contexts seen so often that one task should not hold
+them are split by the next word; the parts' shares of the gain are added up in
+a table, and each block gets the verdicts on the contexts it asked about.
+
+Blocks lie in a table bucketed by block, so a round moves pairs and answers and
+never texts. After two levels few positions are open; these are written as a
+smaller table of the same kind, on which all deeper rounds work.
 """
 
 from __future__ import annotations
 
-import math
 import struct
-import uuid
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -38,15 +43,19 @@ from gustolake.llm import _shared as S
 BLOCKS = ("block long, n_tokens long, n_train long, doc_ids array<long>, held array<boolean>, lengths array<int>, "
           "tokens binary, words binary")
 REQUESTS = "bucket long, block long, payload binary"
-ANSWERS = "block long, level int, bucket long, distinct long, payload binary"
+ANSWERS = "block long, level int, bucket long, distinct long, split array<long>, gains array<long>, payload binary"
+OPEN = ("block long, n_open long, doc_ids array<long>, held array<boolean>, lengths array<int>, known array<long>, "
+        "base array<double>, score array<double>, payload binary")
 SCORES = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
-#: Block number of the rows that carry shares of the gain.
-SHARES = -1
-_MIX = np.uint64(0x9E3779B97F4A7C15)
-_START = np.uint64(0x1234567890ABCDEF)
-#: log10 probabilities travel for the divergence test in steps of 1/_STEPS.
-_STEPS = 25
+#: Block number of the rows that carry shares of the gain, and bucket number of those with verdicts on split contexts.
+SHARES, VERDICTS = -1, -1
+#: The number of the context at a document's start; words and pairs have smaller ones.
+START = 1 << 62
+#: log10 probabilities travel for the divergence test in steps of 1/_STEPS, down to 10^-65; shares of the gain in steps of 1/_UNITS.
+_STEPS, _UNITS = 1000, 1 << 20
+#: Levels that work on whole blocks; deeper ones on the positions still open.
+WIDE_LEVELS = 2
 
 
 def _pack(*parts: bytes) -> bytes:
@@ -62,18 +71,23 @@ def _unpack(data: bytes) -> list[bytes]:
     return out
 
 
-def _squeeze(a: np.ndarray | bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(a if isinstance(a, bytes) else a.tobytes())
+def _squeeze(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(data)
 
 
-def _expand(data: bytes, dtype: str | None = None):
-    raw = zstandard.ZstdDecompressor().decompress(data)
-    return raw if dtype is None else np.frombuffer(raw, dtype)
+def _expand(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
 
 
-def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    h = (a ^ (b * _MIX)) * _MIX
-    return h ^ (h >> np.uint64(29))
+def _planes(a: np.ndarray, width: int = 8, rising: bool = False) -> bytes:
+    """Whole numbers as bytes of equal weight together (of their steps, if they rise), which compress well."""
+    a = np.diff(a, prepend=0) if rising else a
+    return a.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T.tobytes()
+
+
+def _numbers(data: bytes, width: int = 8, rising: bool = False) -> np.ndarray:
+    a = np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).view(f"<u{width}").ravel().astype(np.int64)
+    return np.cumsum(a) if rising else a
 
 
 def _mass(n: np.ndarray) -> np.ndarray:
@@ -81,6 +95,30 @@ def _mass(n: np.ndarray) -> np.ndarray:
     return np.maximum(n, 1.0) ** 0.75
 
 
+def _heads(a: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin."""
+    return np.concatenate(([0], np.flatnonzero(a[1:] != a[:-1]) + 1)) if len(a) else np.zeros(0, np.int64)
+
+
+def _groups(bucket: np.ndarray, order: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    b = bucket[order]
+    first = _heads(b)
+    for i, j in zip(first.tolist(), [*first[1:].tolist(), len(b)][: len(first)], strict=True):
+        yield int(b[i]), order[i:j]
+
+
+def _grouped(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values in order, and which of them each row has."""
+    order = np.argsort(key)
+    in_order = key[order]
+    first = _heads(in_order)
+    flag = np.zeros(len(key), np.int64)
+    flag[first[1:]] = 1
+    which = np.empty(len(key), np.int64)
+    which[order] = np.cumsum(flag)
+    return in_order[first], which
+
+
 def build_blocks(df: DataFrame, id_col: str, text_col: str, block_tokens: int) -> DataFrame:
     """Blocks of whole documents; token 0 is the end of a document, others number the block's words."""
     schema = S.arrow_schema(BLOCKS)
@@ -95,7 +133,7 @@ def build_blocks(df: DataFrame, id_col: str, text_col: str, block_tokens: int) -
             flat = np.concatenate(tokens)
             row = (
                 part << 32 | made, len(flat), sum(n for _, h, n in docs if not h), [d[0] for d in docs], [d[1] for d in docs],
-                [d[2] for d in docs], _squeeze(flat.astype("<u4")), _squeeze(b"\n".join(ids)),
+                [d[2] for d in docs], _squeeze(flat.astype("<u4").tobytes()), _squeeze(b"\n".join(ids)),
             )
             return S.batch_of([row], schema)
 
@@ -119,160 +157,227 @@ def build_blocks(df: DataFrame, id_col: str, text_col: str, block_tokens: int) -
     return S.map_rows(df, rows, run, BLOCKS)
 
 
+class Frontier:
+    """The open positions of a block on one level, and the distinct (context, word) pairs at them.
+
+    Pairs are in order of their contexts' numbers. ``p`` is the probability of a
+    pair's word in the suffix state.
+    """
+
+    def __init__(self, pos, pair, ctx, word, p, ctx_id, ctx_n) -> None:  # noqa: ANN001  arrays; by position: pos, pair; by pair: ctx, word, p
+        self.pos, self.pair, self.ctx, self.word, self.p, self.ctx_id, self.ctx_n = pos, pair, ctx, word, p, ctx_id, ctx_n
+
+    @classmethod
+    def made(cls, pos, ctx, ctx_id, ctx_n, kind, word, p) -> Frontier:  # noqa: ANN001
+        """From each position's context and kind; a kind of pair has a word and a probability."""
+        used, which = _grouped(ctx)  # contexts that occur, in order of their numbers
+        used = used[by := np.argsort(ctx_id[used])]
+        rank = np.empty(len(by), np.int64)
+        rank[by] = np.arange(len(by))
+        keys, pair = _grouped(rank[which] * len(word) + kind)
+        kinds = keys % max(len(word), 1)
+        return cls(pos, pair, keys // max(len(word), 1), word[kinds], p[kinds], ctx_id[used], ctx_n[used])
+
+    def _order(self, model: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Bucket of each pair, the order that groups buckets (contexts stay together), whether a context is split."""
+        parts = self.ctx_n // model["split_rows"] + 1
+        home = self.ctx_id % model["buckets"]
+        bucket = (home[self.ctx] + self.word % parts[self.ctx]) % model["buckets"]
+        return bucket, np.argsort(bucket, kind="stable"), parts > 1
+
+    def requests(self, train: np.ndarray, model: dict) -> Iterator[tuple[int, bytes]]:
+        bucket, order, split = self._order(model)
+        counts = np.bincount(self.pair, train[self.pos], len(self.ctx))
+        q = np.minimum(np.rint(-np.log10(self.p) * _STEPS), 0xFFFF)
+        for k, rows in _groups(bucket, order):
+            ctx = self.ctx[rows]
+            first = _heads(ctx)
+            own = ctx[first]
+            yield k, _squeeze(_pack(
+                _planes(self.ctx_id[own], rising=True), _planes(np.diff(np.append(first, len(rows))), 4),
+                _planes(np.where(split[own], self.ctx_n[own], 0)), _planes(self.word[rows]), _planes(q[rows], 2), _planes(counts[rows], 4),
+            ))
+
+    def answered(self, got: dict[int, bytes], split_kept: np.ndarray, model: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """By pair: total, its number (where seen twice), and whether the context was retained; takes up the probabilities."""
+        bucket, order, split = self._order(model)
+        total, number, kept = np.zeros(len(self.ctx), np.int64), np.zeros(len(self.ctx), np.int64), np.zeros(len(self.ctx), bool)
+        for k, rows in _groups(bucket, order):
+            keep, counts, at = _unpack(_expand(got[k]))
+            first = _heads(self.ctx[rows])
+            flags = np.unpackbits(np.frombuffer(keep, np.uint8), count=len(first)).astype(bool)
+            kept[rows] = np.repeat(flags, np.diff(np.append(first, len(rows))))
+            total[rows], number[rows] = _numbers(counts), _numbers(at) * model["buckets"] + k
+        if split.any():
+            verdict = np.isin(self.ctx_id, split_kept)
+            kept = np.where(split[self.ctx], verdict[self.ctx], kept)
+        n = self.ctx_n[self.ctx].astype(float)
+        mass = _mass(n)
+        self.p = np.where(kept, (total + mass * self.p) / (n + mass), self.p)
+        return total, number, kept
+
+    def deeper(self, total: np.ndarray, number: np.ndarray, kept: np.ndarray, starts: np.ndarray) -> tuple[Frontier, np.ndarray]:
+        """The frontier of contexts longer by a word, and which of this one's positions it has.
+
+        Such a context is tested if its suffix was retained, the words before its last were tested and it was seen twice.
+        """
+        on = kept[self.pair]
+        on[:1] = False
+        on[1:] &= (self.pos[1:] == self.pos[:-1] + 1) & (total[self.pair[:-1]] >= 2)
+        at = np.flatnonzero(on)
+        at = at[~np.isin(self.pos[at], starts)]
+        out = Frontier.made(self.pos[at], self.pair[at - 1], number, total, self.pair[at], self.word, self.p)
+        goes_on = np.zeros(len(self.pos), bool)
+        goes_on[at] = True
+        return out, goes_on
+
+    def packed(self) -> bytes:
+        return _squeeze(_pack(
+            _planes(self.pos, rising=True), _planes(self.pair, 4), _planes(self.ctx, 4, rising=True), _planes(self.word),
+            self.p.astype("<f8").tobytes(), _planes(self.ctx_id, rising=True), _planes(self.ctx_n),
+        ))
+
+    @classmethod
+    def unpacked(cls, data: bytes) -> Frontier:
+        pos, pair, ctx, word, p, ctx_id, ctx_n = _unpack(_expand(data))
+        return cls(
+            _numbers(pos, rising=True), _numbers(pair, 4), _numbers(ctx, 4, rising=True), _numbers(word), np.frombuffer(p, "<f8"),
+            _numbers(ctx_id, rising=True), _numbers(ctx_n),
+        )
+
+
+class Answers:
+    """What was answered to a block, by level."""
+
+    def __init__(self, rows: pa.Table | None = None) -> None:
+        self.by_level: dict[int, dict[int, bytes]] = {}
+        self.kept: dict[int, np.ndarray] = {}
+        for level, bucket, split, payload in zip(*[rows[c].to_pylist() for c in ("level", "bucket", "split", "payload")], strict=True) if rows else ():
+            if bucket == VERDICTS:
+                self.kept[level] = np.array(split, np.int64)
+            else:
+                self.by_level.setdefault(level, {})[bucket] = payload
+
+    def to(self, frontier: Frontier, level: int, model: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return frontier.answered(self.by_level.get(level, {}), self.kept.get(level, np.zeros(0, np.int64)), model)
+
+
 class Block:
-    """A block's tokens with what the answers say about them, level by level."""
+    """A block's tokens."""
 
-    def __init__(self, row: dict, answers: dict[int, dict[int, bytes]], model: dict) -> None:
-        self.doc_ids, self.held_docs, lengths = row["doc_ids"], row["held"], row["lengths"]
-        self.ids = _expand(row["tokens"], "<u4").astype(np.int64)
+    def __init__(self, row: dict, model: dict) -> None:
+        self.row, self.model = row, model
+        self.ids = np.frombuffer(_expand(row["tokens"]), "<u4").astype(np.int64)
         words = _expand(row["words"])
-        self.words = words.split(b"\n") if words else []
-        self.starts = np.concatenate(([0], np.cumsum(lengths)[:-1])).astype(np.int64)
-        self.first = np.zeros(len(self.ids), bool)
-        self.first[self.starts] = True
-        self.train = ~np.repeat(np.array(self.held_docs, bool), lengths)
-        self.answers, self.model = answers, model
-
-    def hashes(self) -> np.ndarray:
-        n = len(self.words)
-        return np.concatenate(([np.uint64(1)], np.fromiter(map(xxhash.xxh64_intdigest, self.words, repeat(5)), np.uint64, n)))
-
-    # --- level 0: counts of words
-    def word_buckets(self, hashes: np.ndarray) -> np.ndarray:
+        self.words = [b"", *(words.split(b"\n") if words else [])]  # the end of a document is the empty word
+        self.starts = np.concatenate(([0], np.cumsum(row["lengths"])[:-1])).astype(np.int64)
+        self.train = ~np.repeat(np.array(row["held"], bool), row["lengths"])
+
+    def _word_buckets(self) -> np.ndarray:
+        hashes = np.fromiter(map(xxhash.xxh64_intdigest, self.words, repeat(5)), np.uint64, len(self.words))
         return (hashes % np.uint64(self.model["buckets"])).astype(np.int64)
 
     def word_requests(self) -> Iterator[tuple[int, bytes]]:
-        counts = np.bincount(self.ids, self.train, len(self.words) + 1).astype("<u4")
-        bucket = self.word_buckets(self.hashes())
-        for k in np.unique(bucket).tolist():
-            at = np.flatnonzero(bucket == k)
-            # the end of a document is the empty word
-            yield k, _pack(_squeeze(b"\n".join([self.words[i - 1] if i else b"" for i in at.tolist()])), _squeeze(counts[at]))
-
-    def word_counts(self, hashes: np.ndarray) -> np.ndarray:
-        bucket = self.word_buckets(hashes)
-        out = np.zeros(len(hashes), np.int64)
-        for k, payload in self.answers[0].items():
-            out[bucket == k] = _expand(payload, "<u8")
+        counts = np.bincount(self.ids, self.train, len(self.words))
+        bucket = self._word_buckets()
+        for k, rows in _groups(bucket, np.argsort(bucket, kind="stable")):
+            yield k, _squeeze(_pack(b"\n".join([self.words[i] for i in rows.tolist()]), _planes(counts[rows], 4)))
+
+    def first(self, answers: Answers) -> Frontier:
+        """The frontier of contexts of one word; sets ``known`` and ``base`` of every position."""
+        bucket = self._word_buckets()
+        count, number = np.zeros(len(self.words), np.int64), np.zeros(len(self.words), np.int64)
+        for k, rows in _groups(bucket, np.argsort(bucket, kind="stable")):
+            counts, at = _unpack(_expand(answers.by_level[0][k]))
+            count[rows], number[rows] = _numbers(counts), _numbers(at) * self.model["buckets"] + k
+        p = (count + 0.5) / (self.model["train_tokens"] + 0.5 * (self.model["distinct"] + 1))
+        self.known, self.base = count[self.ids] > 0, np.log10(p)[self.ids]
+        before = np.concatenate(([0], self.ids[:-1]))
+        before[self.starts] = len(self.words)
+        ctx_n = np.append(count, count[0])  # as many documents begin as end
+        pos = np.flatnonzero(ctx_n[before] >= 2)
+        return Frontier.made(pos, before[pos], np.append(number, START), ctx_n, self.ids[pos], number, p)
+
+    def at_level(self, level: int, answers: Answers) -> Frontier:
+        """The frontier of a level, all above answered; ``logp`` holds every position's probability so far."""
+        out = self.first(answers)
+        self.logp = self.base.copy()
+        for above in range(1, level):
+            verdict = answers.to(out, above, self.model)
+            self.logp[out.pos] = np.log10(out.p)[out.pair]
+            out, _ = out.deeper(*verdict, self.starts)
         return out
 
-    # --- levels 1 to max_depth: (context, word) pairs
-    def levels(self, upto: int) -> Iterator[tuple]:
-        """Per level: the distinct pairs and, where answered, their totals.
+    def open_row(self, answers: Answers) -> tuple:
+        """What is left after the wide levels: scores of the positions that are done, by document, and the frontier."""
+        left = self.at_level(WIDE_LEVELS + 1, answers)
+        done = self.logp.copy()
+        done[left.pos] = 0.0
 
-        Yields (level, positions, pair of each position, context hash, n, word hash, log10 p of the suffix, train counts)
-        and takes up the answers of that level before going on; ``self.p`` holds each position's probability so far.
-        """
-        h = self.hashes()
-        c = self.word_counts(h)
-        n_all, distinct = self.model["train_tokens"], self.model["distinct"]
-        self.known = c[self.ids] > 0
-        self.p = (c[self.ids] + 0.5) / (n_all + 0.5 * (distinct + 1))
-        self.base = np.log10(self.p)
-        # the context of a position is the pair that ended at the position before; at level 1, the word
-        before_hash = np.concatenate((h, [_START]))
-        before_n = np.concatenate((c, [c[0]]))
-        context = np.concatenate(([0], self.ids[:-1]))
-        context[self.starts] = len(h)
-        open_ = before_n[context] >= 2
-        for level in range(1, upto + 1):
-            at = np.flatnonzero(open_)
-            ctx, word = context[at], self.ids[at]
-            key, where, pair = np.unique(ctx * (len(self.words) + 1) + word, return_index=True, return_inverse=True)
-            pair_ctx = key // (len(self.words) + 1)
-            ctx_hash, n, word_hash = before_hash[pair_ctx], before_n[pair_ctx], h[key % (len(self.words) + 1)]
-            counts = np.bincount(pair, self.train[at], len(key)).astype("<u4")
-            yield level, ctx_hash, n, word_hash, np.log10(self.p[at[where]]) if len(at) else np.zeros(0), counts, pair_ctx
-            if level not in self.answers and level == upto:
-                return
-            total, kept = self._answered(level, ctx_hash, n, word_hash, pair_ctx)
-            on = kept[pair]
-            at_on, c_on, n_on = at[on], total[pair][on], n[pair][on].astype(float)
-            mass = _mass(n_on)
-            self.p[at_on] = (c_on + mass * self.p[at_on]) / (n_on + mass)
-            # next level: contexts longer by a word, where this one was retained and the pair was seen again
-            before_hash, before_n = _mixed(ctx_hash, word_hash), total
-            nxt = np.full(len(self.ids), -1, np.int64)
-            nxt[at] = pair
-            context = np.concatenate(([-1], nxt[:-1]))
-            context[self.starts] = -1
-            retained = np.zeros(len(self.ids), bool)
-            retained[at_on] = True
-            open_ = retained & (context >= 0)
-            open_[open_] = before_n[context[open_]] >= 2
-
-    def _order(self, ctx_hash: np.ndarray, n: np.ndarray, word_hash: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Bucket of each pair, the order that groups buckets (contexts stay together), whether contexts are split."""
-        parts = (n // self.model["split_rows"] + 1).astype(np.uint64)
-        bucket = ((ctx_hash >> np.uint64(7)) + (word_hash >> np.uint64(11)) % parts) % np.uint64(self.model["buckets"])
-        return bucket.astype(np.int64), np.argsort(bucket, kind="stable"), parts > 1
-
-    def pair_requests(self, level: int) -> Iterator[tuple[int, bytes]]:
-        for lv, ctx_hash, n, word_hash, logp, counts, pair_ctx in self.levels(level):
-            if lv == level:
-                bucket, order, split = self._order(ctx_hash, n, word_hash)
-                q = np.clip(np.rint(-logp * _STEPS), 0, 255).astype(np.uint8)
-                for k, rows in _groups(bucket, order):
-                    first = _heads(pair_ctx[rows])
-                    runs = np.diff(np.append(first, len(rows))).astype("<u4")
-                    yield k, _pack(
-                        ctx_hash[rows[first]].astype("<u8").tobytes(), _squeeze(runs), _squeeze(np.where(split[rows[first]], n[rows[first]], 0).astype("<u8")),
-                        word_hash[rows].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes(), _squeeze(q[rows]), _squeeze(counts[rows]),
-                    )
-
-    def _answered(self, level: int, ctx_hash: np.ndarray, n: np.ndarray, word_hash: np.ndarray, pair_ctx: np.ndarray):
-        bucket, order, split = self._order(ctx_hash, n, word_hash)
-        total, kept = np.zeros(len(n), np.int64), np.zeros(len(n), bool)
-        got = self.answers.get(level, {})
-        for k, rows in _groups(bucket, order):
-            keep, counts = _unpack(got[k])
-            first = _heads(pair_ctx[rows])
-            flags = np.unpackbits(np.frombuffer(keep, np.uint8), count=len(first)).astype(bool)
-            kept[rows] = np.repeat(flags, np.diff(np.append(first, len(rows))))
-            total[rows] = _expand(counts, "<u4")
-        kept[split] = np.isin(ctx_hash[split], self.model["split_kept"].get(level, ctx_hash[:0]))
-        return total, kept
-
-    def scores(self, max_depth: int) -> list[tuple]:
-        for _ in self.levels(max_depth):
-            pass
-        ends = np.add.reduceat
-        n = np.diff(np.append(self.starts, len(self.ids)))
-        known, base, score = ends(self.known.astype(np.int64), self.starts), ends(self.base, self.starts), ends(np.log10(self.p), self.starts)
-        return [
-            (d, h, int(a), int(k), self.model["train_tokens"], float(b), float(s))
-            for d, h, a, k, b, s in zip(self.doc_ids, self.held_docs, n, known, base, score, strict=True)
-        ]
+        def by_doc(a: np.ndarray) -> list:
+            return np.add.reduceat(a, self.starts).tolist()
 
+        r = self.row
+        return (r["block"], len(left.pos), r["doc_ids"], r["held"], r["lengths"], by_doc(self.known.astype(np.int64)), by_doc(self.base), by_doc(done), left.packed())
 
-def _heads(a: np.ndarray) -> np.ndarray:
-    """Where runs of equal values begin."""
-    return np.concatenate(([0], np.flatnonzero(a[1:] != a[:-1]) + 1)) if len(a) else np.zeros(0, np.int64)
 
+class OpenBlock:
+    """The open positions of a block after the wide levels."""
 
-def _groups(bucket: np.ndarray, order: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    b = bucket[order]
-    first = _heads(b)
-    for i, j in zip(first.tolist(), [*first[1:].tolist(), len(b)][: len(first)], strict=True):
-        yield int(b[i]), order[i:j]
+    def __init__(self, row: dict, model: dict) -> None:
+        self.row, self.model = row, model
+        self.frontier = Frontier.unpacked(row["payload"])
+        self.ends = np.cumsum(row["lengths"])
+        self.doc = np.searchsorted(self.ends, self.frontier.pos, "right")
+        self.score = np.array(row["score"], float)
+
+    def _closed(self, f: Frontier, which: np.ndarray) -> None:
+        doc = np.searchsorted(self.ends, f.pos[which], "right")
+        self.score += np.bincount(doc, np.log10(f.p)[f.pair[which]], len(self.score))
+
+    def at_level(self, level: int, answers: Answers) -> Frontier:
+        """The frontier of a level; positions that are done above it go into ``score``."""
+        out, nowhere = self.frontier, np.zeros(0, np.int64)
+        for above in range(WIDE_LEVELS + 1, level):
+            further, goes_on = out.deeper(*answers.to(out, above, self.model), nowhere)
+            self._closed(out, ~goes_on)
+            out = further
+        return out
+
+    def requests(self, level: int, answers: Answers) -> Iterator[tuple[int, bytes]]:
+        held = np.array(self.row["held"], bool)
+        train = np.zeros(int(self.frontier.pos[-1]) + 1 if len(self.frontier.pos) else 0, bool)
+        train[self.frontier.pos] = ~held[self.doc]
+        yield from self.at_level(level, answers).requests(train, self.model)
+
+    def scores(self, levels: int, answers: Answers) -> list[tuple]:
+        left = self.at_level(levels + 1, answers)
+        self._closed(left, np.ones(len(left.pos), bool))
+        r = self.row
+        return [
+            (d, h, n, k, self.model["train_tokens"], b, s)
+            for d, h, n, k, b, s in zip(r["doc_ids"], r["held"], r["lengths"], r["known"], r["base"], self.score.tolist(), strict=True)
+        ]
 
 
 def _sum_words(schema: pa.Schema):
-    """Totals of one bucket's words, for each block that asked."""
+    """Totals and numbers (frequent words have small ones) of one bucket's words, for each block that asked."""
 
     def run(table: pa.Table) -> pa.Table:
         bucket = table["bucket"][0].as_py()
         total: dict[bytes, int] = {}
         asked = []
         for block, payload in zip(table["block"].to_pylist(), table["payload"].to_pylist(), strict=True):
-            names, counts = _unpack(payload)
-            words = _expand(names).split(b"\n")
+            names, counts = _unpack(_expand(payload))
+            words = names.split(b"\n")
             asked.append((block, words))
-            for w, c in zip(words, _expand(counts, "<u4").tolist(), strict=True):
+            for w, c in zip(words, _numbers(counts, 4).tolist(), strict=True):
                 total[w] = total.get(w, 0) + c
+        number = {w: i for i, w in enumerate(sorted(total, key=lambda w: (-total[w], w)))}
         distinct = sum(c > 0 for c in total.values())
         rows = [
-            (block, 0, bucket, distinct if i == 0 else 0, _squeeze(np.array([total[w] for w in words], "<u8")))
+            (block, 0, bucket, distinct if i == 0 else 0, None, None,
+             _squeeze(_pack(_planes(np.array([total[w] for w in words], np.int64)), _planes(np.array([number[w] for w in words], np.int64)))))
             for i, (block, words) in enumerate(asked)
         ]
         return pa.Table.from_batches([S.batch_of(rows, schema)])
@@ -281,9 +386,9 @@ def _sum_words(schema: pa.Schema):
 
 
 def _sum_pairs(schema: pa.Schema, level: int, min_gain: float):
-    """Totals of one bucket's pairs and the verdicts on its contexts, for each block that asked.
+    """Totals and numbers of one bucket's pairs and the verdicts on its contexts, for each block that asked.
 
-    A row of block ``SHARES`` has the shares of split contexts in the gain, which a verdict needs from all buckets.
+    Rows name the split contexts they asked about; a row of block ``SHARES`` has these contexts' shares of the gain.
     """
 
     def run(table: pa.Table) -> pa.Table:
@@ -291,126 +396,133 @@ def _sum_pairs(schema: pa.Schema, level: int, min_gain: float):
         blocks = table["block"].to_pylist()
         ctxs, runs, splits, words, qs, counts = [], [], [], [], [], []
         for payload in table["payload"].to_pylist():
-            a, b, c, d, e, f = _unpack(payload)
-            ctxs.append(np.frombuffer(a, "<u8"))
-            runs.append(_expand(b, "<u4").astype(np.int64))
-            splits.append(_expand(c, "<u8"))
-            wide = np.zeros((len(d) // 5, 8), np.uint8)
-            wide[:, :5] = np.frombuffer(d, np.uint8).reshape(-1, 5)
-            words.append(wide.view("<u8").ravel())
-            qs.append(_expand(e, np.uint8))
-            counts.append(_expand(f, "<u4"))
-        ctx_names, ctx_of_run = np.unique(np.concatenate(ctxs), return_inverse=True)
-        ctx = np.repeat(ctx_of_run, np.concatenate(runs))
-        key = _mixed(ctx_names[ctx], np.concatenate(words))
-        _, where, pair = np.unique(key, return_index=True, return_inverse=True)
-        total = np.bincount(pair, np.concatenate(counts), len(where))
-        pair_ctx, p = ctx[where], 10.0 ** (np.concatenate(qs)[where].astype(float) / -_STEPS)
+            a, b, c, d, e, f = _unpack(_expand(payload))
+            ctxs.append(_numbers(a, rising=True))
+            runs.append(_numbers(b, 4))
+            splits.append(_numbers(c))
+            words.append(_numbers(d))
+            qs.append(_numbers(e, 2).astype(np.uint16))
+            counts.append(_numbers(f, 4))
+        ctx_names, ctx_of_run = _grouped(np.concatenate(ctxs))
+        word_names, word = _grouped(np.concatenate(words))
+        key, pair = _grouped(np.repeat(ctx_of_run, np.concatenate(runs)) * len(word_names) + word)
+        del word
+        pair_ctx = key // len(word_names)
+        total = np.bincount(pair, np.concatenate(counts), len(key)).astype(np.int64)
+        q = np.zeros(len(key), np.uint16)
+        q[pair] = np.concatenate(qs)  # alike for all that ask about a pair
+        p = 10.0 ** (q / -_STEPS)
         n = np.bincount(pair_ctx, total, len(ctx_names))
-        whole = np.zeros(len(ctx_names), np.uint64)  # observations of split contexts in all buckets
+        whole = np.zeros(len(ctx_names), np.int64)  # observations of split contexts in all buckets
         whole[ctx_of_run] = np.concatenate(splits)
         split = whole > 0
         n[split] = whole[split]
         mass, seen = _mass(n)[pair_ctx], total > 0
         left_out = (np.maximum(total - 1, 0) / p + mass) / (np.maximum(n[pair_ctx] - 1, 0) + mass)
         gain = np.bincount(pair_ctx[seen], (total * np.log10(left_out))[seen], len(ctx_names))
-        keep = gain > min_gain
+        keep = (gain > min_gain) & ~split
+        number = np.where(total >= 2, np.arange(len(key)), 0)
         rows, r, e = [], 0, 0
         if split.any():
-            rows.append((SHARES, level, bucket, 0, _pack(ctx_names[split].tobytes(), gain[split].astype("<f8").tobytes())))
+            units = np.rint(gain[split] * _UNITS).astype(np.int64)
+            rows.append((SHARES, level, bucket, 0, ctx_names[split].tolist(), units.tolist(), b""))
         for block, own in zip(blocks, runs, strict=True):
             size = int(own.sum())
-            flags = np.packbits(keep[ctx_of_run[r : r + len(own)]]).tobytes()
-            rows.append((block, level, bucket, 0, _pack(flags, _squeeze(total[pair[e : e + size]].astype("<u4")))))
+            ctx, mine = ctx_of_run[r : r + len(own)], pair[e : e + size]
+            named = ctx_names[ctx[split[ctx]]].tolist() or None
+            flags = np.packbits(keep[ctx]).tobytes()
+            rows.append((block, level, bucket, 0, named, None, _squeeze(_pack(flags, _planes(total[mine]), _planes(number[mine])))))
             r, e = r + len(own), e + size
         return pa.Table.from_batches([S.batch_of(rows, schema)])
 
     return run
 
 
-def _split_kept(found: DataFrame, min_gain: float) -> np.ndarray:
-    """Hashes of the split contexts to retain: as many at most as the observations that make one are in the corpus."""
-    gains: dict[int, list[float]] = {}
-    for row in found.where(F.col("block") == SHARES).select("payload").collect():
-        names, shares = _unpack(row["payload"])
-        for name, share in zip(np.frombuffer(names, "<u8").tolist(), np.frombuffer(shares, "<f8").tolist(), strict=True):
-            gains.setdefault(name, []).append(share)
-    return np.array(sorted(name for name, shares in gains.items() if math.fsum(shares) > min_gain), np.uint64)
-
-
-def _grouped_answers(right: pa.Table) -> dict[int, dict[int, bytes]]:
-    out: dict[int, dict[int, bytes]] = {}
-    for level, bucket, payload in zip(right["level"].to_pylist(), right["bucket"].to_pylist(), right["payload"].to_pylist(), strict=True):
-        out.setdefault(level, {})[bucket] = payload
-    return out
-
-
-def _bucketed(blocks: DataFrame) -> DataFrame:
-    """Write the blocks as a table bucketed by block in the shared folder: later rounds don't shuffle them.
-
-    The catalog entry (``llm_blocks_*``) stays as long as the session's catalog; its files go with the folder.
-    """
-    spark = blocks.sparkSession
-    name = f"llm_blocks_{uuid.uuid4().hex[:12]}"
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    path = S.shared_path(spark, "blocks")
-    blocks.write.mode("overwrite").option("path", path).option("compression", "uncompressed").bucketBy(n, "block").saveAsTable(name)
-    return spark.table(name)
+def _with_verdicts(found: DataFrame, level: int, min_gain: float) -> DataFrame:
+    """``found`` without shares but with a row per block that names the split contexts it asked about and may keep."""
+    answers = found.where(F.col("block") != SHARES)
+    shares = found.where(F.col("block") == SHARES)
+    if shares.isEmpty():
+        return answers
+    kept = (
+        shares.select(F.explode(F.arrays_zip("split", "gains")).alias("s")).groupBy(F.col("s.split").alias("ctx"))
+        .agg(F.sum("s.gains").alias("units")).where(F.col("units") > round(min_gain * _UNITS)).select("ctx")
+    )
+    asked = answers.where("split is not null").select("block", F.explode("split").alias("ctx")).distinct()
+    verdicts = asked.join(kept, "ctx").groupBy("block").agg(F.collect_list("ctx").alias("split"))
+    rows = verdicts.select(
+        "block", F.lit(level).alias("level"), F.lit(VERDICTS).cast("long").alias("bucket"), F.lit(0).cast("long").alias("distinct"),
+        "split", F.lit(None).cast("array<long>").alias("gains"), F.lit(b"").alias("payload"),
+    )
+    return answers.unionByName(S.staged(rows, "verdicts"))
 
 
 def score(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_depth: int = 2, min_gain: float = 0.0,
-    block_tokens: int = 1 << 20, split_rows: int = 1 << 20, bucket_tokens: int = 1 << 21,
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_depth: int | None = None, min_gain: float = 0.01,
+    block_tokens: int = 1 << 20, split_rows: int = 1 << 20, bucket_tokens: int = 1 << 22,
 ) -> DataFrame:
     """Score every text with a tree learned from the texts that are not held out (crc32 of the id modulo 5 is not 1).
 
     Columns: doc_id, held_out, n_tokens, n_known, train_tokens, base_score (the
     add-half word model) and score, both as log10 probabilities of the whole
-    text with its end. Null and empty texts are one end token. Null ids form
-    one fold ('null' as text); repeated rows count and are scored as often as
-    given; an empty table gives an empty result.
+    text with its end. A context is retained if its gain is over ``min_gain``
+    (in log10 over all its observations). Contexts get as long as the test
+    retains them, about eight words where texts are copied: there the suffix
+    state soon leaves nothing to gain. ``max_depth`` ends the tree earlier (two
+    words at least). Null and empty
+    texts are one end token. Null ids form one fold ('null' as text); repeated
+    rows count and are scored as often as given; an empty table gives an empty
+    result.
     """
-    spark = df.sparkSession
-    blocks = _bucketed(build_blocks(df, id_col, text_col, block_tokens))
+    blocks = S.bucketed(build_blocks(df, id_col, text_col, block_tokens), "blocks", "block")
     tokens, train = blocks.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.coalesce(F.sum("n_train"), F.lit(0))).first()
-    model = {"train_tokens": train, "distinct": 0, "buckets": max(1, -(-tokens // bucket_tokens)), "split_rows": split_rows, "split_kept": {}}
-    requests_schema, answers_schema = S.arrow_schema(REQUESTS), S.arrow_schema(ANSWERS)
+    model = {"train_tokens": train, "distinct": 0, "buckets": max(1, -(-tokens // bucket_tokens)), "split_rows": split_rows}
+    requests_schema, answers_schema, open_schema, scores_schema = map(S.arrow_schema, (REQUESTS, ANSWERS, OPEN, SCORES))
 
     def ask_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for row in b.to_pylist():
-                for k, payload in Block(row, {}, model).word_requests():
-                    yield S.batch_of([(k, row["block"], payload)], requests_schema)
+                yield S.batch_of([(k, row["block"], payload) for k, payload in Block(row, model).word_requests()], requests_schema)
 
     asked = blocks.mapInArrow(ask_words, REQUESTS)
     answers = S.staged(asked.groupBy("bucket").applyInArrow(_sum_words(answers_schema), ANSWERS), "words")
     model = model | {"distinct": answers.agg(F.coalesce(F.sum("distinct"), F.lit(0))).first()[0]}
 
-    def ask_pairs(level: int):
+    def per_block(of: DataFrame, known: DataFrame, make, schema: str, arrow: pa.Schema) -> DataFrame:  # noqa: ANN001  make(row, answers) -> rows
         def run(left: pa.Table, right: pa.Table) -> pa.Table:
-            rows = []
+            rows: list[tuple] = []
             for row in left.to_pylist():
-                rows += [(k, row["block"], p) for k, p in Block(row, _grouped_answers(right), model).pair_requests(level)]
-            return pa.Table.from_batches([S.batch_of(rows, requests_schema)])
+                rows += make(row, Answers(right))
+            return pa.Table.from_batches([S.batch_of(rows, arrow)])
 
-        return run
+        return of.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(run, schema)
 
-    for level in range(1, max_depth + 1):
-        asked = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(ask_pairs(level), REQUESTS)
+    def summed(asked: DataFrame, level: int) -> DataFrame:
         found = S.staged(asked.groupBy("bucket").applyInArrow(_sum_pairs(answers_schema, level, min_gain), ANSWERS), f"pairs{level}")
-        # a new mapping, as functions of earlier rounds hold the old one
-        model = model | {"split_kept": model["split_kept"] | {level: _split_kept(found, min_gain)}}
-        answers = answers.unionByName(found.where(F.col("block") != SHARES))
-
-    scores_schema = S.arrow_schema(SCORES)
-
-    def finish(left: pa.Table, right: pa.Table) -> pa.Table:
-        rows = []
-        for row in left.to_pylist():
-            rows += Block(row, _grouped_answers(right), model).scores(max_depth)
-        return pa.Table.from_batches([S.batch_of(rows, scores_schema)])
-
-    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(finish, SCORES)
+        return _with_verdicts(found, level, min_gain)
+
+    def ask_wide(level: int):
+        def make(row: dict, known: Answers) -> list[tuple]:
+            block = Block(row, model)
+            return [(k, row["block"], p) for k, p in block.at_level(level, known).requests(block.train, model)]
+
+        return make
+
+    for level in range(1, WIDE_LEVELS + 1):
+        answers = answers.unionByName(summed(per_block(blocks, answers, ask_wide(level), REQUESTS, requests_schema), level))
+    left = per_block(blocks, answers, lambda row, known: [Block(row, model).open_row(known)], OPEN, open_schema)
+    left = S.bucketed(left, "open", "block")
+
+    def ask_deep(level: int):
+        return lambda row, known: [(k, row["block"], p) for k, p in OpenBlock(row, model).requests(level, known)]
+
+    deep, level = answers.limit(0), WIDE_LEVELS
+    while max_depth is None or level < max_depth:
+        found = summed(per_block(left, deep, ask_deep(level + 1), REQUESTS, requests_schema), level + 1)
+        if found.isEmpty():  # no context is left to test
+            break
+        deep, level = deep.unionByName(found), level + 1
+    return per_block(left, deep, lambda row, known: OpenBlock(row, model).scores(level, known), SCORES, scores_schema)
 
 
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
