@@ -255,7 +255,12 @@ def location(
     loc = loc.withColumn("orders_per_day", F.try_divide(F.col("total_orders"), F.col("active_days")))
     if stage is not None:
         loc = stage(loc, "location_base")
-    loc = ranking.global_rank(loc, "total_revenue", "revenue_rank", descending=True, stage=stage or ranking.checkpointed)
+    return ranked_locations(loc, as_of, top, mid, stage or ranking.checkpointed)
+
+
+def ranked_locations(loc: DataFrame, as_of: dt.date, top: int, mid: int, stage: ranking.Stage) -> DataFrame:
+    """Per-location totals with their global revenue rank and tier."""
+    loc = ranking.global_rank(loc, "total_revenue", "revenue_rank", descending=True, stage=stage)
     return loc.withColumns(
         {"performance_tier": L.performance_tier("revenue_rank", top, mid), "snapshot_date": _snapshot(as_of)}
     ).select(

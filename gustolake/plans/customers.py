@@ -33,16 +33,12 @@ from gustolake.sources import io, versions
 MONEY = T.DecimalType(38, 2)
 #: What Spark's average of MONEY is.
 AVERAGE = T.DecimalType(38, 6)
-DAY, MONTH = "order_date", "order_yyyymm"
+DAY = "order_date"
 SUMS = ("revenue", "revenue_rows", "orders", "last_revenue", "last_rows", "prior_revenue", "prior_rows")
 
 
-def _month(day: dt.date) -> str:
-    return f"{MONTH}={day.year * 100 + day.month}"
-
-
 def _months(first: dt.date, last: dt.date) -> set[str]:
-    return {_month(first + dt.timedelta(days=i)) for i in range((last - first).days + 1)}
+    return {versions.month_of(first + dt.timedelta(days=i)) for i in range((last - first).days + 1)}
 
 
 def _at(spark: SparkSession, path: str, name: str | None) -> versions.Commit | None:
@@ -100,9 +96,8 @@ def update(spark: SparkSession, root: str, orders: DataFrame, as_of: dt.date, wi
         io.write_layer(order_level(orders), f"{stage}/orders")
         level = spark.read.parquet(f"{stage}/orders")
         new_days = sorted(r[0] for r in level.select(DAY).distinct().collect())  # calendar days of one delivery
-        months = sorted({_month(d) for d in new_days})
-        known = parts_at.info["days"] if parts_at else []
-        again = bool(set(known) & {d.isoformat() for d in new_days})
+        months = {versions.month_of(d) for d in new_days}
+        again = bool(versions.days_of(parts_at) & {d.isoformat() for d in new_days})
         other_day = ~F.col(DAY).isin(new_days) if again else F.lit(True)
 
         # an order counts once for its customer, on the first day it is seen
@@ -118,17 +113,9 @@ def update(spark: SparkSession, root: str, orders: DataFrame, as_of: dt.date, wi
             F.count_if("_first").alias("orders"), F.max("is_loyalty").alias("is_loyalty"),
         )
 
-        def taken_in(df: DataFrame, path: str, at: versions.Commit | None) -> versions.Commit:
-            """The months of the new days with these days' rows in place of earlier ones."""
-            df = df.withColumn(MONTH, F.year(DAY) * 100 + F.month(DAY))
-            if at and set(months) & set(at.folders):
-                df = versions.read(spark, path, at, only=months).where(other_day).unionByName(df)
-            days = sorted({*known, *(d.isoformat() for d in new_days)})
-            return versions.write(spark, df, path, [MONTH], replaces=months, base=at, info={"days": days}, rebalance=True)
-
         if new_days:
-            days_at = taken_in(level.select(*pair, DAY), paths["order_days"], days_at)
-            parts_at = taken_in(parts, paths["day_parts"], parts_at)
+            days_at = versions.take_days(spark, level.select(*pair, DAY), paths["order_days"], DAY, new_days, days_at)
+            parts_at = versions.take_days(spark, parts, paths["day_parts"], DAY, new_days, parts_at)
         before = dt.date.fromisoformat(info["as_of"]) if state_at else None
         one = F.lit(1)
 
@@ -151,7 +138,7 @@ def update(spark: SparkSession, root: str, orders: DataFrame, as_of: dt.date, wi
             old = versions.read(spark, paths["state"], state_at)
             rows = [old.select("user_id", *SUMS, "first_order_date", "last_order_date", "is_loyalty")]
             if new_days:
-                rows += part_rows(set(months), F.col(DAY).isin(new_days), to_last, to_prior, True)
+                rows += part_rows(months, F.col(DAY).isin(new_days), to_last, to_prior, True)
             # only days of the last two windows can have moved to another window
             first_day, last_day = before - dt.timedelta(days=2 * window_days), as_of - dt.timedelta(days=window_days + 1)
             moved = F.col(DAY).between(F.lit(first_day), F.lit(last_day)) & ~F.col(DAY).isin(new_days)

@@ -381,6 +381,7 @@ BODIES: dict[str, str] = {
         CAST(date_diff('day', c.last_order_date, {AS_OF}) AS INTEGER) AS recency_days,
         CAST(date_diff('day', c.first_order_date, c.last_order_date) AS INTEGER) AS tenure_days
         FROM clv_base c LEFT JOIN recent_spend r ON c.user_id = r.user_id LEFT JOIN prior_spend p ON c.user_id = p.user_id""",
+    "incremental_location": "SELECT * FROM g_location",
     "silver_roundtrip": f"SELECT {SILVER_ITEM_COLS} FROM silver_items",
     "gold_roundtrip": "SELECT * FROM g_dim",
     "published_tables": """

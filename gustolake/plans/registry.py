@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from gustolake.functions.clean import strip_urls
 from gustolake.operators import base, metrics, serving
 from gustolake.operators.clean import dedup, normalize_columns, require_keys, to_contract, void_to_string
-from gustolake.plans import bronze, customers, gold, pipeline, silver
+from gustolake.plans import bronze, customers, gold, locations, pipeline, silver
 from gustolake.session import scratch_dir
 from gustolake.sources import contracts as C
 from gustolake.sources import fixtures as FX
@@ -136,6 +136,15 @@ def q_incremental_customers(spark: SparkSession, sf: str) -> DataFrame:
     return customers.read(spark, root)
 
 
+def q_incremental_location(spark: SparkSession, sf: str) -> DataFrame:
+    """Location performance merged from days taken in by two runs, the second of which delivers some days again."""
+    root, orders = _scratch(spark, "locations"), gold.checkpoint_stage(_orders(spark, sf), "order_base")
+    cut = F.lit(AS_OF - dt.timedelta(days=400))
+    locations.update(spark, root, orders.where(F.col("order_date") <= F.date_add(cut, 30)))
+    locations.update(spark, root, orders.where(F.col("order_date") > cut))
+    return io.to_contract_types(locations.performance(spark, root, AS_OF), C.FACT_LOCATION_PERFORMANCE)
+
+
 # --- cleaning --------------------------------------------------------------------------
 def q_normalize_columns(spark: SparkSession, sf: str) -> DataFrame:
     raw = FX.order_items(spark, sf)
@@ -271,6 +280,7 @@ QUERIES: dict[str, Query] = {
     "bronze_latest_day": q_bronze_latest_day,
     "incremental_silver": q_incremental_silver,
     "incremental_customers": q_incremental_customers,
+    "incremental_location": q_incremental_location,
     "normalize_columns": q_normalize_columns,
     "void_to_string": q_void_to_string,
     "cast_text": q_cast_text,

@@ -16,6 +16,7 @@ over names with an underscore, so versions can't be mixed that way either.
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import time
 import uuid
@@ -23,6 +24,7 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 COMMITS, DATA, VERSION = "_commits", "_data", "_version"
 #: The partition name of an unpartitioned dataset.
@@ -181,3 +183,30 @@ def expire(spark: SparkSession, path: str, keep: int) -> None:
         for p in partitions_in(spark, folder_of(path, folder), depth) if depth else []:
             if (folder, p) not in used:
                 delete(spark, f"{folder_of(path, folder)}/{p}")
+
+
+# --- datasets that take whole days ------------------------------------------------------
+MONTH = "day_yyyymm"
+
+
+def month_of(day: dt.date) -> str:
+    return f"{MONTH}={day.year * 100 + day.month}"
+
+
+def days_of(at: Commit | None) -> set[str]:
+    """The days (ISO) that a dataset of ``take_days`` has taken in."""
+    return set(at.info["days"]) if at else set()
+
+
+def take_days(
+    spark: SparkSession, df: DataFrame, path: str, day: str, days: Sequence[dt.date], base: Commit | None, info: dict | None = None
+) -> Commit:
+    """Put the rows of whole ``days`` in place of what ``base`` has of them; only their months are written."""
+    months = sorted({month_of(d) for d in days})
+    df = df.withColumn(MONTH, F.year(day) * 100 + F.month(day))
+    if base and set(months) & set(base.folders):
+        again = [d for d in days if d.isoformat() in days_of(base)]
+        kept = read(spark, path, base, only=months)
+        df = (kept.where(~F.col(day).isin(again)) if again else kept).unionByName(df)
+    known = sorted(days_of(base) | {d.isoformat() for d in days})
+    return write(spark, df, path, [MONTH], replaces=months, base=base, info=(info or {}) | {"days": known}, rebalance=True)

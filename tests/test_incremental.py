@@ -8,8 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from samples import item, items_df
-from gustolake.operators import base, keyset, metrics
-from gustolake.plans import customers, silver
+from gustolake.operators import base, distinct, keyset, metrics
+from gustolake.plans import customers, locations, silver
 from gustolake.session import scratch_dir
 from gustolake.sources import contracts as C
 from gustolake.sources import versions
@@ -157,7 +157,7 @@ def test_the_second_day_reads_new_days_and_state_only(spark, path, orders, monke
     customers.update(spark, path, between(orders, DATES[0] + dt.timedelta(days=1), DATES[1]), DATES[1])
     parts = {m for name, only in read if name == "day_parts" for m in only}
     # months of new days, and of days that may leave a window
-    assert parts and parts <= {f"order_yyyymm={m}" for m in (200101, 200102, 200103, 200104)}
+    assert parts and parts <= {f"day_yyyymm={m}" for m in (200101, 200102, 200103, 200104)}
     assert {n for n, _ in read} == {"order_days", "day_parts", "state"}
 
 
@@ -180,3 +180,53 @@ def test_a_run_that_dies_between_commits_is_as_if_it_had_not_begun(spark, path,
     check(spark, path, between(orders, D0, DATES[0]), DATES[0])
     customers.update(spark, path, new, DATES[1])
     check(spark, path, between(orders, D0, DATES[1]), DATES[1])
+
+
+# --- locations ------------------------------------------------------------------------------------
+@pytest.fixture(scope="module")
+def placed(orders):
+    place = F.when(F.col("order_id") == "17", F.lit(None)).otherwise(F.concat(F.lit("r"), (F.col("order_id").cast("int") % 5).cast("string")))
+    return orders.withColumn("restaurant_id", place).cache()
+
+
+def by_place(df):
+    return sorted(map(repr, df.select("restaurant_id", "total_revenue", "avg_order_value", "total_orders", "unique_customers", "active_days", "revenue_rank").collect()))
+
+
+def test_locations_from_days_equal_a_full_run(spark, path, placed):
+    locations.update(spark, path, between(placed, D0, DATES[0]))
+    locations.update(spark, path, between(placed, DATES[0], DATES[1]))  # the first day for the second time
+    assert by_place(locations.performance(spark, path, DATES[1])) == by_place(metrics.location(between(placed, D0, DATES[1]), DATES[1]))
+    locations.update(spark, path, between(placed, DATES[1] + dt.timedelta(days=1), dt.date(2002, 1, 1)))
+    got = locations.merged(spark, path)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and "HashAggregate" in plan
+    assert by_place(locations.performance(spark, path, DATES[2])) == by_place(metrics.location(placed, DATES[2]))
+    # any days, from the bitmaps alone
+    some = locations.merged(spark, path, DATES[0], DATES[1]).select("restaurant_id", "total_orders", "unique_customers", "active_days")
+    want = metrics.location(between(placed, DATES[0], DATES[1]), DATES[1]).select(*some.columns)
+    assert rows_of(some) == rows_of(want)
+
+
+def test_a_day_delivered_again_with_other_orders(spark, path, placed):
+    locations.update(spark, path, between(placed, D0, DATES[1]))
+    less = between(placed, DATES[0], DATES[1]).where("user_id <> 'u3'")
+    locations.update(spark, path, less)
+    kept = between(placed, D0, DATES[1]).where((F.col("order_date") < F.lit(DATES[0])) | (F.col("user_id") != "u3"))
+    gone = {r[0] for r in between(placed, DATES[0], DATES[1]).select("order_date").distinct().collect()} - {r[0] for r in less.select("order_date").distinct().collect()}
+    kept = kept.unionByName(placed.where(F.col("order_date").isin(sorted(gone)))) if gone else kept  # days without rows are not delivered
+    assert by_place(locations.performance(spark, path, DATES[1])) == by_place(metrics.location(kept, DATES[1]))
+
+
+def test_numbers_are_dense_and_stay(spark, path):
+    values = spark.range(40_000).select((F.col("id") % 700).cast("string").alias("value"), (F.col("id") % 7).alias("near"))
+    one = {r["value"]: r["id"] for r in distinct.numbered(spark, path, values.where("near < 4")).collect()}
+    two = {r["value"]: r["id"] for r in distinct.numbered(spark, path, values.unionByName(values.select(F.lit(None).cast("string").alias("value"), "near"))).collect()}
+    assert sorted(one.values()) == list(range(len(one))) and sorted(two.values()) == list(range(700))
+    assert {v: two[v] for v in one} == one
+    # values of one group lie together
+    first = sorted(i for v, i in one.items() if int(v) % 7 == 0)
+    assert first == list(range(first[0], first[0] + 100))
+    many = spark.range(100_000).select((F.col("id") % 3).alias("g"), F.col("id"))
+    maps = distinct.bitmaps(many.unionByName(many.limit(5_000)), ["g"])
+    assert {r["g"]: r["n"] for r in distinct.counts(maps, ["g"], "n").collect()} == {0: 33_334, 1: 33_333, 2: 33_333}
