@@ -74,6 +74,13 @@ FROM (SELECT unnest(generate_series(CAST(min(CAST(o_orderdate AS DATE)) AS TIMES
       FROM orders)
 """)
 
+cte("split_keys", """
+SELECT CAST(l_partkey AS BIGINT) * l_partkey AS key, row_number() OVER (ORDER BY l_partkey) AS rn, COUNT(*) OVER () AS n FROM lineitem
+""")
+cte("split_borders", """
+SELECT DISTINCT key FROM split_keys WHERE list_contains([CAST(ceil(CAST(i AS DOUBLE) / 16 * n) AS BIGINT) FOR i IN range(1, 16)], rn)
+""")
+
 # --- silver ----------------------------------------------------------------------------
 cte("typed_items", r"""
 SELECT restaurant_id, creation_time_utc, order_id, user_id,
@@ -371,6 +378,10 @@ ORDER_BASE_COLS = ("order_id, user_id, restaurant_id, order_date, order_year, or
 
 BODIES: dict[str, str] = {
     "scan_source": f"SELECT {ITEM_COLS} FROM src_items",
+    "source_splits": """
+        SELECT CAST(split AS INTEGER) AS split, COUNT(*) AS rows FROM (
+            SELECT (SELECT COUNT(*) FROM split_borders b WHERE b.key < k.key) AS split FROM split_keys k)
+        GROUP BY split""",
     "bronze_ingest": f"SELECT {ITEM_COLS}, {INGEST_STR} FROM src_items",
     "bronze_roundtrip": f"SELECT {ITEM_COLS}, {INGEST} FROM src_items",
     "bronze_latest_day": f"SELECT {ITEM_COLS}, {INGEST} FROM src_items",

@@ -24,7 +24,7 @@ from gustolake.plans import bronze, customers, gold, locations, pipeline, silver
 from gustolake.session import scratch_dir
 from gustolake.sources import contracts as C
 from gustolake.sources import fixtures as FX
-from gustolake.sources import io
+from gustolake.sources import io, splits
 
 AS_OF = FX.AS_OF
 INGEST_DATE = AS_OF
@@ -70,6 +70,18 @@ def q_scan_source(spark: SparkSession, sf: str) -> DataFrame:
     return io.read_source(spark, view, fmt="table")
 
 
+SPLITS = 16
+
+
+def q_source_splits(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows that each of the balanced predicates over a skewed key (the square of the part's number) selects."""
+    keys = spark.read.parquet(f"{sf.rstrip('/')}/lineitem.parquet").select((F.col("l_partkey").cast("long") * F.col("l_partkey")).alias("key"))
+    at = splits.borders(keys, "key", SPLITS)
+    counts = [F.count_if(F.expr(p)).alias(f"p{i}") for i, p in enumerate(splits.predicates("key", at))]
+    row = keys.agg(*counts)
+    return row.select(F.posexplode(F.array(*row.columns)).alias("split", "rows"))
+
+
 def q_bronze_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return bronze.ingest(FX.order_items(spark, sf), INGEST_DATE)
 
@@ -272,6 +284,7 @@ def _serving(name: str) -> Query:
 
 QUERIES: dict[str, Query] = {
     "scan_source": q_scan_source,
+    "source_splits": q_source_splits,
     "bronze_ingest": q_bronze_ingest,
     "bronze_roundtrip": q_bronze_roundtrip,
     "silver_roundtrip": q_silver_roundtrip,

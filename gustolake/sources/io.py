@@ -18,12 +18,15 @@ def read_source(spark: SparkSession, name: str, fmt: str = "table", options: dic
     ``fmt="table"`` reads a catalog table; ``fmt="jdbc"`` reads a relational
     table (pass ``url`` and, for a parallel read, ``partitionColumn``,
     ``lowerBound``, ``upperBound`` and ``numPartitions`` so the scan is split
-    across executors instead of one connection); any other format is read from
-    the ``path`` option or from ``name`` as a path.
+    across executors instead of one connection, or ``predicates``, one query
+    each, for a skewed key: ``splits``); any other format is read from the
+    ``path`` option or from ``name`` as a path.
     """
     options = dict(options or {})
     if fmt == "table":
         return spark.table(name)
+    if fmt == "jdbc" and "predicates" in options:
+        return spark.read.jdbc(**jdbc_arguments(name, options))
     if fmt == "jdbc":
         return spark.read.format("jdbc").options(**jdbc_options(name, options)).load()
     path = options.pop("path", name)
@@ -39,6 +42,14 @@ def jdbc_options(name: str, options: dict) -> dict:
     return options
 
 
+def jdbc_arguments(name: str, options: dict) -> dict:
+    """Arguments of a relational read by predicates; what else is in ``options`` goes to the driver as properties."""
+    rest = {k: str(v) for k, v in options.items() if k not in ("url", "predicates", "dbtable")}
+    if not options["predicates"] or {"partitionColumn", "lowerBound", "upperBound", "numPartitions"} & set(rest):
+        raise ValueError("give predicates or a split column with bounds")
+    return {"url": options["url"], "table": options.get("dbtable", name), "predicates": list(options["predicates"]), "properties": rest}
+
+
 def read_layer(spark: SparkSession, path: str) -> DataFrame:
     """Read a Parquet dataset; partition directories become typed columns."""
     return spark.read.parquet(path)

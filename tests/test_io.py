@@ -81,6 +81,47 @@ def test_relational_source_needs_a_split(spark):
     assert io.jdbc_options("dbo.t", {"unsplit": True}) == {"dbtable": "dbo.t"}
 
 
+def test_balanced_splits_of_skewed_keys(spark):
+    from gustolake.sources import splits
+    from pyspark.sql import functions as F
+
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    keys = lines.select(
+        (F.col("l_partkey").cast("long") ** 3).cast("long").alias("cube"), F.col("l_shipdate").cast("date").alias("day"),
+        F.concat(F.lit("o'"), F.col("l_orderkey").cast("string")).alias("text"), F.when(F.col("l_linenumber") > 1, F.col("l_extendedprice").cast("decimal(12,2)")).alias("price"),
+    )
+    for column in keys.columns:
+        at = splits.borders(keys, column, 12)
+        found = splits.predicates(column, at)
+        assert len(found) == 12
+        rows = [keys.where(p).count() for p in found]
+        assert sum(rows) == keys.count()  # every row once, also those without a key
+        nulls = keys.where(F.col(column).isNull()).count()
+        mean = (keys.count() - nulls) / 12
+        assert max([rows[0] - nulls, *rows[1:]]) <= 2 * mean
+        assert {r[0]: r[1] for r in keys.groupBy(splits.part_of(column, at)).count().collect()} == dict(enumerate(rows))
+    # equal widths would not do
+    low, high = keys.agg(F.min("cube"), F.max("cube")).first()
+    widest = keys.groupBy(((F.col("cube") - low) * 12 / (high - low + 1)).cast("int")).count().agg(F.max("count")).first()[0]
+    assert widest > 4 * keys.count() / 12
+    assert splits.predicates("k", splits.borders(keys.limit(0), "cube", 5)) == ["1 = 1"] == splits.predicates("k", splits.borders(keys, "cube", 1))
+    one = keys.select(F.lit(7).alias("k"))
+    assert splits.predicates("k", splits.borders(one, "k", 4)) == ["k <= 7 OR k IS NULL", "k > 7"]
+
+
+def test_relational_read_by_predicates():
+    import pytest
+
+    options = {"url": "jdbc:x", "predicates": ["id <= 5", "id > 5"], "fetchsize": 1000, "user": "u"}
+    assert io.jdbc_arguments("dbo.t", options) == {
+        "url": "jdbc:x", "table": "dbo.t", "predicates": ["id <= 5", "id > 5"], "properties": {"fetchsize": "1000", "user": "u"}
+    }
+    assert io.jdbc_arguments("t", {**options, "dbtable": "s.t"})["table"] == "s.t"
+    for wrong in ({"predicates": []}, {"numPartitions": 3}):
+        with pytest.raises(ValueError):
+            io.jdbc_arguments("dbo.t", {**options, **wrong})
+
+
 def test_stage_folder_is_deleted_also_after_a_failure(spark, monkeypatch):
     import os
 
