@@ -422,6 +422,7 @@ BODIES: dict[str, str] = {
         CAST(total_discount_amount AS DOUBLE) AS total_discount_amount, has_discount,
         CAST(total_line_revenue AS DOUBLE) AS total_line_revenue FROM line_base""",
     "order_base": f"SELECT {ORDER_BASE_COLS} FROM order_base",
+    "bucketed_order_base": f"SELECT {ORDER_BASE_COLS} FROM order_base",
     "clv_thresholds": "SELECT CAST(clv_p20 AS DOUBLE) AS clv_p20, CAST(clv_p80 AS DOUBLE) AS clv_p80 FROM thresholds",
     "rfm_thresholds": """SELECT CAST(recency_p33 AS INTEGER) AS recency_p33, CAST(recency_p67 AS INTEGER) AS recency_p67,
         CAST(frequency_p33 AS BIGINT) AS frequency_p33, CAST(frequency_p67 AS BIGINT) AS frequency_p67,

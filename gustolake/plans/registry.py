@@ -127,6 +127,13 @@ def q_bronze_latest_day(spark: SparkSession, sf: str) -> DataFrame:
     return bronze.read(spark, path)
 
 
+def q_bucketed_order_base(spark: SparkSession, sf: str) -> DataFrame:
+    """The order base from silver tables bucketed by line."""
+    db, buckets = f"silver_{uuid.uuid4().hex[:8]}", int(spark.conf.get("spark.sql.shuffle.partitions"))
+    names = silver.write_bucketed(spark, _silver(spark, sf), _scratch(spark, "silver"), db, buckets)
+    return base.build(silver.read_bucketed(spark, names))
+
+
 # --- incremental -----------------------------------------------------------------------
 def q_incremental_silver(spark: SparkSession, sf: str) -> DataFrame:
     """Two ingest days upserted one after the other: the second brings new lines, and earlier times of lines of the first."""
@@ -308,6 +315,7 @@ QUERIES: dict[str, Query] = {
     "option_rollup": q_option_rollup,
     "line_base": q_line_base,
     "order_base": q_order_base,
+    "bucketed_order_base": q_bucketed_order_base,
     "clv_thresholds": q_clv_thresholds,
     "rfm_thresholds": q_rfm_thresholds,
     "metric_clv": _gold_table("fact_daily_clv"),

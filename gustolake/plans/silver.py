@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from gustolake.functions.clean import blank_to_null, negative_flag, strip_urls
-from gustolake.operators import keyset, quality
+from gustolake.operators import base, keyset, quality
 from gustolake.operators.clean import dedup, normalize_columns, require_keys, to_contract, void_to_string
 from gustolake.plans import bronze, jobs
 from gustolake.session import scratch_dir
@@ -117,6 +117,32 @@ def read(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
     }
 
 
+# --- bucketed by line -------------------------------------------------------------------
+def write_bucketed(spark: SparkSession, tables: dict[str, DataFrame], silver_root: str, database: str, buckets: int) -> dict[str, str]:
+    """Items and options as tables bucketed and sorted by the line key (order_id, lineitem_id); returns table -> name.
+
+    The roll-up of options and the join of lines then need no exchange after the
+    files are read. The buckets are by line and not by order: lines are unique
+    after the dedup, so an order with a third of all lines is spread over all
+    buckets and needs no layout of its own, and what goes on to the order's
+    aggregate is reduced per task first.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    names = {}
+    for table in ("order_items", "order_item_options"):
+        names[table] = f"{database}.{table}"
+        # one file per bucket, which keeps its order
+        rows = tables[table].repartition(buckets, *base.LINE_KEY)
+        rows.write.mode("overwrite").option("path", f"{silver_root.rstrip('/')}/{table}").option("compression", "snappy").bucketBy(
+            buckets, *base.LINE_KEY
+        ).sortBy(*base.LINE_KEY).saveAsTable(names[table])
+    return names
+
+
+def read_bucketed(spark: SparkSession, names: dict[str, str]) -> dict[str, DataFrame]:
+    return {table: spark.table(name) for table, name in names.items()}
+
+
 # --- incremental ------------------------------------------------------------------------
 @dataclass(frozen=True)
 class Upserted:
