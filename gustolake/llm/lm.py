@@ -21,7 +21,8 @@ a table, and each block gets the verdicts on the contexts it asked about.
 
 Blocks lie in a table bucketed by block, so a round moves pairs and answers and
 never texts. After two levels few positions are open; these are written as a
-smaller table of the same kind, on which all deeper rounds work.
+smaller table of the same kind, on which deeper rounds work, and every two
+levels the ones then open again.
 """
 
 from __future__ import annotations
@@ -54,8 +55,8 @@ SHARES, VERDICTS = -1, -1
 START = 1 << 62
 #: log10 probabilities travel for the divergence test in steps of 1/_STEPS, down to 10^-65; shares of the gain in steps of 1/_UNITS.
 _STEPS, _UNITS = 1000, 1 << 20
-#: Levels that work on whole blocks; deeper ones on the positions still open.
-WIDE_LEVELS = 2
+#: Levels that work on whole blocks; deeper ones on the positions still open, which are written anew after so many levels.
+WIDE_LEVELS, REWRITE_LEVELS = 2, 2
 
 
 def _pack(*parts: bytes) -> bytes:
@@ -170,11 +171,11 @@ class Frontier:
     @classmethod
     def made(cls, pos, ctx, ctx_id, ctx_n, kind, word, p) -> Frontier:  # noqa: ANN001
         """From each position's context and kind; a kind of pair has a word and a probability."""
-        used, which = _grouped(ctx)  # contexts that occur, in order of their numbers
-        used = used[by := np.argsort(ctx_id[used])]
-        rank = np.empty(len(by), np.int64)
-        rank[by] = np.arange(len(by))
-        keys, pair = _grouped(rank[which] * len(word) + kind)
+        used = np.flatnonzero(np.bincount(ctx, minlength=len(ctx_id)))  # contexts that occur, in order of their numbers
+        used = used[np.argsort(ctx_id[used])]
+        rank = np.empty(len(ctx_id), np.int64)
+        rank[used] = np.arange(len(used))
+        keys, pair = _grouped(rank[ctx] * len(word) + kind)
         kinds = keys % max(len(word), 1)
         return cls(pos, pair, keys // max(len(word), 1), word[kinds], p[kinds], ctx_id[used], ctx_n[used])
 
@@ -322,34 +323,39 @@ class Block:
 
 
 class OpenBlock:
-    """The open positions of a block after the wide levels."""
+    """The positions of a block that are open on level ``first``, with the scores of all others."""
 
-    def __init__(self, row: dict, model: dict) -> None:
-        self.row, self.model = row, model
+    def __init__(self, row: dict, first: int, model: dict) -> None:
+        self.row, self.first_level, self.model = row, first, model
         self.frontier = Frontier.unpacked(row["payload"])
         self.ends = np.cumsum(row["lengths"])
-        self.doc = np.searchsorted(self.ends, self.frontier.pos, "right")
         self.score = np.array(row["score"], float)
 
+    def _docs(self, pos: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.ends, pos, "right")
+
     def _closed(self, f: Frontier, which: np.ndarray) -> None:
-        doc = np.searchsorted(self.ends, f.pos[which], "right")
-        self.score += np.bincount(doc, np.log10(f.p)[f.pair[which]], len(self.score))
+        self.score += np.bincount(self._docs(f.pos[which]), np.log10(f.p)[f.pair[which]], len(self.score))
 
     def at_level(self, level: int, answers: Answers) -> Frontier:
         """The frontier of a level; positions that are done above it go into ``score``."""
         out, nowhere = self.frontier, np.zeros(0, np.int64)
-        for above in range(WIDE_LEVELS + 1, level):
+        for above in range(self.first_level, level):
             further, goes_on = out.deeper(*answers.to(out, above, self.model), nowhere)
             self._closed(out, ~goes_on)
             out = further
         return out
 
     def requests(self, level: int, answers: Answers) -> Iterator[tuple[int, bytes]]:
-        held = np.array(self.row["held"], bool)
-        train = np.zeros(int(self.frontier.pos[-1]) + 1 if len(self.frontier.pos) else 0, bool)
-        train[self.frontier.pos] = ~held[self.doc]
+        f = self.frontier
+        train = np.zeros(int(f.pos[-1]) + 1 if len(f.pos) else 0, bool)
+        train[f.pos] = ~np.array(self.row["held"], bool)[self._docs(f.pos)]
         yield from self.at_level(level, answers).requests(train, self.model)
 
+    def open_row(self, level: int, answers: Answers) -> tuple:
+        left, r = self.at_level(level, answers), self.row
+        return (r["block"], len(left.pos), r["doc_ids"], r["held"], r["lengths"], r["known"], r["base"], self.score.tolist(), left.packed())
+
     def scores(self, levels: int, answers: Answers) -> list[tuple]:
         left = self.at_level(levels + 1, answers)
         self._closed(left, np.ones(len(left.pos), bool))
@@ -513,16 +519,27 @@ def score(
     left = per_block(blocks, answers, lambda row, known: [Block(row, model).open_row(known)], OPEN, open_schema)
     left = S.bucketed(left, "open", "block")
 
-    def ask_deep(level: int):
-        return lambda row, known: [(k, row["block"], p) for k, p in OpenBlock(row, model).requests(level, known)]
+    # functions of a round hold its own numbers of levels
+    def ask_deep(first: int, level: int):
+        return lambda row, known: [(k, row["block"], p) for k, p in OpenBlock(row, first, model).requests(level, known)]
+
+    def still_open(first: int, level: int):
+        return lambda row, known: [OpenBlock(row, first, model).open_row(level, known)]
+
+    def finish(first: int, levels: int):
+        return lambda row, known: OpenBlock(row, first, model).scores(levels, known)
 
-    deep, level = answers.limit(0), WIDE_LEVELS
+    none = answers.limit(0)
+    deep, level, first = none, WIDE_LEVELS, WIDE_LEVELS + 1
     while max_depth is None or level < max_depth:
-        found = summed(per_block(left, deep, ask_deep(level + 1), REQUESTS, requests_schema), level + 1)
+        found = summed(per_block(left, deep, ask_deep(first, level + 1), REQUESTS, requests_schema), level + 1)
         if found.isEmpty():  # no context is left to test
             break
         deep, level = deep.unionByName(found), level + 1
-    return per_block(left, deep, lambda row, known: OpenBlock(row, model).scores(level, known), SCORES, scores_schema)
+        if level + 1 - first == REWRITE_LEVELS:
+            left = S.bucketed(per_block(left, deep, still_open(first, level + 1), OPEN, open_schema), "open", "block")
+            deep, first = none, level + 1
+    return per_block(left, deep, finish(first, level), SCORES, scores_schema)
 
 
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
