@@ -133,7 +133,7 @@ def signatures(classes: DataFrame) -> DataFrame:
 def _differences(spark: SparkSession) -> DataFrame:
     """(difference, gone, come): a multiset's total less that of one with ``come`` in place of ``gone`` ('' for none).
 
-    The letters are those of the pattern after A-Z are lowered, so this has at most 90 * 91 + 90 rows.
+    The letters are those of the pattern after A-Z are lowered, so this has at most 91 * 90 rows.
     """
     letters = [c for c in map(chr, range(0x100)) if re.fullmatch(f"[{LETTERS}]", c) and not "A" <= c <= "Z"]
     number = {c: _letter_number(c) for c in letters} | {"": 0}
@@ -152,7 +152,7 @@ def multiset_links(classes: DataFrame) -> DataFrame:
     a, b = met.alias("a"), met.alias("b")
     pairs = a.join(b, (F.col("a.sig") == F.col("b.sig")) & (F.col("a.cid") < F.col("b.cid")))
     difference = F.col("a.total") - F.col("b.total")
-    # at most 8,280 rows whatever the input
+    # at most 8,190 rows whatever the input
     known = F.broadcast(_differences(classes.sparkSession))
     found = (
         pairs.select(F.col("a.cid").alias("cid"), F.col("b.cid").alias("other"), difference.alias("difference"))
