@@ -542,5 +542,9 @@ def score(
     return per_block(left, deep, finish(first, level), SCORES, scores_schema)
 
 
+#: Where texts repeat themselves a few contexts stay open for many levels, each a round of its own (README has figures).
+QUERY_DEPTH = 12
+
+
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score(S.read_table(spark, sf_dir, "documents"))
+    return score(S.read_table(spark, sf_dir, "documents"), max_depth=QUERY_DEPTH)
