@@ -147,3 +147,13 @@ def bucketed(df: DataFrame, tag: str, by: str) -> DataFrame:
     out = spark.table(name)
     spark.sql(f"DROP TABLE {name}")
     return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the staged folders these frames read, once what was made of them is staged itself."""
+    for df in frames:
+        jvm, conf = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+        folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+        for folder in sorted(f for f in folders if f.rsplit("/", 1)[1].startswith("llm-")):
+            at = jvm.org.apache.hadoop.fs.Path(folder)
+            at.getFileSystem(conf).delete(at, True)

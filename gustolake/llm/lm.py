@@ -20,9 +20,12 @@ them are split by the next word; the parts' shares of the gain are added up in
 a table, and each block gets the verdicts on the contexts it asked about.
 
 Blocks lie in a table bucketed by block, so a round moves pairs and answers and
-never texts. After two levels few positions are open; these are written as a
+never texts. After two levels the positions still open are written as a
 smaller table of the same kind, on which deeper rounds work, and every two
-levels the ones then open again.
+levels the ones then open again; what earlier rounds wrote is deleted. Once no
+more than ``tail_rows`` positions are open in the whole corpus, which a few texts
+that repeat themselves keep open for many levels, one task takes them through
+all levels left by the same steps; the scores they add go back to their blocks.
 """
 
 from __future__ import annotations
@@ -33,6 +36,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -47,6 +51,8 @@ REQUESTS = "bucket long, block long, payload binary"
 ANSWERS = "block long, level int, bucket long, distinct long, split array<long>, gains array<long>, payload binary"
 OPEN = ("block long, n_open long, doc_ids array<long>, held array<boolean>, lengths array<int>, known array<long>, "
         "base array<double>, score array<double>, payload binary")
+REST = "bucket long, block long, payload binary, train binary, doc binary"
+CLOSED = "block long, doc binary, score binary"
 SCORES = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 #: Block number of the rows that carry shares of the gain, and bucket number of those with verdicts on split contexts.
@@ -109,9 +115,18 @@ def _groups(bucket: np.ndarray, order: np.ndarray) -> Iterator[tuple[int, np.nda
 
 
 def _grouped(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct values in order, and which of them each row has."""
-    order = np.argsort(key)
-    in_order = key[order]
+    """Distinct values (none negative) in order, and which of them each row has."""
+    top, bits = int(key.max(initial=0)), len(key).bit_length()
+    if top < 4 * len(key):  # dense numbers need no sort
+        there = np.zeros(top + 1, bool)
+        there[key] = True
+        return np.flatnonzero(there), (np.cumsum(there) - 1)[key]
+    if top >> (62 - bits):
+        order = np.argsort(key)
+        in_order = key[order]
+    else:  # values are sorted faster than an order is found
+        both = np.sort(key.astype(np.int64) << bits | np.arange(len(key)))
+        order, in_order = both & ((1 << bits) - 1), both >> bits
     first = _heads(in_order)
     flag = np.zeros(len(key), np.int64)
     flag[first[1:]] = 1
@@ -120,13 +135,21 @@ def _grouped(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return in_order[first], which
 
 
+class _Numbering(dict):
+    """Numbers words from 1 in the order in which they are first looked up."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self) + 1
+        return n
+
+
 def build_blocks(df: DataFrame, id_col: str, text_col: str, block_tokens: int) -> DataFrame:
     """Blocks of whole documents; token 0 is the end of a document, others number the block's words."""
     schema = S.arrow_schema(BLOCKS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, made = TaskContext.get().partitionId(), 0
-        ids: dict[bytes, int] = {}
+        ids = _Numbering()
         docs: list[tuple] = []
         tokens: list[np.ndarray] = []
 
@@ -143,14 +166,14 @@ def build_blocks(df: DataFrame, id_col: str, text_col: str, block_tokens: int) -
             for doc, held, text in zip(*[c.to_pylist() for c in b.columns], strict=True):
                 words = (text or b"").lower().split()
                 own = np.zeros(len(words) + 1, np.int32)
-                own[:-1] = [ids.setdefault(w, len(ids) + 1) for w in words]
+                own[:-1] = np.fromiter(map(ids.__getitem__, words), np.int32, len(words))
                 tokens.append(own)
                 docs.append((doc, held, len(own)))
                 size += len(own)
                 if size >= block_tokens:
                     yield out()
                     made, size = made + 1, 0
-                    ids, docs, tokens = {}, [], []
+                    ids, docs, tokens = _Numbering(), [], []
         if docs:
             yield out()
 
@@ -232,6 +255,23 @@ class Frontier:
         goes_on[at] = True
         return out, goes_on
 
+    @classmethod
+    def joined(cls, parts: list[Frontier]) -> Frontier:
+        """The frontiers of several blocks as one; a block's positions follow those of the block before it, apart by one at least."""
+        at = np.cumsum([0, *(int(f.pos[-1]) + 2 for f in parts[:-1])])
+        ctx_id, ctx = _grouped(np.concatenate([f.ctx_id[f.ctx] for f in parts]))
+        words, word = _grouped(np.concatenate([f.word for f in parts]))
+        keys, merged = _grouped(ctx * len(words) + word)
+        p, ctx_n = np.zeros(len(keys)), np.zeros(len(ctx_id), np.int64)
+        p[merged] = np.concatenate([f.p for f in parts])  # alike in all blocks, as the counts are
+        ctx_n[ctx] = np.concatenate([f.ctx_n[f.ctx] for f in parts])
+        pairs = np.cumsum([0, *(len(f.ctx) for f in parts[:-1])])
+        return cls(
+            np.concatenate([f.pos + a for f, a in zip(parts, at, strict=True)]),
+            merged[np.concatenate([f.pair + a for f, a in zip(parts, pairs, strict=True)])],
+            keys // len(words), words[keys % len(words)], p, ctx_id, ctx_n,
+        )
+
     def packed(self) -> bytes:
         return _squeeze(_pack(
             _planes(self.pos, rising=True), _planes(self.pair, 4), _planes(self.ctx, 4, rising=True), _planes(self.word),
@@ -356,9 +396,24 @@ class OpenBlock:
         left, r = self.at_level(level, answers), self.row
         return (r["block"], len(left.pos), r["doc_ids"], r["held"], r["lengths"], r["known"], r["base"], self.score.tolist(), left.packed())
 
+    def rest(self) -> tuple:
+        """The open positions alone: the frontier, which of them are learned from and each one's document in the block."""
+        docs = self._docs(self.frontier.pos)
+        train = ~np.array(self.row["held"], bool)[docs]
+        return (0, self.row["block"], self.row["payload"], np.packbits(train).tobytes(), _squeeze(docs.astype("<i4").tobytes()))
+
+    def scores_with(self, closed: pa.Table) -> list[tuple]:
+        """Scores of all documents, given what the open positions add."""
+        for doc, score in zip(closed["doc"].to_pylist(), closed["score"].to_pylist(), strict=True):
+            self.score[np.frombuffer(doc, "<i4")] += np.frombuffer(score, "<f8")
+        return self._rows()
+
     def scores(self, levels: int, answers: Answers) -> list[tuple]:
         left = self.at_level(levels + 1, answers)
         self._closed(left, np.ones(len(left.pos), bool))
+        return self._rows()
+
+    def _rows(self) -> list[tuple]:
         r = self.row
         return [
             (d, h, n, k, self.model["train_tokens"], b, s)
@@ -371,21 +426,24 @@ def _sum_words(schema: pa.Schema):
 
     def run(table: pa.Table) -> pa.Table:
         bucket = table["bucket"][0].as_py()
-        total: dict[bytes, int] = {}
-        asked = []
-        for block, payload in zip(table["block"].to_pylist(), table["payload"].to_pylist(), strict=True):
-            names, counts = _unpack(_expand(payload))
-            words = names.split(b"\n")
-            asked.append((block, words))
-            for w, c in zip(words, _numbers(counts, 4).tolist(), strict=True):
-                total[w] = total.get(w, 0) + c
-        number = {w: i for i, w in enumerate(sorted(total, key=lambda w: (-total[w], w)))}
-        distinct = sum(c > 0 for c in total.values())
-        rows = [
-            (block, 0, bucket, distinct if i == 0 else 0, None, None,
-             _squeeze(_pack(_planes(np.array([total[w] for w in words], np.int64)), _planes(np.array([number[w] for w in words], np.int64)))))
-            for i, (block, words) in enumerate(asked)
-        ]
+        blocks, names, counts = table["block"].to_pylist(), [], []
+        for payload in table["payload"].to_pylist():
+            words, n = _unpack(_expand(payload))
+            names.append(pa.array(words.split(b"\n"), pa.large_binary()))
+            counts.append(_numbers(n, 4))
+        coded = pa.concat_arrays(names).dictionary_encode()
+        word = coded.indices.to_numpy().astype(np.int64)
+        total = np.bincount(word, np.concatenate(counts), len(coded.dictionary)).astype(np.int64)
+        by_count = pc.sort_indices(pa.table({"n": total, "w": coded.dictionary}), sort_keys=[("n", "descending"), ("w", "ascending")])
+        number = np.empty(len(total), np.int64)
+        number[by_count.to_numpy()] = np.arange(len(total))
+        distinct = int(np.count_nonzero(total))
+        rows, r = [], 0
+        for i, (block, own) in enumerate(zip(blocks, names, strict=True)):
+            mine = word[r : r + len(own)]
+            payload = _squeeze(_pack(_planes(total[mine]), _planes(number[mine])))
+            rows.append((block, 0, bucket, distinct if i == 0 else 0, None, None, payload))
+            r += len(own)
         return pa.Table.from_batches([S.batch_of(rows, schema)])
 
     return run
@@ -444,6 +502,42 @@ def _sum_pairs(schema: pa.Schema, level: int, min_gain: float):
     return run
 
 
+def _last_levels(schema: pa.Schema, level: int, max_depth: int | None, min_gain: float):
+    """What the positions open on ``level`` add to their documents' scores, with all levels from there on.
+
+    All open positions are here, so a level's pairs are summed and judged in place, by the code that does so for a bucket.
+    """
+    model = {"buckets": 1, "split_rows": START}
+    answers_schema, requests_schema = S.arrow_schema(ANSWERS), S.arrow_schema(REQUESTS)
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        parts = [Frontier.unpacked(r["payload"]) for r in rows]
+        out = Frontier.joined(parts)
+        place = np.zeros(int(out.pos[-1]) + 1, np.int64)  # of a position among those open at first
+        place[out.pos] = np.arange(len(out.pos))
+        train = np.zeros(len(place), bool)
+        train[out.pos] = np.concatenate([np.unpackbits(np.frombuffer(r["train"], np.uint8), count=len(f.pos)) for r, f in zip(rows, parts, strict=True)])
+        logp = np.log10(out.p)[out.pair]
+        at = level
+        while len(out.pos) and (max_depth is None or at <= max_depth):
+            asked = [(k, 0, payload) for k, payload in out.requests(train, model)]
+            found = _sum_pairs(answers_schema, at, min_gain)(pa.Table.from_batches([S.batch_of(asked, requests_schema)]))
+            verdict = Answers(found).to(out, at, model)
+            logp[place[out.pos]] = np.log10(out.p)[out.pair]
+            out, _ = out.deeper(*verdict, np.zeros(0, np.int64))
+            at += 1
+        closed, first = [], 0
+        for r, f in zip(rows, parts, strict=True):
+            docs, which = _grouped(np.frombuffer(_expand(r["doc"]), "<i4"))
+            added = np.bincount(which, logp[first : first + len(f.pos)], len(docs))
+            closed.append((r["block"], docs.astype("<i4").tobytes(), added.astype("<f8").tobytes()))
+            first += len(f.pos)
+        return pa.Table.from_batches([S.batch_of(closed, schema)])
+
+    return run
+
+
 def _with_verdicts(found: DataFrame, level: int, min_gain: float) -> DataFrame:
     """``found`` without shares but with a row per block that names the split contexts it asked about and may keep."""
     answers = found.where(F.col("block") != SHARES)
@@ -465,7 +559,7 @@ def _with_verdicts(found: DataFrame, level: int, min_gain: float) -> DataFrame:
 
 def score(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_depth: int | None = None, min_gain: float = 0.01,
-    block_tokens: int = 1 << 20, split_rows: int = 1 << 20, bucket_tokens: int = 1 << 22,
+    block_tokens: int = 1 << 20, split_rows: int = 1 << 20, bucket_tokens: int = 1 << 22, tail_rows: int = 1 << 20,
 ) -> DataFrame:
     """Score every text with a tree learned from the texts that are not held out (crc32 of the id modulo 5 is not 1).
 
@@ -473,10 +567,12 @@ def score(
     add-half word model) and score, both as log10 probabilities of the whole
     text with its end. A context is retained if its gain is over ``min_gain``
     (in log10 over all its observations). Contexts get as long as the test
-    retains them, about eight words where texts are copied: there the suffix
-    state soon leaves nothing to gain. ``max_depth`` ends the tree earlier (two
-    words at least). Null and empty
-    texts are one end token. Null ids form one fold ('null' as text); repeated
+    retains them, about eight words where texts are copied (there the suffix
+    state soon leaves nothing to gain), far more where texts repeat themselves.
+    ``max_depth`` ends the tree earlier (two
+    words at least). The scores do not
+    depend on the sizes: ``tail_rows`` says from how few open positions on one
+    task finishes the levels left. Null and empty texts are one end token. Null ids form one fold ('null' as text); repeated
     rows count and are scored as often as given; an empty table gives an empty
     result.
     """
@@ -484,6 +580,7 @@ def score(
     tokens, train = blocks.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.coalesce(F.sum("n_train"), F.lit(0))).first()
     model = {"train_tokens": train, "distinct": 0, "buckets": max(1, -(-tokens // bucket_tokens)), "split_rows": split_rows}
     requests_schema, answers_schema, open_schema, scores_schema = map(S.arrow_schema, (REQUESTS, ANSWERS, OPEN, SCORES))
+    rest_schema, closed_schema = S.arrow_schema(REST), S.arrow_schema(CLOSED)
 
     def ask_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -516,8 +613,8 @@ def score(
 
     for level in range(1, WIDE_LEVELS + 1):
         answers = answers.unionByName(summed(per_block(blocks, answers, ask_wide(level), REQUESTS, requests_schema), level))
-    left = per_block(blocks, answers, lambda row, known: [Block(row, model).open_row(known)], OPEN, open_schema)
-    left = S.bucketed(left, "open", "block")
+    left = S.bucketed(per_block(blocks, answers, lambda row, known: [Block(row, model).open_row(known)], OPEN, open_schema), "open", "block")
+    S.discard(blocks, answers)
 
     # functions of a round hold its own numbers of levels
     def ask_deep(first: int, level: int):
@@ -529,22 +626,37 @@ def score(
     def finish(first: int, levels: int):
         return lambda row, known: OpenBlock(row, first, model).scores(levels, known)
 
-    none = answers.limit(0)
+    def last_levels(first: int) -> DataFrame:
+        def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                yield S.batch_of([OpenBlock(row, first, model).rest() for row in b.to_pylist()], rest_schema)
+
+        rows = left.where("n_open > 0").mapInArrow(rest, REST)
+        closed = S.staged(rows.groupBy("bucket").applyInArrow(_last_levels(closed_schema, first, max_depth, min_gain), CLOSED), "closed")
+
+        def add(one: pa.Table, other: pa.Table) -> pa.Table:
+            scored: list[tuple] = []
+            for row in one.to_pylist():
+                scored += OpenBlock(row, first, model).scores_with(other)
+            return pa.Table.from_batches([S.batch_of(scored, scores_schema)])
+
+        return left.groupBy("block").cogroup(closed.groupBy("block")).applyInArrow(add, SCORES)
+
+    none = blocks.sparkSession.createDataFrame([], ANSWERS)
     deep, level, first = none, WIDE_LEVELS, WIDE_LEVELS + 1
     while max_depth is None or level < max_depth:
+        if level + 1 == first and left.agg(F.coalesce(F.sum("n_open"), F.lit(0))).first()[0] <= tail_rows:
+            return last_levels(first)
         found = summed(per_block(left, deep, ask_deep(first, level + 1), REQUESTS, requests_schema), level + 1)
         if found.isEmpty():  # no context is left to test
             break
         deep, level = deep.unionByName(found), level + 1
         if level + 1 - first == REWRITE_LEVELS:
-            left = S.bucketed(per_block(left, deep, still_open(first, level + 1), OPEN, open_schema), "open", "block")
-            deep, first = none, level + 1
+            narrower = S.bucketed(per_block(left, deep, still_open(first, level + 1), OPEN, open_schema), "open", "block")
+            S.discard(left, deep)
+            left, deep, first = narrower, none, level + 1
     return per_block(left, deep, finish(first, level), SCORES, scores_schema)
 
 
-#: Where texts repeat themselves a few contexts stay open for many levels, each a round of its own (README has figures).
-QUERY_DEPTH = 12
-
-
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score(S.read_table(spark, sf_dir, "documents"), max_depth=QUERY_DEPTH)
+    return score(S.read_table(spark, sf_dir, "documents"))

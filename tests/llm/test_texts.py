@@ -183,7 +183,12 @@ def check_scores(got, want):
         )
 
 
-SIZES = [{}, {"block_tokens": 2000, "bucket_tokens": 3000}, {"block_tokens": 900, "bucket_tokens": 500, "split_rows": 2}]
+SIZES = [
+    {},
+    {"block_tokens": 2000, "bucket_tokens": 3000, "tail_rows": 0},
+    {"block_tokens": 900, "bucket_tokens": 500, "split_rows": 2, "tail_rows": 0},
+    {"block_tokens": 900, "bucket_tokens": 500, "split_rows": 2, "tail_rows": 3000},
+]
 
 
 @pytest.mark.parametrize("sizes", SIZES)
@@ -203,6 +208,14 @@ def test_a_depth_may_be_given(docs, depth):
     check_scores(lm.score(small, max_depth=depth).collect(), want)
 
 
+@pytest.mark.parametrize("sizes", [{"block_tokens": 3000}, {"block_tokens": 3000, "tail_rows": 2000}])
+def test_texts_that_repeat_themselves_are_scored_to_the_full_depth(spark, sizes):
+    rows = [(i, "same " * 14 + f"last {i % 5}") for i in range(1500)]
+    want, longest = brute_scores(rows)
+    assert longest > 12
+    check_scores(lm.score(spark.createDataFrame(rows, "doc_id long, text string"), **sizes).collect(), want)
+
+
 def test_rare_words_of_large_corpora_keep_their_probability():
     # 10^-12, as after 10^12 tokens, is told from 10^-13; totals beyond 2^32 pass
     f = lm.Frontier(np.array([0, 1]), np.array([0, 1]), np.array([0, 0]), np.array([3, 5]), np.array([1e-12, 1e-13]), np.array([7]), np.array([2**33]))
