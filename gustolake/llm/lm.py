@@ -257,8 +257,8 @@ class Frontier:
 
     @classmethod
     def joined(cls, parts: list[Frontier]) -> Frontier:
-        """The frontiers of several blocks as one; a block's positions follow those of the block before it, apart by one at least."""
-        at = np.cumsum([0, *(int(f.pos[-1]) + 2 for f in parts[:-1])])
+        """The frontiers of several blocks as one. Positions are numbered anew: neighbours stay neighbours, gaps shrink to one."""
+        steps = np.concatenate([np.where(np.diff(f.pos, prepend=-2) == 1, 1, 2) for f in parts])
         ctx_id, ctx = _grouped(np.concatenate([f.ctx_id[f.ctx] for f in parts]))
         words, word = _grouped(np.concatenate([f.word for f in parts]))
         keys, merged = _grouped(ctx * len(words) + word)
@@ -267,7 +267,7 @@ class Frontier:
         ctx_n[ctx] = np.concatenate([f.ctx_n[f.ctx] for f in parts])
         pairs = np.cumsum([0, *(len(f.ctx) for f in parts[:-1])])
         return cls(
-            np.concatenate([f.pos + a for f, a in zip(parts, at, strict=True)]),
+            np.cumsum(steps),
             merged[np.concatenate([f.pair + a for f, a in zip(parts, pairs, strict=True)])],
             keys // len(words), words[keys % len(words)], p, ctx_id, ctx_n,
         )

@@ -226,6 +226,17 @@ def test_rare_words_of_large_corpora_keep_their_probability():
     assert lm._numbers(lm._planes(big)).tolist() == big.tolist()
 
 
+def test_joined_positions_need_no_more_room_than_they_are():
+    def part(pos, ctx_id, word):
+        n = len(pos)
+        return lm.Frontier(np.array(pos), np.arange(n), np.arange(n), np.array(word), np.full(n, 0.5), np.array(ctx_id), np.full(n, 4))
+
+    f = lm.Frontier.joined([part([3, 4, 900_000_000], [7, 9, 11], [1, 2, 3]), part([0, 1], [9, 30], [2, 2])])
+    assert f.pos.tolist() == [2, 3, 5, 7, 8]
+    assert f.ctx_id[f.ctx[f.pair]].tolist() == [7, 9, 11, 9, 30] and f.word[f.pair].tolist() == [1, 2, 3, 2, 2]
+    assert f.pair[1] == f.pair[3] and f.ctx_id.tolist() == [7, 9, 11, 30]
+
+
 def test_held_out_texts_gain(spark):
     d = S.read_table(spark, SF, "documents")
     h = lm.score(d).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
