@@ -35,14 +35,30 @@ def bits_for(n_keys: int, max_bits: int = MAX_BITS) -> int:
     return min(max_bits, max(ROW_BITS, 1 << (16 * n_keys - 1).bit_length()))
 
 
-def maybe_in(df: DataFrame, keys: DataFrame, columns: Sequence[str], n_keys: int, max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows of ``df`` whose key may be among ``keys`` (``n_keys`` rows): all that are, and few others."""
+def _probe(df: DataFrame, keys: DataFrame, columns: Sequence[str], n_keys: int, max_bits: int, how: str) -> tuple[DataFrame, Column]:
+    """``df`` with the bitmap's row for its key, and whether the key's bit is set there (null without a row)."""
     bits = bits_for(n_keys, max_bits)
     place = _place(columns, bits)
     # at most max_bits / 8 bytes whatever the input
     probe = F.broadcast(bitmap(keys, columns, bits))
-    marked = df.withColumn("_place", place).withColumn("_row", F.shiftright("_place", 15)).join(probe, "_row")
+    marked = df.withColumn("_place", place).withColumn("_row", F.shiftright("_place", 15)).join(probe, "_row", how)
     in_row = F.col("_place").bitwiseAND(ROW_BITS - 1).cast("int")
     byte = F.conv(F.hex(F.substring("_bits", F.shiftright(in_row, 3) + 1, F.lit(1))), 16, 10).cast("int")
-    bit = F.call_function("shiftright", byte, in_row.bitwiseAND(7)).bitwiseAND(1)
-    return marked.where(bit == 1).select(*[F.col(f"`{c}`") for c in df.columns])
+    return marked, F.call_function("shiftright", byte, in_row.bitwiseAND(7)).bitwiseAND(1) == 1
+
+
+def maybe_in(df: DataFrame, keys: DataFrame, columns: Sequence[str], n_keys: int, max_bits: int = MAX_BITS) -> DataFrame:
+    """The rows of ``df`` whose key may be among ``keys`` (``n_keys`` rows): all that are, and few others.
+
+    A semi or anti join put on top of it at once is pushed below the filter by
+    the optimizer and then moves all of ``df``; write the rows that pass first.
+    """
+    marked, hit = _probe(df, keys, columns, n_keys, max_bits, "inner")
+    return marked.where(hit).select(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def split(df: DataFrame, keys: DataFrame, columns: Sequence[str], n_keys: int, max_bits: int = MAX_BITS) -> tuple[DataFrame, DataFrame]:
+    """``df`` in two: rows whose key is not among ``keys`` for certain, and those of ``maybe_in``; no row moves."""
+    marked, hit = _probe(df, keys, columns, n_keys, max_bits, "left")
+    clear = marked.where(~F.coalesce(hit, F.lit(False))).select(*[F.col(f"`{c}`") for c in df.columns])
+    return clear, maybe_in(df, keys, columns, n_keys, max_bits)

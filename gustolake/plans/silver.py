@@ -157,6 +157,15 @@ def _month(year: object, month: object) -> str:
     return f"order_year={none if year is None else year}/order_month={none if month is None else month}"
 
 
+MONTHS = ("order_year", "order_month")
+
+
+def _by_month(items: DataFrame) -> DataFrame:
+    """Silver items gathered by month for a partitioned write; what else is derived is left out of that shuffle."""
+    bare = items.select(*[f.name for f in C.ORDER_ITEMS_SOURCE.fields], *MONTHS)
+    return _derived_item_columns(bare.hint("rebalance", *[F.col(c) for c in MONTHS]))
+
+
 def upsert_order_items(
     spark: SparkSession, raw: DataFrame, path: str, keep_versions: int = 2, max_bits: int = keyset.MAX_BITS
 ) -> Upserted:
@@ -164,15 +173,18 @@ def upsert_order_items(
 
     Of all versions of a line the one that ``dedup`` prefers stays, so days one
     after the other give what one run over all of them would. The stored lines
-    are tested map-side for the day's keys; only what passes meets the day in a
-    shuffle. Months in which a line comes, goes or changes are written anew and
-    committed with the others' folders as they are, in one step; a run that
-    dies before leaves the version before.
+    and the day are tested map-side for each other's keys; only what passes
+    meets in a shuffle. Months in which a line comes, goes or changes are written
+    anew and committed with the others' folders as they are, in one step; a run
+    that dies before leaves the version before.
     """
     path, source = path.rstrip("/"), [f.name for f in C.ORDER_ITEMS_SOURCE.fields]
-    key, months = list(C.ORDER_ITEMS_KEY), ["order_year", "order_month"]
+    key = list(C.ORDER_ITEMS_KEY)
     versions.recover(spark, path)
     at = versions.current(spark, path)
+    if at is None or not at.folders:
+        done = versions.write(spark, _by_month(order_items(raw)), path, MONTHS)
+        return Upserted(done, tuple(sorted(done.folders)))
     stage = scratch_dir(spark, f"upsert-{uuid.uuid4().hex[:12]}")
 
     def staged(df: DataFrame, name: str) -> DataFrame:
@@ -180,28 +192,28 @@ def upsert_order_items(
         return spark.read.schema(df.schema).parquet(f"{stage}/{name}")
 
     try:
-        day = staged(order_items(raw), "day")
-        if at is None or not at.folders:
-            done = versions.write(spark, day, path, months, rebalance=True)
-            return Upserted(done, tuple(sorted(done.folders)))
-        stored = versions.read(spark, path, at).select(*[f.name for f in C.SILVER_ORDER_ITEMS.fields])
-        keys = day.select(*key)
-        known = staged(keyset.maybe_in(stored, keys, key, day.count(), max_bits).join(keys, key, "left_semi"), "known")
-        best = dedup(day.select(*source).unionByName(known.select(*source)), C.ORDER_ITEMS_KEY)
-        before = known.select(*key, F.struct(*source).alias("_before"), F.struct(*months).alias("_from"))
-        changed = staged(
-            _derived_item_columns(best).join(before, key, "left").where(~F.struct(*source).eqNullSafe(F.col("_before"))), "changed"
-        )
+        day = staged(order_items(raw).select(*source, *MONTHS), "day")
+        # the few lines that pass without their key being among the day's win below and so stay as they are
+        stored = versions.read(spark, path, at).select(*source, *MONTHS)
+        known = staged(keyset.maybe_in(stored, day.select(*key), key, day.count(), max_bits), "known")
+        fresh, rival = keyset.split(day, known.select(*key), key, known.count(), max_bits)
+        both = known.withColumn("_new", F.lit(False)).unionByName(rival.withColumn("_new", F.lit(True)))
+        # of equal versions the stored one comes first, so a line of the day that is picked is a change
+        picked = staged(dedup(both, key).where("_new").drop("_new"), "picked")
+        gone = staged(known.select(*key, *MONTHS).join(picked.select(*key), key, "left_semi"), "gone")
         # calendar months: a bounded list
-        touched = changed.select(*months).union(changed.where("_before is not null").select("_from.*")).distinct()
+        touched = fresh.select(*MONTHS).union(picked.select(*MONTHS)).union(gone.select(*MONTHS)).distinct()
         names = sorted({_month(*r) for r in touched.collect()})
         if not names:
             return Upserted(at, ())
-        new = changed.select(*stored.columns)
+        new = fresh.unionByName(picked)
         if set(names) & set(at.folders):
-            stays = versions.read(spark, path, at, only=names).select(*stored.columns)
-            new = stays.join(changed.where("_before is not null").select(*key), key, "left_anti").unionByName(new)
-        done = versions.write(spark, new, path, months, replaces=names, base=at, rebalance=True)
+            stays = versions.read(spark, path, at, only=names).select(*source, *MONTHS)
+            clear, doubtful = keyset.split(stays, gone.select(*key), key, gone.count(), max_bits)
+            # an outer join, as an anti join would be pushed below the key filter and move all lines of these months
+            left = doubtful.join(gone.select(*key, F.lit(True).alias("_gone")), key, "left").where("_gone is null").drop("_gone")
+            new = clear.unionByName(left).unionByName(new)
+        done = versions.write(spark, _by_month(new), path, MONTHS, replaces=names, base=at)
         versions.expire(spark, path, keep_versions)
         return Upserted(done, tuple(names))
     finally:

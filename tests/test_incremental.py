@@ -84,6 +84,36 @@ def test_a_run_that_dies_leaves_the_days_before(spark, path, monkeypatch):
     assert silver.read_order_items(spark, path).count() == both.count()
 
 
+def test_only_lines_that_may_meet_are_moved(spark, path, monkeypatch):
+    """The stored lines pass the key filter before any join by key, and lines of one day only are not deduplicated again."""
+    first = [item(order_id=str(i), created=at(1 + i % 3), name="B") for i in range(400)]
+    silver.upsert_order_items(spark, items_df(spark, first), path)
+    plans, write_layer = {}, silver.io.write_layer
+
+    def recorded(df, where, **options):
+        plans[where.rpartition("/")[2].partition("=")[0]] = df._jdf.queryExecution().executedPlan().toString()
+        write_layer(df, where, **options)
+
+    monkeypatch.setattr(silver.io, "write_layer", recorded)
+    second = [item(order_id=str(i), created=at(1 + i % 3), name="A") for i in range(0, 800, 40)]
+    silver.upsert_order_items(spark, items_df(spark, second), path)
+    assert "LeftSemi" not in plans["known"] and "SortMergeJoin" not in plans["known"]
+    assert "LeftAnti" not in plans["_version"]
+    got = silver.read_order_items(spark, path)
+    assert rows_of(got) == rows_of(silver.order_items(items_df(spark, first + second)).select(*got.columns))
+
+
+def test_split_by_keys_is_whole(spark):
+    keys = spark.range(3_000).select((F.col("id") * 7).cast("string").alias("k"))
+    table = spark.range(30_000).select(F.col("id").cast("string").alias("k"), F.col("id").alias("v"))
+    clear, doubtful = keyset.split(table, keys, ["k"], 3_000)
+    assert clear.columns == doubtful.columns == table.columns
+    assert clear.join(keys, "k", "left_semi").count() == 0 and doubtful.join(keys, "k", "left_semi").count() == 3_000
+    assert clear.unionByName(doubtful).agg(F.sum("v")).first()[0] == 30_000 * 29_999 // 2
+    none, empty = keyset.split(table, keys.limit(0), ["k"], 0)
+    assert none.count() == 30_000 and empty.count() == 0
+
+
 @pytest.mark.parametrize("max_bits", [keyset.ROW_BITS, keyset.MAX_BITS])
 def test_key_filter_loses_no_key_and_stops_most_others(spark, max_bits):
     keys = spark.range(3_000).select((F.col("id") * 7).cast("string").alias("k"), F.lit("x").alias("l"))
