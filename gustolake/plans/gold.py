@@ -28,6 +28,9 @@ from gustolake.sources import contracts as C
 from gustolake.sources import io
 
 GOLD_DATABASE = "gold"
+# The silver columns that the gold tables read.
+ITEM_COLUMNS = tuple(dict.fromkeys((*base.LINE_KEY, *base.ORDER_KEY, "item_category", "line_revenue")))
+OPTION_COLUMNS = (*base.LINE_KEY, "is_discount", "option_revenue")
 PROFILE_TABLES = ("fact_daily_clv", "fact_rfm_segments", "fact_churn_indicators", "dim_customer")
 Stage = Callable[[DataFrame, str], DataFrame]
 

@@ -99,7 +99,7 @@ def order_item_options(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_linenumber").cast("string").alias("lineitem_id"),
         F.inline(both),
         F.col("l_quantity").cast("int").alias("option_quantity"),
-    )
+    ).repartition("order_id")
 
 
 def date_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
