@@ -65,11 +65,14 @@ def numbered(spark: SparkSession, path: str, values: DataFrame) -> DataFrame:
 
 
 def bitmaps(df: DataFrame, by: Sequence[str], id_col: str = "id") -> DataFrame:
-    """``df`` (by..., id) -> by..., row, bits: the ids of each group, 32,768 in a row; built map-side, then merged."""
+    """``df`` (by..., id), distinct rows -> by..., row, bits: the ids of each group, 32,768 in a row.
+
+    The ids move first, of which at most 32,768 meet in a row. Built map-side,
+    nearly every id would become a row of 4 kB, since a task has few of each row's.
+    """
     i = F.col(id_col)
-    return df.select(*by, F.shiftright(i, 15).alias("row"), i.bitwiseAND(keyset.ROW_BITS - 1).alias("_bit")).groupBy(*by, "row").agg(
-        F.bitmap_construct_agg("_bit").alias("bits")
-    )
+    bits = df.select(*by, F.shiftright(i, 15).alias("row"), i.bitwiseAND(keyset.ROW_BITS - 1).alias("_bit"))
+    return bits.repartition(*by, "row").groupBy(*by, "row").agg(F.bitmap_construct_agg("_bit").alias("bits"))
 
 
 def counts(maps: DataFrame, by: Sequence[str], name: str) -> DataFrame:

@@ -23,6 +23,8 @@ from gustolake.sources import io, versions
 
 PLACE, DAY = "restaurant_id", "order_date"
 COUNTED = {"order": "order_id", "user": "user_id"}
+# What ids lie together by: an order belongs to a day, a customer comes back on others.
+NEAR = {"order": (PLACE, DAY), "user": (PLACE,)}
 
 
 def update(spark: SparkSession, root: str, orders: DataFrame, keep_versions: int = 2) -> versions.Commit:
@@ -39,7 +41,7 @@ def update(spark: SparkSession, root: str, orders: DataFrame, keep_versions: int
         info = {}
         for kind, column in COUNTED.items():
             path = f"{root}/{kind}_bits"
-            ids = distinct.numbered(spark, f"{root}/{kind}_ids", rows.select(F.col(column).alias("value"), F.col(PLACE).alias("near")))
+            ids = distinct.numbered(spark, f"{root}/{kind}_ids", rows.select(F.col(column).alias("value"), F.struct(*NEAR[kind]).alias("near")))
             pairs = rows.select(PLACE, DAY, F.col(column).alias("value")).distinct()
             base = versions.load(spark, path, at.info[kind]) if at else None
             info[kind] = versions.take_days(spark, distinct.bitmaps(pairs.join(ids, "value"), [PLACE, DAY]), path, DAY, days, base).name

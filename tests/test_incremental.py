@@ -260,3 +260,25 @@ def test_numbers_are_dense_and_stay(spark, path):
     many = spark.range(100_000).select((F.col("id") % 3).alias("g"), F.col("id"))
     maps = distinct.bitmaps(many.unionByName(many.limit(5_000)), ["g"])
     assert {r["g"]: r["n"] for r in distinct.counts(maps, ["g"], "n").collect()} == {0: 33_334, 1: 33_333, 2: 33_333}
+
+
+def test_bitmaps_are_built_where_their_ids_meet(spark):
+    ids = spark.range(10_000).select((F.col("id") % 3).alias("g"), "id").repartition(5)
+    maps = distinct.bitmaps(ids, ["g"])
+    steps = maps._jdf.queryExecution().executedPlan().toString()
+    # the ids are shuffled, not a bitmap of 4 kB for the few that a task has of a group
+    assert steps.index("partial_bitmap_construct_agg") < steps.index("Exchange hashpartitioning(g")
+    assert {r["g"]: r["n"] for r in distinct.counts(maps, ["g"], "n").collect()} == {0: 3_334, 1: 3_333, 2: 3_333}
+
+
+def test_orders_of_a_day_are_numbered_together(spark, path):
+    # ids that alternate between two days, of which numbers in the order of places alone would fill both days' rows
+    many = spark.range(70_000).select(
+        F.lit("r1").alias("restaurant_id"), F.date_add(F.lit(dt.date(2001, 7, 1)), (F.col("id") % 2).cast("int")).alias("order_date"),
+        F.format_string("%06d", "id").alias("order_id"), F.lit("u1").alias("user_id"), F.lit(1).cast("decimal(38,2)").alias("net_revenue"),
+    )
+    locations.update(spark, path, many)
+    # 35,000 dense numbers a day lie in two or three rows of 32,768; in the order of ids they would lie in three each
+    rows = {r["order_date"].day: r["count"] for r in versions.read(spark, f"{path}/order_bits").groupBy("order_date").count().collect()}
+    assert rows == {1: 2, 2: 2}
+    assert locations.merged(spark, path).first()["total_orders"] == 70_000
