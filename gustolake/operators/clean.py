@@ -69,8 +69,9 @@ def require_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.where(cond)
 
 
-def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None = None) -> DataFrame:
-    """One row per key (null key parts compare equal), chosen deterministically.
+def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None = None, count: str | None = None) -> DataFrame:
+    """One row per key (null key parts compare equal), chosen deterministically; ``count`` names a further column with
+    the key's number of rows.
 
     The survivor is the row whose ``order_by`` columns (default: all non-key
     columns in column order) are smallest, ascending with nulls first. Written
@@ -82,7 +83,8 @@ def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None = N
     others = [c for c in df.columns if c not in keys]
     order = list(order_by) if order_by is not None else others
     rest = [c for c in others if c not in order]
+    counts = [F.count(F.lit(1)).alias(count)] if count else []
     if not others:
-        return df.select(*keys).distinct()
-    picked = df.groupBy(*keys).agg(F.min(F.struct(*order, *rest)).alias("_row"))
-    return picked.select(*[F.col(k) if k in keys else F.col(f"_row.{k}").alias(k) for k in df.columns])
+        return df.groupBy(*keys).agg(*counts) if count else df.select(*keys).distinct()
+    picked = df.groupBy(*keys).agg(F.min(F.struct(*order, *rest)).alias("_row"), *counts)
+    return picked.select(*[F.col(k) if k in keys else F.col(f"_row.{k}").alias(k) for k in df.columns], *([count] if count else []))

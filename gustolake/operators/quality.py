@@ -25,18 +25,28 @@ def stage_counts(df: DataFrame, table: str, stage: str) -> DataFrame:
     return df.agg(F.array(_rows(table, stage, F.count(F.lit(1)))).alias("r")).select(F.inline("r"))
 
 
-def _null_keys(required: Sequence[str]) -> Column:
+def lacks_key(required: Sequence[str]) -> Column:
+    """Whether any required key is null."""
     out = F.lit(False)
     for k in required:
         out = out | F.col(k).isNull()
-    return F.count_if(out)
+    return out
+
+
+def _null_keys(required: Sequence[str]) -> Column:
+    return F.count_if(lacks_key(required))
+
 
+def raw_counts(raw: DataFrame, table: str, required: Sequence[str], counted: str | None = None) -> DataFrame:
+    """Raw rows and rows dropped for a null key, in one pass; ``counted`` names the column that says how many raw rows a
+    row stands for (default: itself)."""
+    def total(n: Column) -> Column:
+        return F.coalesce(F.sum(n), F.lit(0))
 
-def raw_counts(raw: DataFrame, table: str, required: Sequence[str]) -> DataFrame:
-    """Raw rows and rows dropped for a null key, in one pass."""
-    rows = [_rows(table, "raw", F.count(F.lit(1)))]
+    rows = [_rows(table, "raw", total(F.col(counted)) if counted else F.count(F.lit(1)))]
     if required:
-        rows.append(_rows(table, "dropped_null_keys", _null_keys(required)))
+        dropped = total(F.when(lacks_key(required), F.col(counted))) if counted else _null_keys(required)
+        rows.append(_rows(table, "dropped_null_keys", dropped))
     return normalize_columns(raw).agg(F.array(*rows).alias("r")).select(F.inline("r"))
 
 

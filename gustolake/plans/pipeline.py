@@ -23,8 +23,10 @@ class RunResult:
 
 def quality_report(raw: dict[str, DataFrame], silver_tables: dict[str, DataFrame],
                    gold_tables: dict[str, DataFrame] | None = None,
-                   seen: dict[str, dict[str, int]] | None = None) -> DataFrame:
-    """Row counts per table and stage; ``seen`` are the counts observed while silver was written."""
+                   seen: dict[str, dict[str, int]] | None = None,
+                   counted: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Row counts per table and stage; ``seen`` are the counts observed while silver was written, ``counted`` are frames
+    of ``silver.build`` that carry them, which are then read in place of ``raw``."""
     # null keys are counted on the typed columns, where the key filter applies
     typed = {
         "order_items": (silver.typed_order_items(raw["order_items"]), C.ORDER_ITEMS_REQUIRED),
@@ -33,7 +35,9 @@ def quality_report(raw: dict[str, DataFrame], silver_tables: dict[str, DataFrame
     }
     parts = []
     for name, (df, required) in typed.items():
-        if seen:
+        if name in (counted or {}):
+            parts.append(quality.raw_counts(counted[name], name, required, silver.RAW_ROWS))
+        elif seen:
             parts.append(quality.observed_counts(raw[name], df, name, required, seen[name]))
         else:
             parts.append(quality.raw_counts(df, name, required))

@@ -48,10 +48,22 @@ def _derived_item_columns(df: DataFrame) -> DataFrame:
     )
 
 
-def order_items(raw: DataFrame, observation: Observation | None = None) -> DataFrame:
-    df = require_keys(_observed(typed_order_items(raw), C.ORDER_ITEMS_REQUIRED, observation), C.ORDER_ITEMS_REQUIRED)
+# In counted frames: the raw rows a row stands for, and whether it lacks a required key and so is no silver row.
+RAW_ROWS, DROPPED = "_raw_rows", "_dropped"
+
+
+def _deduplicated(df: DataFrame, key: tuple[str, ...], required: tuple[str, ...], counted: bool) -> DataFrame:
+    """Rows with all required keys, one per key. ``counted`` keeps those that lack one too, apart, and counts raw rows
+    (``RAW_ROWS``, ``DROPPED``): counts in the data stay right when tasks run again, unlike observed ones."""
+    if not counted:
+        return dedup(require_keys(df, required), key)
+    return dedup(df.withColumn(DROPPED, quality.lacks_key(required)), [*key, DROPPED], count=RAW_ROWS)
+
+
+def order_items(raw: DataFrame, observation: Observation | None = None, counted: bool = False) -> DataFrame:
+    df = _observed(typed_order_items(raw), C.ORDER_ITEMS_REQUIRED, observation)
     # derived after the dedup shuffle, so they are not shuffled
-    return _derived_item_columns(dedup(df, C.ORDER_ITEMS_KEY))
+    return _derived_item_columns(_deduplicated(df, C.ORDER_ITEMS_KEY, C.ORDER_ITEMS_REQUIRED, counted))
 
 
 def typed_options(raw: DataFrame) -> DataFrame:
@@ -59,9 +71,8 @@ def typed_options(raw: DataFrame) -> DataFrame:
     return df.withColumns({c: blank_to_null(c) for c in OPTION_BLANKABLE})
 
 
-def options(raw: DataFrame, observation: Observation | None = None) -> DataFrame:
-    df = require_keys(_observed(typed_options(raw), C.OPTIONS_REQUIRED, observation), C.OPTIONS_REQUIRED)
-    df = dedup(df, C.OPTIONS_KEY)
+def options(raw: DataFrame, observation: Observation | None = None, counted: bool = False) -> DataFrame:
+    df = _deduplicated(_observed(typed_options(raw), C.OPTIONS_REQUIRED, observation), C.OPTIONS_KEY, C.OPTIONS_REQUIRED, counted)
     return df.withColumns(
         {
             "is_discount": negative_flag("option_price"),
@@ -75,17 +86,25 @@ def date_dim(raw: DataFrame, observation: Observation | None = None) -> DataFram
     return dedup(_observed(df, (), observation), C.DATE_DIM_KEY)
 
 
-def build(sources: dict[str, DataFrame], observations: dict[str, Observation] | None = None) -> dict[str, DataFrame]:
+def build(
+    sources: dict[str, DataFrame], observations: dict[str, Observation] | None = None, counted: bool = False
+) -> dict[str, DataFrame]:
     """Lazy silver frames from raw (source or bronze) frames; ``observations`` per table count
-    the raw rows and null keys when the frames are written."""
+    the raw rows and null keys when the frames are written. ``counted`` items and options carry these counts
+    in columns and hold dropped rows too; ``kept`` makes silver frames of them."""
     seen = observations or {}
     return {
-        "order_items": order_items(sources["order_items"], seen.get("order_items")),
-        "order_item_options": options(sources["order_item_options"], seen.get("order_item_options")),
+        "order_items": order_items(sources["order_items"], seen.get("order_items"), counted),
+        "order_item_options": options(sources["order_item_options"], seen.get("order_item_options"), counted),
         "date_dim": date_dim(sources["date_dim"], seen.get("date_dim")),
     }
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """The silver rows of a counted frame."""
+    return df.where(~F.col(DROPPED)).drop(RAW_ROWS, DROPPED)
+
+
 def write(silver: dict[str, DataFrame], silver_root: str) -> dict[str, str]:
     """Items partitioned by year/month and rebalanced so each task writes a few
     large files; the other two unpartitioned."""

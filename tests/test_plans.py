@@ -3,10 +3,12 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from gustolake.operators import base
-from gustolake.plans import gold, registry, silver
+from gustolake.plans import gold, pipeline, registry, silver
 from gustolake.sources import fixtures as FX
+from samples import empty_date_dim, item, items_df, option, options_df
 
 
 @pytest.fixture
@@ -69,3 +71,30 @@ def test_queries_stage_in_files_and_compute_items_once(spark, tables, monkeypatc
     sales = registry.QUERIES["metric_sales_trends"](spark, tables)
     assert "lineitem.parquet" not in plan(sales)
     assert sales.count()
+
+
+def test_quality_report_counts_sources_while_they_are_staged(spark, tables):
+    raw = FX.source_tables(spark, tables)
+    want = pipeline.quality_report(raw, silver.build(raw)).collect()
+    report = registry.QUERIES["quality_report"](spark, tables)
+    assert "lineitem.parquet" not in plan(report)
+    assert set(want) <= set(report.collect())
+
+
+def test_counted_frames_hold_raw_rows_and_dropped_keys(spark):
+    rows = [item(), item(price="9.00"), item(order_id="2", user_id=None), item(order_id="2", user_id="u2"),
+            item(order_id=None), item(order_id=None, lineitem_id=None), item(lineitem_id=None)]
+    options = [option(), option(price="2.00"), option(lineitem_id=None), option(order_id=None, lineitem_id=None)]
+    raw = {"order_items": items_df(spark, rows), "order_item_options": options_df(spark, options), "date_dim": empty_date_dim(spark)}
+    counted, plain = silver.build(raw, counted=True), silver.build(raw)
+    for name in ("order_items", "order_item_options"):
+        kept = silver.kept(counted[name])
+        assert kept.columns == plain[name].columns and sorted(map(str, kept.collect())) == sorted(map(str, plain[name].collect()))
+    want = {(r["table"], r["stage"]): r["rows"] for r in pipeline.quality_report(raw, plain).collect()}
+    with_counts = {name: counted[name] for name in ("order_items", "order_item_options")}
+    got = {(r["table"], r["stage"]): r["rows"] for r in pipeline.quality_report(raw, plain, counted=with_counts).collect()}
+    assert got == want and got["order_items", "dropped_null_keys"] == 4 and got["order_items", "raw"] == 7
+    empty = {name: df.limit(0) for name, df in raw.items()}
+    counted = {name: df for name, df in silver.build(empty, counted=True).items() if name in with_counts}
+    none = pipeline.quality_report(empty, silver.build(empty), counted=counted).collect()
+    assert len(none) == 8 and all(r["rows"] == 0 for r in none)
