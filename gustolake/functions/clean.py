@@ -5,14 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: URL pattern stripped from free-text category values.
-URL_PATTERN = r"https?://\S+"
+# URL pattern stripped from free-text category values, and the text with which each match begins.
+URL_PATTERN, URL_BEGIN = r"https?://\S+", "http"
 
 
 def strip_urls(col: Column | str) -> Column:
     """Remove URLs, then trim spaces at both ends (tabs are kept, inner
-    double spaces left by the removal stay)."""
-    return F.trim(F.regexp_replace(F.col(col) if isinstance(col, str) else col, URL_PATTERN, ""))
+    double spaces left by the removal stay). Text without a URL's beginning
+    is not put through the pattern."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.trim(F.when(c.contains(URL_BEGIN), F.regexp_replace(c, URL_PATTERN, "")).otherwise(c))
 
 
 def blank_to_null(col: Column | str) -> Column:

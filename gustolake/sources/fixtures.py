@@ -43,46 +43,59 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     c = _read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     p = _read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_retailprice")
-    # orders, a quarter of the lines, meet the customers alone; the lines move once by part while they are narrow
-    # and once by the order's text key, the key by which they are deduplicated next
-    placed = o.join(c, o.o_custkey == c.c_custkey).withColumn("order_id", F.col("o_orderkey").cast("string"))
-    sold = li.join(p, li.l_partkey == p.p_partkey).withColumn("order_id", F.col("l_orderkey").cast("string"))
-    j = sold.join(placed, "order_id")
+    # what depends on a part or an order alone is made of parts and orders, not of their lines
     category = (
-        F.when(F.col("l_partkey") % URL_ONLY_MOD == 0, F.lit(URL_ONLY_CATEGORY))
+        F.when(F.col("p_partkey") % URL_ONLY_MOD == 0, F.lit(URL_ONLY_CATEGORY))
         .when(
-            F.col("l_partkey") % URL_SUFFIX_MOD == 0,
-            F.concat(F.col("p_type"), F.lit(" "), F.lit(CATEGORY_URL_PREFIX), F.col("l_partkey").cast("string")),
+            F.col("p_partkey") % URL_SUFFIX_MOD == 0,
+            F.concat(F.col("p_type"), F.lit(" "), F.lit(CATEGORY_URL_PREFIX), F.col("p_partkey").cast("string")),
         )
         .otherwise(F.col("p_type"))
     )
+    parts = p.select(
+        "p_partkey",
+        category.alias("item_category"),
+        F.col("p_name").alias("item_name"),
+        F.col("p_retailprice").cast("decimal(10,2)").alias("item_price"),
+    )
     created = F.timestamp_add(
         "HOUR", (F.col("o_orderkey") % HOURS_PER_DAY).cast("int"), F.col("o_orderdate").cast("timestamp")
     )
-    return j.select(
+    # orders, a quarter of the lines, meet the customers alone; the lines move once by part while they are narrow
+    # and once by the order's text key, the key by which they are deduplicated next
+    placed = o.join(c, o.o_custkey == c.c_custkey).select(
         F.col("c_nationkey").cast("string").alias("restaurant_id"),
         created.alias("creation_time_utc"),
-        "order_id",
+        F.col("o_orderkey").cast("string").alias("order_id"),
         F.when(F.col("o_orderkey") % NO_USER_MOD == 0, F.lit(None).cast("string"))
         .otherwise(F.col("o_custkey").cast("string"))
         .alias("user_id"),
-        F.lit("").alias("printed_card_number"),
         F.col("o_orderpriority").isin(*LOYALTY_PRIORITIES).alias("is_loyalty"),
+        F.col("c_mktsegment").alias("app_name"),
+    )
+    sold = li.join(parts, li.l_partkey == parts.p_partkey).withColumn("order_id", F.col("l_orderkey").cast("string"))
+    return sold.join(placed, "order_id").select(
+        "restaurant_id",
+        "creation_time_utc",
+        "order_id",
+        "user_id",
+        F.lit("").alias("printed_card_number"),
+        "is_loyalty",
         F.lit(CURRENCY).alias("currency"),
         F.col("l_linenumber").cast("string").alias("lineitem_id"),
-        category.alias("item_category"),
-        F.col("p_name").alias("item_name"),
-        F.col("p_retailprice").cast("decimal(10,2)").alias("item_price"),
+        "item_category",
+        "item_name",
+        "item_price",
         F.col("l_quantity").cast("int").alias("item_quantity"),
-        F.col("c_mktsegment").alias("app_name"),
+        "app_name",
     )
 
 
 def order_item_options(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _read_lines(spark, sf_dir, "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_tax", "l_discount")
-    p = _read(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
+    p = _read(spark, sf_dir, "part").select("p_partkey", F.col("p_retailprice").cast("decimal(10,2)").alias("price"))
     j = li.join(p, li.l_partkey == p.p_partkey)
-    price = F.col("p_retailprice").cast("decimal(10,2)")
+    price = F.col("price")
     empty = F.col("l_partkey") % BLANK_OPTION_MOD == 0
 
     def option(group: str, name: Column, value: Column) -> Column:
