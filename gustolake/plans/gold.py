@@ -31,6 +31,11 @@ GOLD_DATABASE = "gold"
 # The silver columns that the gold tables read.
 ITEM_COLUMNS = tuple(dict.fromkeys((*base.LINE_KEY, *base.ORDER_KEY, "item_category", "line_revenue")))
 OPTION_COLUMNS = (*base.LINE_KEY, "is_discount", "option_revenue")
+LINE_COLUMNS = tuple(dict.fromkeys((
+    *base.LINE_KEY, *base.ORDER_KEY, "item_category", "total_line_revenue", "total_discount_amount", "has_discount",
+)))
+# In the silver frames: the lines with their options, staged by order. Order base and sales trends then read these.
+ORDER_LINES = "order_lines"
 PROFILE_TABLES = ("fact_daily_clv", "fact_rfm_segments", "fact_churn_indicators", "dim_customer")
 Stage = Callable[[DataFrame, str], DataFrame]
 
@@ -53,6 +58,23 @@ def path_stage(spark: SparkSession, root: str) -> Stage:
     return stage
 
 
+def bucket_stage(spark: SparkSession, root: str, by: str) -> Stage:
+    """Write to ``root/<name>`` (Parquet) in buckets of column ``by``, as many as a shuffle has partitions, and read
+    back: what is grouped or joined by that column is then not shuffled again.
+
+    Buckets need a catalog entry while the files are written and looked up; it is dropped at once, the files stay."""
+
+    def stage(df: DataFrame, name: str) -> DataFrame:
+        entry = f"stage_{name}_{uuid.uuid4().hex[:12]}"
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        io.write_buckets(df, f"{root.rstrip('/')}/{name}", entry, buckets, by)
+        out = spark.table(entry)
+        spark.sql(f"DROP TABLE {entry}")
+        return out
+
+    return stage
+
+
 class GoldTables(Mapping[str, DataFrame]):
     """name -> gold table in its published schema, built on first access."""
 
@@ -78,7 +100,14 @@ class GoldTables(Mapping[str, DataFrame]):
 
     @property
     def orders(self) -> DataFrame:
-        return self._once("_orders", lambda: self.stage(base.build(self.silver, self.discount_mode), "order_base"))
+        def make() -> DataFrame:
+            if ORDER_LINES in self.silver:
+                df = base.orders(self.silver[ORDER_LINES], self.discount_mode)
+            else:
+                df = base.build(self.silver, self.discount_mode)
+            return self.stage(df, "order_base")
+
+        return self._once("_orders", make)
 
     @property
     def customers(self) -> DataFrame:
@@ -107,7 +136,7 @@ class GoldTables(Mapping[str, DataFrame]):
             "fact_rfm_segments": lambda: metrics.rfm(self.profile),
             "fact_churn_indicators": lambda: metrics.churn(self.profile),
             "fact_sales_trends": lambda: metrics.sales_trends(
-                self.orders, self.silver["order_items"], self.silver["date_dim"]
+                self.orders, self.silver.get(ORDER_LINES, self.silver["order_items"]), self.silver["date_dim"]
             ),
             "fact_loyalty_comparison": lambda: metrics.loyalty(self.orders, a),
             "fact_location_performance": lambda: metrics.location(

@@ -105,14 +105,14 @@ def order_item_options(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     tax = option("Tax", F.when(empty, F.lit("")).otherwise(F.lit("TAX")), price * F.col("l_tax").cast("decimal(4,2)"))
     promo = option("Promo", F.lit("DISCOUNT"), -(price * F.col("l_discount").cast("decimal(4,2)")).cast("decimal(10,2)"))
-    # both selections in one pass over the lines
-    both = F.array_compact(F.array(F.when(F.col("l_tax") > 0, tax), F.when(F.col("l_discount") >= DISCOUNT_MIN, promo)))
+    # both selections in one pass over the lines; one that does not hold is a row without a group, dropped at once
+    both = F.array(F.when(F.col("l_tax") > 0, tax), F.when(F.col("l_discount") >= DISCOUNT_MIN, promo))
     return j.select(
         F.col("l_orderkey").cast("string").alias("order_id"),
         F.col("l_linenumber").cast("string").alias("lineitem_id"),
         F.inline(both),
         F.col("l_quantity").cast("int").alias("option_quantity"),
-    ).repartition("order_id")
+    ).where(F.col("option_group_name").isNotNull()).repartition("order_id")
 
 
 def date_dim(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -80,6 +80,12 @@ def write_layer(
     w.parquet(path)
 
 
+def write_buckets(df: DataFrame, path: str, name: str, buckets: int, by: str) -> None:
+    """Overwrite a Parquet dataset (snappy) in buckets of column ``by``, under the catalog entry ``name`` that buckets need."""
+    w = df.write.mode("overwrite").option("path", path).option("compression", "snappy")
+    w.bucketBy(buckets, by).saveAsTable(name)
+
+
 def to_contract_types(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select the contract's columns in order, cast to the contract's types."""
     missing = [f.name for f in schema.fields if f.name not in df.columns]

@@ -1,6 +1,7 @@
 """What the queries move and keep in memory, from their plans, on rows of the tests' own."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -73,6 +74,35 @@ def test_queries_stage_in_files_and_compute_items_once(spark, tables, monkeypatc
     assert sales.count()
 
 
+def test_sales_trends_shuffle_neither_lines_nor_orders_after_the_dedup(spark, tables):
+    sales = plan(registry.QUERIES["metric_sales_trends"](spark, tables))
+    moved = re.findall(r"hashpartitioning\((\w+)#", sales)
+    assert moved and "order_id" not in moved
+    assert sales.count("Bucketed: true") == 2  # lines for their orders, lines for their categories
+
+
+def test_gold_from_lines_staged_by_order_equals_gold_from_silver(spark, tables):
+    rows = [item(), item(lineitem_id="2", category="Pasta"), item(lineitem_id="2", category="Salad"),
+            item(lineitem_id="3", restaurant_id="r2", category=None), item(lineitem_id="4", user_id="u2", price=None),
+            item(order_id="2", category="", price="7.50", qty=2), item(order_id="3", user_id=None), item(order_id=None),
+            item(order_id="4", app=None, price="-1.00"), item(order_id="4", lineitem_id="2", app=None, loyalty=None)]
+    options = [option(), option(name="DISCOUNT", price="-0.50"), option(name="", price=None), option(lineitem_id="2", qty=None),
+               option(order_id="9"), option(order_id="4", price="-2.00")]
+    raw = {"order_items": items_df(spark, rows), "order_item_options": options_df(spark, options), "date_dim": empty_date_dim(spark)}
+    for sources in (raw, FX.source_tables(spark, tables), {name: df.limit(0) for name, df in raw.items()}):
+        built = silver.build(sources)
+        want, got = (gold.build(s, registry.AS_OF) for s in (built, registry._with_lines(spark, built)))
+        for a, b in ((want.orders, got.orders), (want["fact_sales_trends"], got["fact_sales_trends"])):
+            assert a.schema == b.schema and sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+
+
+def test_options_are_compiled_with_their_join(spark, tables):
+    options = plan(FX.order_item_options(spark, tables))
+    assert "Generate inline" in options and "lambdafunction" not in options
+    rows = FX.order_item_options(spark, tables)
+    assert rows.where("option_group_name is null").count() == 0
+
+
 def test_quality_report_counts_sources_while_they_are_staged(spark, tables):
     raw = FX.source_tables(spark, tables)
     want = pipeline.quality_report(raw, silver.build(raw)).collect()
