@@ -6,6 +6,7 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -149,6 +150,21 @@ def bucketed(df: DataFrame, tag: str, by: str) -> DataFrame:
     return out
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Within it, an action's shuffle files are deleted when it ends, not when the driver next collects garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def discard(*frames: DataFrame) -> None:
     """Delete the staged folders these frames read, once what was made of them is staged itself."""
     for df in frames:

@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -237,6 +238,58 @@ def test_joined_positions_need_no_more_room_than_they_are():
     assert f.pair[1] == f.pair[3] and f.ctx_id.tolist() == [7, 9, 11, 30]
 
 
+def test_words_of_texts_and_their_packing():
+    rng = random.Random(3)
+    marks = [9, 10, 11, 12, 13, 32, 32, 65, 97, 0, 28, 31, 0x85, 0xA0, 0xC3, 0xFF, 120]
+    texts = [bytes(rng.choice(marks) for _ in range(rng.randint(0, 30))) for _ in range(2000)] + [None, b"", b" \n", "É x".encode()]
+    for part in (pa.array(texts, pa.binary()), pa.array(texts, pa.binary())[700:]):
+        words, n = lm.words_of(part)
+        want = [(t or b"").lower().split() for t in part.to_pylist()]
+        flat = [w for ws in want for w in ws]
+        assert n.tolist() == [len(ws) for ws in want]
+        assert words.cast(pa.large_binary()).to_pylist() == flat
+        assert lm._joined(words[3:90]) == b"\n".join(flat[3:90]) and lm._lines(lm._joined(words[3:90])).to_pylist() == flat[3:90]
+        bucket = lm._spread(words, 7).tolist()
+        assert len(set(zip(flat, bucket, strict=True))) == len(set(flat)) and set(bucket) == set(range(7))
+    assert lm._joined(words[:0]) == b"" and lm._lines(b"").to_pylist() == [b""]
+
+
+def test_numbers_take_the_bytes_they_need():
+    for a in ([], [0, 0], [3, 255], [7, 70_000], [0, 2**62 + 5], [-1, 4]):
+        packed = lm._planes(np.array(a, np.int64))
+        assert lm._numbers(packed).tolist() == a
+        assert len(packed) <= 1 + len(a) * max(1, *((x % 2**64).bit_length() + 7 >> 3 for x in [0, *a]))
+    assert lm._numbers(lm._planes(np.array([5, 9, 1 << 40]), rising=True), rising=True).tolist() == [5, 9, 1 << 40]
+
+
+def test_open_positions_are_written_with_what_they_ask_next():
+    # two documents; a deeper round needs the row of the round before and its answers, no levels above
+    held, lengths, model = [False, True], [3, 3], {"buckets": 2, "split_rows": 1 << 20, "train_tokens": 6}
+    f = lm.Frontier(np.arange(6), np.array([0, 1, 2, 0, 1, 2]), np.array([0, 1, 2]), np.array([3, 4, 5]), np.full(3, 0.25), np.array([6, 7, 8]), np.full(3, 4))
+    row = dict(zip((c.split()[0] for c in lm.OPEN.split(", ")), (1, 6, [1, 2], held, lengths, [3, 3], [-2.0] * 2, [0.0] * 2, f.packed(), [], []), strict=True))
+    schema = pa.schema([("level", pa.int64()), ("bucket", pa.int64()), ("split", pa.list_(pa.int64())), ("payload", pa.binary())])
+    train = np.repeat([True, False], 3)
+    answers = []
+    for k, payload in f.requests(train, model):
+        counts = lm._numbers(lm._unpack(lm._expand(payload))[5])
+        numbers = lm._planes(np.arange(1, len(counts) + 1))
+        answers.append((3, k, None, lm._squeeze(lm._pack(np.packbits(np.ones(len(counts), bool)).tobytes(), lm._planes(np.full(len(counts), 4)), numbers))))
+    known = lm.Answers(pa.table([list(c) for c in zip(*answers, strict=True)], schema=schema))
+    out = lm.OpenBlock(row, model).open_row(3, known)
+    left = lm.Frontier.unpacked(out[8])
+    assert out[1] == len(left.pos) > 0
+    assert list(zip(out[9], out[10], strict=True)) == list(left.requests(train, model))
+    assert sum(out[7]) == pytest.approx(np.log10((4 + 4**0.75 * 0.25) / (4 + 4**0.75)) * (6 - len(left.pos)))
+
+
+def test_shuffle_files_go_with_their_action(spark):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    with S.shuffles_dropped(spark):
+        assert spark.conf.get(key) == "true"
+    assert spark.conf.get(key, None) == before
+
+
 def test_held_out_texts_gain(spark):
     d = S.read_table(spark, SF, "documents")
     h = lm.score(d).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
